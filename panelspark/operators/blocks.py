@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from panelspark.schema import PANEL, POS, PRICE, SERIES, SYMBOL, TS, require
 
 BLOCK_ROWS = 16_384
+RANGE_ROWS = 500_000
 BLOCK = "block"
 
 
@@ -112,6 +113,7 @@ def padded_grid(
     pad: str = PRICE,
     block_rows: int = BLOCK_ROWS,
     with_stamps: bool = True,
+    calendar: DataFrame | None = None,
 ) -> DataFrame:
     """Blocked rows for *every* panel date from a symbol's first value on.
 
@@ -121,7 +123,7 @@ def padded_grid(
     """
     require(bars, PANEL, SYMBOL, TS, *values)
     block_rows = max(block_rows, halo + 1)
-    calendar = panel_calendar(bars)
+    calendar = panel_calendar(bars) if calendar is None else calendar
     present = F.coalesce(*[F.col(v) for v in values]).isNotNull()
     obs = bars.where(present).select(*SERIES, TS, *values).join(calendar, [PANEL, TS])
     last_block = F.floor((F.col("n_dates") - 1) / block_rows)
@@ -244,13 +246,17 @@ def running(
 
 
 def value_ranks(
-    df: DataFrame, keys: Sequence[str], value: str, ranges: int = 64
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    range_rows: int = RANGE_ROWS,
+    ranges: int = 256,
 ) -> DataFrame:
     """Per distinct value of each group: ``n_equal``, ``n_less`` and the group's ``n_total``.
 
-    Values are counted first, split in ranges at approximate quantiles and ranked inside each
-    range, so neither a large group nor one repeated value ends up in a single sort. The
-    ranks are exact whatever the ranges are.
+    Values are counted first, so one repeated value is a single row. Groups with more than
+    ``range_rows`` distinct values are split at approximate quantiles and ranked range by
+    range; the ranks are exact wherever the edges fall.
     """
     keys = list(keys)
     counted = (
@@ -258,36 +264,50 @@ def value_ranks(
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n_equal"))
     )
-    edges = counted.groupBy(*keys).agg(
-        F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 1000).alias("edges")
+    sizes = counted.groupBy(*keys).agg(
+        F.sum("n_equal").alias("n_total"), F.count(F.lit(1)).alias("n_distinct")
+    )
+    edges = (
+        counted.join(sizes.where(F.col("n_distinct") > range_rows).select(*keys), keys)
+        .groupBy(*keys)
+        .agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 10_000).alias("edges"))
     )
-    placed = counted.join(edges, keys).withColumn(
-        "range", F.size(F.filter("edges", lambda e: e < F.col(value)))
+    placed = (
+        counted.join(edges, keys, "left")
+        .withColumn("range", F.size(F.filter("edges", lambda e: e < F.col(value))))
+        .drop("edges")
     )
-    totals = placed.groupBy(*keys, "range").agg(F.sum("n_equal").alias("n"))
-    by_range = Window.partitionBy(*keys).orderBy("range")
-    offsets = totals.select(
+    split = placed.where("range >= 0").groupBy(*keys, "range").agg(F.sum("n_equal").alias("n"))
+    offsets = split.select(
         *keys,
         "range",
-        (F.sum("n").over(by_range) - F.col("n")).alias("offset"),
-        F.sum("n").over(Window.partitionBy(*keys)).alias("n_total"),
+        (F.sum("n").over(Window.partitionBy(*keys).orderBy("range")) - F.col("n")).alias("offset"),
     )
     inside = Window.partitionBy(*keys, "range").orderBy(value)
-    return placed.join(offsets, [*keys, "range"]).select(
-        *keys,
-        value,
-        "n_equal",
-        (F.col("offset") + F.sum("n_equal").over(inside) - F.col("n_equal")).alias("n_less"),
-        "n_total",
+    return (
+        placed.withColumn("n_before", F.sum("n_equal").over(inside) - F.col("n_equal"))
+        .join(offsets, [*keys, "range"], "left")
+        .join(sizes.select(*keys, "n_total"), keys)
+        .select(
+            *keys,
+            value,
+            "n_equal",
+            (F.coalesce("offset", F.lit(0)) + F.col("n_before")).alias("n_less"),
+            "n_total",
+        )
     )
 
 
 def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: dict[str, float],
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group, one column per name."""
     keys = list(keys)
-    ranked = value_ranks(df, keys, value)
+    ranked = value_ranks(df, keys, value, range_rows)
     lo, hi = F.col("n_less"), F.col("n_less") + F.col("n_equal")
 
     def at(rank: Column) -> Column:

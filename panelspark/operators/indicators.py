@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.numeric import TRADING_DAYS, log_positive, ratio
 from panelspark.operators.blocks import (
-    BLOCK,
     BLOCK_ROWS,
     block_window,
     core,
@@ -187,12 +186,16 @@ def volatility(
     return _finish(_add(grid, columns), halo, list(columns), max(block_rows, halo + 1))
 
 
-def _with_benchmark(grid: DataFrame, benchmark: str, ret: str = "return_daily") -> DataFrame:
-    """Each row's benchmark return, taken in the same block so that halos match."""
-    bench = grid.where(F.col(SYMBOL) == benchmark).select(
-        PANEL, BLOCK, POS, F.col(ret).alias("_bench")
+def benchmark_returns(bars: DataFrame, benchmark: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Padded daily returns ``_bench`` of one symbol per panel and position."""
+    one = bars.where(F.col(SYMBOL) == benchmark).select(*CELL, PRICE)
+    grid = padded_grid(
+        one, 1, block_rows=block_rows, with_stamps=False, calendar=panel_calendar(bars)
+    )
+    daily = return_columns([1], block_window(), f"{PRICE}_pad")
+    return core(_add(grid, daily), 1, max(block_rows, 2)).select(
+        PANEL, POS, F.col("return_daily").alias("_bench")
     )
-    return grid.join(bench, [PANEL, BLOCK, POS], "left")
 
 
 def rolling_correlation(
@@ -201,10 +204,9 @@ def rolling_correlation(
     """Rolling correlation with the benchmark of the same panel; the benchmark is left out."""
     halo, w = window + 1, block_window()
     grid = _add(padded_grid(bars, halo, block_rows=block_rows), return_columns([1], w, f"{PRICE}_pad"))
-    bench = grid.where(F.col(SYMBOL) == benchmark).select(
-        PANEL, BLOCK, POS, F.col("return_daily").alias("_bench")
+    pairs = grid.where(F.col(SYMBOL) != benchmark).join(
+        benchmark_returns(bars, benchmark, block_rows), [PANEL, POS]
     )
-    pairs = grid.where(F.col(SYMBOL) != benchmark).join(bench, [PANEL, BLOCK, POS])
     name = f"corr_{benchmark}_{window}"
     columns = {name: correlation_column("return_daily", "_bench", window, w)}
     return _finish(_add(pairs, columns), halo, [name], max(block_rows, halo + 1))
@@ -290,7 +292,7 @@ def all_indicators(
         grid,
         {**return_columns(RETURN_PERIODS, w, f"{PRICE}_pad"), "_delta": p - shift(p, 1, w)},
     )
-    grid = _with_benchmark(grid, benchmark)
+    grid = grid.join(benchmark_returns(bars, benchmark, block_rows), [PANEL, POS], "left")
     columns: dict[str, Column] = {
         **log_return_column(w),
         **sma_columns(SMA_WINDOWS, w),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,15 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably and drop its lineage (iterative operators, once per round)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Used where a wide result is needed several times: it is computed once, later plans start
+    from a columnar scan that they can prune, and nothing depends on any executor's memory.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stages/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
