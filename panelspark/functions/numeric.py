@@ -42,11 +42,16 @@ def sample_kurtosis(c: Column) -> Column:
 
 
 def rounded(df: DataFrame, digits: int = 6, **overrides: int) -> DataFrame:
-    """Round every double column for comparison at the edge; other types pass through."""
+    """Round every double column for comparison at the edge; other types pass through.
+
+    Prices are cents over small quantities, so exact decimal ties are common. A nudge well
+    below the last digit makes a tie round the same way whatever its last bit is.
+    """
     out = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, overrides.get(field.name, digits)).alias(field.name)
+            n = overrides.get(field.name, digits)
+            c = F.round(c + 0.03 * 10**-n, n).alias(field.name)
         out.append(c)
     return df.select(*out)

@@ -38,8 +38,13 @@ def _time_slice(df: DataFrame) -> Column:
 
 
 def panel_calendar(df: DataFrame, keys: Sequence[str] = (PANEL,)) -> DataFrame:
-    """Distinct stamps per panel with ``pos`` (0-based) and ``n_dates``; sorted per slice only."""
+    """Distinct stamps per panel with ``pos`` (0-based) and ``n_dates``; sorted per slice only.
+
+    A table that already carries positions is only reduced to its distinct dates.
+    """
     keys = list(keys)
+    if {POS, "n_dates"} <= set(df.columns):
+        return df.groupBy(*keys, TS, POS, "n_dates").agg(F.lit(1).alias("_one")).drop("_one")
     stamps = df.select(*keys, TS, _time_slice(df).alias("slice")).groupBy(*keys, "slice").agg(
         F.array_sort(F.collect_set(TS)).alias("stamps")
     )
@@ -58,8 +63,19 @@ def panel_calendar(df: DataFrame, keys: Sequence[str] = (PANEL,)) -> DataFrame:
 
 
 def positions(df: DataFrame, keys: Sequence[str] = (PANEL,)) -> DataFrame:
-    """Add ``pos`` and ``n_dates`` from the calendar of the rows at hand."""
-    return df.drop(POS, "n_dates").join(panel_calendar(df, keys), [*keys, TS])
+    """Add ``pos`` and ``n_dates`` from the calendar of the rows at hand.
+
+    Stored panels carry both, so that the calendar is built once; whatever removes dates
+    drops them again (``without_positions``).
+    """
+    if {POS, "n_dates"} <= set(df.columns):
+        return df
+    df = without_positions(df)
+    return df.join(panel_calendar(df, keys), [*keys, TS])
+
+
+def without_positions(df: DataFrame) -> DataFrame:
+    return df.drop(POS, "n_dates")
 
 
 def _block_ids(halo: int, block_rows: int, last: Column | None = None) -> Column:
@@ -125,7 +141,9 @@ def padded_grid(
     block_rows = max(block_rows, halo + 1)
     calendar = panel_calendar(bars) if calendar is None else calendar
     present = F.coalesce(*[F.col(v) for v in values]).isNotNull()
-    obs = bars.where(present).select(*SERIES, TS, *values).join(calendar, [PANEL, TS])
+    if not {POS, "n_dates"} <= set(bars.columns):
+        bars = without_positions(bars).join(calendar, [PANEL, TS])
+    obs = bars.where(present).select(*SERIES, TS, POS, "n_dates", *values)
     last_block = F.floor((F.col("n_dates") - 1) / block_rows)
 
     rows = obs.select(

@@ -21,6 +21,7 @@ from panelspark.operators.blocks import (
     series_blocks,
     shift,
     value_ranks,
+    without_positions,
 )
 from panelspark.operators.indicators import all_indicators
 from panelspark.schema import CELL, PANEL, POS, PRICE, SERIES, SYMBOL, TS, require
@@ -55,7 +56,7 @@ def lag_features(
     if not known:
         return df
     halo, w = max(lags), block_window()
-    placed = df if {POS, "n_dates"} <= set(df.columns) else positions(df)
+    placed = positions(df)
     chosen = F.lit(True) if symbols is None else F.col(SYMBOL).isin(list(symbols))
     lagged = [
         F.when(chosen, shift(F.col(c), k, w)).alias(f"{c}_lag_{k}") for c in known for k in lags
@@ -143,12 +144,12 @@ def interactions(
 
 
 def remove_weekends(df: DataFrame) -> DataFrame:
-    return df.where(~is_weekend(F.col(TS)))
+    return without_positions(df.where(~is_weekend(F.col(TS))))
 
 
 def remove_holidays(df: DataFrame) -> DataFrame:
     """Drop observed US federal holidays (not exchange holidays)."""
-    return df.where(~is_federal_holiday(F.col(TS)))
+    return without_positions(df.where(~is_federal_holiday(F.col(TS))))
 
 
 # --- filling --------------------------------------------------------------------------
@@ -177,7 +178,7 @@ def fill_both_ways(
 def complete_rows(df: DataFrame) -> DataFrame:
     """Add the panel dates before a symbol's first row, with NULL features."""
     calendar = panel_calendar(df)
-    placed = df.drop(POS, "n_dates").join(calendar, [PANEL, TS])
+    placed = positions(df)
     names = [c for c in df.columns if c not in (*CELL, POS, "n_dates")]
     lead = (
         placed.groupBy(*SERIES)
@@ -209,7 +210,7 @@ def fill_sparse(
     with a flag per column tells which columns need filling at all.
     """
     keys = list(keys)
-    placed = df if {POS, "n_dates"} <= set(df.columns) else positions(df)
+    placed = positions(df)
 
     def missing(c: str):
         start = F.min(F.when(F.col(c).isNotNull(), F.col(POS))) if skip_warmup else F.lit(0)
@@ -236,7 +237,7 @@ def fill_sparse(
 
 
 def impute_ffill(df: DataFrame, columns: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
-    placed = df if POS in df.columns else positions(df)
+    placed = positions(df)
     return fill_both_ways(placed, columns, block_rows=block_rows)
 
 
@@ -244,7 +245,7 @@ def impute_interpolate(
     df: DataFrame, columns: Sequence[str], block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Linear between neighbours by row position; flat before the first and after the last."""
-    placed = df if POS in df.columns else positions(df)
+    placed = positions(df)
     points = {
         c: F.when(F.col(c).isNotNull(), F.struct(F.col(POS).alias("p"), F.col(c).alias("v")))
         for c in columns

@@ -115,12 +115,12 @@ def _add(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 def _on_observed(bars: DataFrame, halo: int, block_rows: int) -> DataFrame:
     require(bars, *CELL, PRICE)
-    rows = positions(bars.select(*CELL, PRICE)).where(F.col(PRICE).isNotNull())
+    rows = positions(bars).select(*CELL, POS, "n_dates", PRICE).where(F.col(PRICE).isNotNull())
     return series_blocks(rows, halo, block_rows=block_rows)
 
 
 def _finish(df: DataFrame, halo: int, names: Sequence[str], block_rows: int) -> DataFrame:
-    return core(df, halo, block_rows).select(*CELL, POS, *names)
+    return core(df, halo, block_rows).select(*CELL, POS, "n_dates", *names)
 
 
 def returns(
@@ -188,7 +188,7 @@ def volatility(
 
 def benchmark_returns(bars: DataFrame, benchmark: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Padded daily returns ``_bench`` of one symbol per panel and position."""
-    one = bars.where(F.col(SYMBOL) == benchmark).select(*CELL, PRICE)
+    one = bars.where(F.col(SYMBOL) == benchmark)
     grid = padded_grid(
         one, 1, block_rows=block_rows, with_stamps=False, calendar=panel_calendar(bars)
     )
@@ -204,8 +204,11 @@ def rolling_correlation(
     """Rolling correlation with the benchmark of the same panel; the benchmark is left out."""
     halo, w = window + 1, block_window()
     grid = _add(padded_grid(bars, halo, block_rows=block_rows), return_columns([1], w, f"{PRICE}_pad"))
-    pairs = grid.where(F.col(SYMBOL) != benchmark).join(
-        benchmark_returns(bars, benchmark, block_rows), [PANEL, POS]
+    has_benchmark = bars.where(F.col(SYMBOL) == benchmark).select(PANEL).distinct()
+    pairs = (
+        grid.where(F.col(SYMBOL) != benchmark)
+        .join(has_benchmark, PANEL, "left_semi")
+        .join(benchmark_returns(bars, benchmark, block_rows), [PANEL, POS], "left")
     )
     name = f"corr_{benchmark}_{window}"
     columns = {name: correlation_column("return_daily", "_bench", window, w)}
@@ -271,6 +274,22 @@ def atr(bars: DataFrame, window: int = 14, block_rows: int = BLOCK_ROWS) -> Data
     return until_next(rows, [F.col(name)], panel_calendar(bars)).select(*CELL, POS, name)
 
 
+def all_windowed(
+    bars: DataFrame,
+    periods: Sequence[int] = RETURN_PERIODS,
+    sma: Sequence[int] = SMA_WINDOWS,
+    vol: Sequence[int] = VOL_WINDOWS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Padded returns, moving averages and volatility: one blocked exchange, one sort."""
+    halo, w = max(*periods, *sma, *vol) + 1, block_window()
+    grid = padded_grid(bars, halo, block_rows=block_rows)
+    first = return_columns(dict.fromkeys([1, *periods]), w, f"{PRICE}_pad")
+    columns = {**sma_columns(sma, w), **volatility_columns(vol, w, "return_daily")}
+    names = [return_name(k) for k in periods] + list(columns)
+    return _finish(_add(_add(grid, first), columns), halo, names, max(block_rows, halo + 1))
+
+
 def all_indicators(
     bars: DataFrame,
     benchmark: str = "SPY",

@@ -8,7 +8,13 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.operators.blocks import BLOCK, BLOCK_ROWS, padded_grid, panel_calendar
+from panelspark.operators.blocks import (
+    BLOCK_ROWS,
+    padded_grid,
+    panel_calendar,
+    positions,
+    without_positions,
+)
 from panelspark.schema import CELL, PANEL, POS, PRICE, RET, SERIES, SYMBOL, TS, require
 
 
@@ -44,7 +50,7 @@ def densify(
     present = F.coalesce(*[F.col(v) for v in values]).isNotNull()
     grid = padded_grid(bars, 0, values, values[0], block_rows, with_stamps=False)
     first = (
-        bars.join(calendar, [PANEL, TS])
+        positions(bars)
         .groupBy(*SERIES)
         .agg(
             F.coalesce(F.min(F.when(present, F.col(POS))), F.max("n_dates")).alias("first"),
@@ -153,4 +159,5 @@ def complete_cases(returns: DataFrame, value: str = RET) -> DataFrame:
         .join(roster, PANEL)
         .where(F.col("filled") == F.col("n"))
     )
-    return returns.join(whole.select(PANEL, TS), [PANEL, TS], "left_semi")
+    kept = returns.join(whole.select(PANEL, TS), [PANEL, TS], "left_semi")
+    return without_positions(kept)

@@ -21,8 +21,9 @@ _PANELS = {"flag": FLAG, "brand": BRAND, "event": EVENT}
 
 
 def r(expr: str, digits: int = 6) -> str:
-    """Rounded, without a negative zero."""
-    return f"case when abs({expr}) < {0.5 * 10**-digits} then 0.0 else round({expr}, {digits}) end"
+    """Rounded after the same nudge as on the Spark side, without a negative zero."""
+    x = f"(({expr})+{0.03 * 10**-digits})"
+    return f"case when abs{x} < {0.5 * 10**-digits} then 0.0 else round{x[:-1]}, {digits}) end"
 
 
 def grid(name: str) -> str:
@@ -108,5 +109,161 @@ def _indicators() -> dict[str, str]:
 BENCH = "A_F"
 
 
+
+def _sources() -> dict[str, str]:
+    out = {}
+    out["a01_read_wide_panel"] = f"with {grid('brand')} select symbol, ts, {r('price')} price from g"
+    out["a02_read_indicators"] = f"with {MACRO} select series_id, 'macro' kind, ts, {r('val', 4)} \"value\" from macro"
+    out["a03_read_features"] = f"""with {grid('flag')}, x as (select *, {ret(20, 'price')} m from g)
+ select symbol, ts, {r('m')} momentum_20 from x where price is not null and ts >= date '1998-01-01'"""
+    out["a04_write_features"] = _indicators()["d02_log_return"]
+    out["a06_ingest_by_key"] = f"""with {BRAND}, w as (select distinct p_brand symbol from part union select distinct n_name from nation)
+ select w.symbol, count(price) n_rows, {r('avg(price)')} mean_price, case when count(price)=0 then 1 else 0 end n_errors
+ from w left join brand b on b.symbol=w.symbol group by w.symbol"""
+    out["a07_ingest_coverage"] = """select distinct c_custkey "key" from customer where c_custkey not in
+ (select o_custkey from orders where o_orderdate >= date '2000-01-01')"""
+    out["a08_latest_snapshot"] = f"with {FLAG} select symbol, ts, {r('price', 4)} price, {r('volume', 4)} volume from flag where volume > 100"
+    out["a09_ingest_all"] = f"""with {BRAND}, {MACRO}, {SENT} select 'prices' table_name, count(*) n_rows, max(ts) \"last\" from brand
+ union all select 'macro', count(*), max(ts) from macro union all select 'sentiment', count(*), max(ts) from sent"""
+    out["a10_dim_asset"] = f"""with {BRAND}, dim as (select p_brand symbol, max(p_type) asset_class from part group by 1)
+ select asset_class, count(distinct brand.symbol) n_symbols, count(*) n_rows from brand left join dim on dim.symbol=brand.symbol group by 1"""
+    return out
+
+
+def _shape() -> dict[str, str]:
+    out = {}
+    two = f"with {FLAG}, a as (select ts, price p from flag where symbol='A_F'), b as (select ts, price p from flag where symbol='R_O')"
+    cols = f"{r('a.p')} \"p_A_F\", {r('b.p')} \"p_R_O\""
+    out["b01_align_outer"] = f"{two} select coalesce(a.ts, b.ts) ts, {cols} from a full join b on a.ts=b.ts"
+    out["b02_align_inner"] = f"{two} select a.ts, {cols} from a join b on a.ts=b.ts"
+    out["b03_densify"] = f"with {grid('flag')} select symbol, ts, {r('price')} price from g"
+    wide = ", ".join(
+        f"{r(chr(109) + 'ax(case when symbol=' + chr(39) + s + chr(39) + ' then price end)')} \"{s}\""
+        for s in ("A_F", "A_O", "N_F", "N_O", "R_F", "R_O")
+    )
+    out["b04_to_wide"] = f"with {FLAG} select ts, {wide} from flag group by ts"
+    out["b05_select_features"] = f"""with {grid('flag')}, x as (select *, {ret(10, 'price')} a, {ret(20, 'price')} b from g)
+ select symbol, ts, {r('a')} momentum_10, {r('b')} momentum_20 from x where price is not null"""
+    out["b06_drop_duplicate_columns"] = f"with {FLAG} select symbol, ts, {r('price')} price, {r('high')} high, {r('low')} low from flag"
+    out["b07_order_by_time"] = f"with {FLAG} select symbol, ts, {r('price')} price from flag"
+    out["b08_top_k"] = f"""with {FLAG}, x as (select *, row_number() over (partition by symbol order by price desc, ts) rk from flag)
+ select symbol, ts, {r('price')} price, rk \"rank\" from x where rk <= 5"""
+    out["b08_top_k_overall"] = f"with {FLAG} select symbol, ts, {r('price')} price from (select * from flag order by price desc, ts limit 10)"
+    counts = "+".join(f"count({full('avg', 'price', n)})" for n in (20, 50, 200))
+    sma = ", ".join(f"{full('avg', 'price', n)} s{n}" for n in (20, 50, 200))
+    mom = ", ".join(f"{ret(n, 'price')} m{n}" for n in (10, 20, 50))
+    out["b09_feature_family_counts"] = f"""with {grid('flag')}, x as (select *, {sma}, {mom} from g)
+ select 'SMA' family, 3 n_features, count(s20)+count(s50)+count(s200) n_values from x where price is not null
+ union all select 'Momentum', 3, count(m10)+count(m20)+count(m50) from x where price is not null"""
+    out["b10_complete_cases"] = f"""with {grid('flag')}, x as (select symbol, ts, {ret(1)} rd from g),
+ ok as (select ts from x group by ts having count(rd)=count(*)) select symbol, ts, {r('rd')} ret from x where ts in (select ts from ok)"""
+    return out
+
+
+SHIFTED = "shifted as (select symbol, ts, pos, floor((price-1500)/100) price, floor((pad-1500)/100) pad from g)"
+
+
+def _quality() -> dict[str, str]:
+    out = {}
+    out["c01_panel_profile"] = f"with {FLAG} select count(distinct symbol) n_assets, count(distinct ts) n_days, min(ts) first_date, max(ts) last_date from flag"
+    out["c02_missing_pct"] = f"""with {grid('event')}, x as (select symbol, round(cast(sum(case when price is null then 1 else 0 end) as double)/count(*)*100, 2) m from g group by 1)
+ select symbol, m missing_pct from x where m > 0"""
+    head = f"with {grid('flag')}, {SHIFTED}"
+    out["c03_negative_price_check"] = f"{head} select symbol, bool_or(price<0) has_negative from shifted where price is not null group by 1"
+    out["c04_zero_price_check"] = f"{head} select symbol, bool_or(price=0) has_zero from shifted where price is not null group by 1"
+    out["c05_extreme_return_check"] = f"with {grid('flag')}, x as (select symbol, {ret(1)} rd from g) select symbol, count(*) filter (where abs(rd)>0.5) n_extreme from x group by 1"
+    out["c06_validation_issues"] = f"""{head}, x as (select symbol, price, pad/nullif(lag(pad) over ({WS}),0)-1 rd from shifted),
+ i as (select symbol, 1 kind, 'Contains negative prices' issue from x group by 1 having bool_or(price<0)
+ union all select symbol, 2, 'Contains zero prices' from x group by 1 having bool_or(price=0)
+ union all select symbol, 3, concat(count(*) filter (where abs(rd)>0.5), ' extreme daily returns (>50%)') from x group by 1 having count(*) filter (where abs(rd)>0.5) > 0)
+ select * from i order by symbol, kind limit 10"""
+    return out
+
+
+HOLIDAY = """((month(ts)=1 and isodow(ts)=1 and day(ts) between 15 and 21) or (month(ts)=2 and isodow(ts)=1 and day(ts) between 15 and 21)
+ or (month(ts)=5 and isodow(ts)=1 and day(ts)>=25) or (month(ts)=9 and isodow(ts)=1 and day(ts)<=7) or (month(ts)=10 and isodow(ts)=1 and day(ts) between 8 and 14)
+ or (month(ts)=11 and isodow(ts)=4 and day(ts) between 22 and 28)
+ or strftime(case isodow(ts) when 6 then date '1900-02-02' when 7 then date '1900-02-02' else ts end, '%m-%d') in ('01-01','07-04','11-11','12-25')
+ or (isodow(ts)=5 and strftime(ts + interval 1 day, '%m-%d') in ('01-01','07-04','11-11','12-25'))
+ or (isodow(ts)=1 and strftime(ts - interval 1 day, '%m-%d') in ('01-01','07-04','11-11','12-25')))"""
+
+
+def fill(c: str, part: str = "partition by symbol order by ts", back: str = "partition by symbol order by ts desc") -> str:
+    return f"coalesce(last_value({c} ignore nulls) over ({part} rows unbounded preceding), last_value({c} ignore nulls) over ({back} rows unbounded preceding))"
+
+
+def interp(source: str, name: str, cols: list[str]) -> str:
+    """CTE ``name``: linear interpolation of ``cols`` of ``source`` by row position per symbol."""
+    pre = ", ".join(
+        f"last_value({c} ignore nulls) over (partition by symbol order by ts rows unbounded preceding) {c}_a,"
+        f" last_value(case when {c} is not null then k end ignore nulls) over (partition by symbol order by ts rows unbounded preceding) {c}_p,"
+        f" last_value({c} ignore nulls) over (partition by symbol order by ts desc rows unbounded preceding) {c}_z,"
+        f" last_value(case when {c} is not null then k end ignore nulls) over (partition by symbol order by ts desc rows unbounded preceding) {c}_q"
+        for c in cols
+    )
+    post = ", ".join(
+        f"coalesce({c}, {c}_a+({c}_z-{c}_a)*((k-{c}_p)/nullif(cast({c}_q-{c}_p as double),0)), {c}_a, {c}_z) {c}_i" for c in cols
+    )
+    return f"""{name}_k as (select *, row_number() over (partition by symbol order by ts) k from {source}),
+{name}_n as (select *, {pre} from {name}_k), {name} as (select *, {post} from {name}_n)"""
+
+
+def _features() -> dict[str, str]:
+    out = {}
+    rd = f"x as (select symbol, ts, pos, pad, {ret(1)} rd from g)"
+    lags = ", ".join(f"{r(f'l{k}')} return_daily_lag_{k}" for k in (1, 5, 21))
+    lag = ", ".join(f"lag(rd,{k}) over ({WS}) l{k}" for k in (1, 5, 21))
+    out["e01_lag_features"] = f"with {grid('flag')}, {rd}, y as (select *, {lag} from x) select symbol, ts, {r('rd')} return_daily, {lags} from y where pad is not null"
+    cs = f"with {grid('brand')}, {rd}"
+    out["e02_cs_rank"] = f"""{cs}, y as (select *, case when rd is not null then (rank() over (partition by ts, rd is null order by rd) + (count(*) over (partition by ts, rd)-1)/2.0)/count(rd) over (partition by ts) end k from x)
+ select symbol, ts, {r('rd')} return_daily, {r('cast(k as double)')} return_daily_rank from y where pad is not null"""
+    stat = "y as (select *, avg(rd) over (partition by ts) m, stddev_samp(rd) over (partition by ts) s from x)"
+    out["e03_cs_zscore"] = f"{cs}, {stat} select symbol, ts, {r('rd')} return_daily, {r('(rd-m)/nullif(s,0)')} return_daily_zscore from y where pad is not null"
+    out["e04_cs_deviation"] = f"{cs}, {stat} select symbol, ts, {r('rd')} return_daily, {r('rd-m')} return_daily_dev_mean from y where pad is not null"
+    out["e05_interactions"] = f"""with {grid('flag')}, d as (select *, price-lag(price) over ({WS}) dl from g),
+ u as (select *, case when dl is null then null when dl>0 then dl else 0 end up, case when dl is null then null when dl<0 then -dl else 0 end dn from d),
+ x as (select symbol, ts, price, {full('avg','price',20)} s, {full('avg','up',14)} gain, {full('avg','dn',14)} loss from u)
+ select symbol, ts, {r('s*(case when loss>0 then 100-100/(1+gain/loss) when gain>0 then 100.0 end)', 3)} sma_20_x_rsi_14 from x where price is not null"""
+    out["e06_remove_weekends"] = f"with {FLAG} select symbol, ts, {r('price')} price from flag where isodow(ts) < 6"
+    out["e07_remove_holidays"] = f"with {FLAG} select symbol, ts, {r('price')} price from flag where not {HOLIDAY}"
+    monthly = "x as (select symbol, ts, price, case when day(ts)=3 then price end monthly from g)"
+    out["e08_fill_sparse"] = f"with {grid('flag')}, {monthly}, f as (select symbol, ts, price, {fill('monthly')} mo from x) select symbol, ts, {r('price')} price, {r('mo')} monthly from f"
+    out["e09_impute_interpolate"] = f"with {grid('flag')}, {interp('g', 'i', ['price'])} select symbol, ts, {r('price_i')} price from i"
+    out["e10_impute_ffill"] = f"with {grid('flag')}, f as (select symbol, ts, {fill('price')} v from g) select symbol, ts, {r('v')} price from f"
+    out["e11_impute_mean"] = f"with {grid('flag')}, f as (select symbol, ts, coalesce(price, avg(price) over (partition by symbol)) v from g) select symbol, ts, {r('v')} price from f"
+    out["e12_impute_median"] = f"with {grid('flag')}, m as (select symbol, median(price) md from g group by 1), f as (select g.symbol, ts, coalesce(price, md) v from g join m on m.symbol=g.symbol) select symbol, ts, {r('v')} price from f"
+    each = ", ".join(f"{full('avg', 'price', n)} s{n}" for n in (20, 200, 340))
+    out["e13_empty_features"] = f"""with {grid('brand')}, x as (select symbol, {each} from g), c as (select symbol, count(s20) a, count(s200) b, count(s340) c from x group by 1)
+ select symbol, 'sma_20' feature from c where a=0 union all select symbol, 'sma_200' from c where b=0 union all select symbol, 'sma_340' from c where c=0"""
+    out["e14_drop_incomplete"] = f"with {grid('flag')}, ok as (select ts from g group by ts having count(price)=count(*)) select symbol, ts, {r('price')} price from g where ts in (select ts from ok)"
+    out["e14_drop_incomplete_rows"] = f"with {FLAG} select symbol, ts, {r('price')} price from flag"
+    out["e15_clean_features"] = f"""with {grid('flag')}, {monthly}, w as (select * from x where isodow(ts)<6 and not {HOLIDAY}), f as (select symbol, ts, price, {fill('monthly')} mo from w),
+ {interp('f', 'i', ['price'])} select symbol, ts, {r('price_i')} price, {r('mo')} monthly from i"""
+    names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    wide = ", ".join(f"max(case when series_id='{n}' then val end) m{i}" for i, n in enumerate(names))
+    last = ", ".join(f"last_value(m{i} ignore nulls) over (order by ts rows unbounded preceding) f{i}" for i in range(5))
+    both = ", ".join(f"{fill(f'm{i}', 'order by ts', 'order by ts desc')} f{i}" for i in range(5))
+    pick = ", ".join(f"{r(f'f{i}', 4)} \"{n}\"" for i, n in enumerate(names))
+    union = f"{FLAG}, {MACRO}, mw as (select ts, {wide} from macro group by ts), u as (select coalesce(d.ts, mw.ts) ts, m0, m1, m2, m3, m4 from (select distinct ts from flag) d full join mw on mw.ts=d.ts)"
+    out["e16_join_exogenous"] = f"with {union}, f as (select ts, {last} from u) select flag.symbol, flag.ts, {pick} from flag join f on f.ts=flag.ts"
+    out["e16_join_exogenous_reference"] = f"with {union}, u2 as (select * from u where isodow(ts)<6 and not {HOLIDAY}), f as (select ts, {both} from u2) select flag.symbol, flag.ts, {pick} from flag join f on f.ts=flag.ts"
+    cols = ["rd", "sma", "vol", "l5", "z", "k", "macro", "sentiment"]
+    out["e17_build_features"] = f"""with {grid('flag')}, {MACRO}, {SENT}, {rd.replace('pad, ', 'pad, price, ')},
+ y as (select *, avg(rd) over (partition by ts) m, stddev_samp(rd) over (partition by ts) s, lag(rd,5) over ({WS}) l5, {full('avg', 'price', 20)} sma, {full('stddev_samp', 'rd', 60)}*sqrt(252) vol,
+  case when rd is not null then (rank() over (partition by ts, rd is null order by rd) + (count(*) over (partition by ts, rd)-1)/2.0)/count(rd) over (partition by ts) end k0 from x),
+ mv as (select ts, max(val) mval from macro where series_id='1-URGENT' group by ts), sv as (select ts, max(val) sval from sent where series_id='F' group by ts),
+ days as (select coalesce(d.ts, mv.ts) ts, mval from (select distinct ts from flag) d full join mv on mv.ts=d.ts),
+ mf as (select ts, {fill('mval', 'order by ts', 'order by ts desc')} macro from days where isodow(ts)<6 and not {HOLIDAY}),
+ w as (select y.symbol, y.ts, rd, sma, vol, l5, (rd-m)/nullif(s,0) z, cast(k0 as double) k, mf.macro, sv.sval sentiment from y left join mf on mf.ts=y.ts left join sv on sv.ts=y.ts where isodow(y.ts)<6 and not {HOLIDAY.replace('(ts', '(y.ts').replace('else ts', 'else y.ts')}),
+ {interp('w', 'i', cols)}
+ select symbol, ts, {r('rd_i')} return_daily, {r('sma_i', 4)} sma_20, {r('vol_i')} vol_60, {r('l5_i')} return_daily_lag_5, {r('z_i')} return_daily_zscore, {r('k_i')} return_daily_rank, {r('macro_i', 4)} macro, {r('sentiment_i', 4)} sentiment from i"""
+    vols = ", ".join(f"{full('stddev_samp', 'rd', n)}*sqrt(252) v{n}" for n in (20, 60))
+    smas = ", ".join(f"{full('avg', 'price', n)} s{n}" for n in (20, 50))
+    out["entry_features"] = f"""with {grid('flag')}, x as (select symbol, ts, pos, price, pad, {ret(1)} rd, {ret(5)} r5 from g),
+ y as (select *, avg(rd) over (partition by ts) m, stddev_samp(rd) over (partition by ts) s, {smas}, {vols} from x)
+ select symbol, ts, {r('rd')} return_daily, {r('r5')} return_5d, {r('s20',4)} sma_20, {r('s50',4)} sma_50, {r('v20')} vol_20, {r('v60')} vol_60, {r('(rd-m)/nullif(s,0)')} return_daily_zscore from y where pad is not null"""
+    return out
+
+
 def all_sql() -> dict[str, str]:
-    return {**_indicators()}
+    return {**_indicators(), **_sources(), **_shape(), **_quality(), **_features()}

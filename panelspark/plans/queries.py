@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.functions.numeric import rounded
+from panelspark.operators import features as feat
 from panelspark.operators import indicators as ind
+from panelspark.operators import quality, shape
 from panelspark.schema import PANEL, POS, SYMBOL, TS
+from panelspark.session import shared_dir
+from panelspark.sources import dimensions, ingest, readers, writers
 from panelspark.sources.derived import Panels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +24,7 @@ _QUERIES: dict[str, Query] = {}
 BENCH = "A_F"
 
 
-def query(name: str, digits: int = 6, drop: tuple[str, ...] = (PANEL, POS), **overrides: int):
+def query(name: str, digits: int = 6, drop: tuple[str, ...] = (PANEL, POS, "n_dates"), **overrides: int):
     """Register a function of the panels; its doubles are rounded, bookkeeping is dropped."""
 
     def register(build: Callable[[Panels], DataFrame]):
@@ -91,3 +98,350 @@ def _(p: Panels) -> DataFrame:
 @query("d11_rolling_correlation")
 def _(p: Panels) -> DataFrame:
     return ind.rolling_correlation(p.flag_d, BENCH)
+
+
+@query("entry_features", sma_20=4, sma_50=4)
+def _(p: Panels) -> DataFrame:
+    daily = ind.all_windowed(p.flag_d, (1, 5), (20, 50), (20, 60))
+    return feat.cs_zscore(daily, "return_daily")
+
+
+# --- sources and sinks ----------------------------------------------------------------
+
+
+def _scratch(p: Panels, name: str) -> str:
+    return f"{shared_dir(p.spark)}/queries/{uuid.uuid4().hex}/{name}"
+
+
+def _brands(p: Panels) -> list[str]:
+    """Column list of a wide export: the distinct brands of the part dimension."""
+    return sorted(r[0] for r in p.table("part").select("p_brand").distinct().collect())
+
+
+@query("a01_read_wide_panel")
+def _(p: Panels) -> DataFrame:
+    path = _scratch(p, "asset_prices")
+    wide = shape.to_wide(p.brand_w, "price", _brands(p)).drop(PANEL)
+    wide.write.option("header", True).csv(path)
+    return readers.read_wide_panel(p.spark, path)
+
+
+@query("a02_read_indicators", 4)
+def _(p: Panels) -> DataFrame:
+    path = _scratch(p, "macro_data")
+    series = [r[0] for r in p.macro_m.select("series_id").distinct().collect()]
+    wide = p.macro_m.groupBy(TS).pivot("series_id", sorted(series)).agg(F.first("value"))
+    wide.write.option("header", True).csv(path)
+    return readers.read_indicators(p.spark, path, "macro")
+
+
+@query("a03_read_features")
+def _(p: Panels) -> DataFrame:
+    path = _scratch(p, "features")
+    writers.write_features(ind.momentum(p.flag_d), path)
+    late = F.col(TS) >= F.lit(dt.date(1998, 1, 1))
+    return readers.read_features(p.spark, path, [SYMBOL, TS, "momentum_20"], late)
+
+
+@query("a04_write_features")
+def _(p: Panels) -> DataFrame:
+    path = _scratch(p, "features_csv")
+    writers.write_features(ind.log_return(p.flag_d), path, "csv")
+    back = p.spark.read.option("header", True).csv(path)
+    return back.select(SYMBOL, F.to_date(TS).alias(TS), F.col("log_return").cast("double"))
+
+
+@query("a06_ingest_by_key", drop=())
+def _(p: Panels) -> DataFrame:
+    store = p.brand_w.inputFiles()
+
+    def fetch(key: str):
+        import pyarrow.dataset as ds
+
+        rows = ds.dataset([f.replace("file://", "") for f in store], format="parquet")
+        scan = rows.scanner(["ts", "price"], filter=ds.field("symbol") == key)
+        found = False
+        for batch in scan.to_batches():
+            if batch.num_rows:
+                found = True
+                yield batch.to_pandas()
+        if not found:
+            raise KeyError(key)
+
+    wanted = p.table("part").select(F.col("p_brand").alias(SYMBOL)).union(
+        p.table("nation").select("n_name")
+    )
+    schema = T.StructType([T.StructField("ts", T.DateType()), T.StructField("price", T.DoubleType())])
+    rows = ingest.ingest_by_key(wanted, fetch, schema, retries=1)
+    return rows.groupBy(SYMBOL).agg(
+        F.count("price").alias("n_rows"),
+        F.avg("price").alias("mean_price"),
+        F.count("error").alias("n_errors"),
+    )
+
+
+@query("a07_ingest_coverage", drop=())
+def _(p: Panels) -> DataFrame:
+    wanted = p.table("customer").select(F.col("c_custkey").alias("key"))
+    arrived = p.table("orders").where("o_orderdate >= date'2000-01-01'")
+    return ingest.ingest_coverage(wanted, arrived.select(F.col("o_custkey").alias("key")), "key")
+
+
+@query("a08_latest_snapshot", 4)
+def _(p: Panels) -> DataFrame:
+    path, today = _scratch(p, "pulls"), dt.date(2001, 1, 3)
+    ingest.snapshot(p.flag_d.where("price > 1500"), path, today - dt.timedelta(days=1))
+    ingest.snapshot(p.flag_d.where("volume > 100"), path, today)
+    return ingest.latest_snapshot(p.spark, path, today, 2).select(SYMBOL, TS, "price", "volume")
+
+
+@query("a09_ingest_all", drop=())
+def _(p: Panels) -> DataFrame:
+    missing = _scratch(p, "no_such_file.csv")
+    tables = ingest.ingest_all(
+        {
+            "prices": lambda: p.brand_w,
+            "macro": lambda: p.macro_m,
+            "sentiment": lambda: p.sentiment_d,
+            "absent": lambda: readers.read_indicators(p.spark, missing, "absent"),
+        }
+    )
+    counts = [
+        df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.max(TS).alias("last"))
+        for n, df in tables.items()
+        if df is not None
+    ]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
+@query("a10_dim_asset", drop=())
+def _(p: Panels) -> DataFrame:
+    dim = p.table("part").groupBy(F.col("p_brand").alias(SYMBOL)).agg(
+        F.max("p_type").alias("asset_class")
+    )
+    return dimensions.class_counts(p.brand_w, dim)
+
+
+# --- shaping --------------------------------------------------------------------------
+
+
+def _day_close(p: Panels, name: str) -> DataFrame:
+    return p.flag_d.where(F.col(SYMBOL) == name).select(PANEL, TS, F.col("price").alias(f"p_{name}"))
+
+
+@query("b01_align_outer")
+def _(p: Panels) -> DataFrame:
+    return shape.align_outer(_day_close(p, "A_F"), _day_close(p, "R_O"))
+
+
+@query("b02_align_inner")
+def _(p: Panels) -> DataFrame:
+    return shape.align_inner(_day_close(p, "A_F"), _day_close(p, "R_O"))
+
+
+@query("b03_densify")
+def _(p: Panels) -> DataFrame:
+    return shape.densify(p.flag_d)
+
+
+@query("b04_to_wide")
+def _(p: Panels) -> DataFrame:
+    return shape.to_wide(p.flag_d, "price", ["A_F", "A_O", "N_F", "N_O", "R_F", "R_O"])
+
+
+@query("b05_select_features")
+def _(p: Panels) -> DataFrame:
+    return shape.select_features(ind.momentum(p.flag_d), ["momentum_[12]0"])
+
+
+@query("b06_drop_duplicate_columns")
+def _(p: Panels) -> DataFrame:
+    left = p.flag_d.select(PANEL, SYMBOL, TS, "price", "high")
+    return shape.align_outer(left, p.flag_d.select(PANEL, SYMBOL, TS, "high", "low"), [PANEL, SYMBOL, TS])
+
+
+@query("b07_order_by_time")
+def _(p: Panels) -> DataFrame:
+    return shape.order_by_time(p.flag_d.select(PANEL, SYMBOL, TS, "price"))
+
+
+@query("b08_top_k")
+def _(p: Panels) -> DataFrame:
+    return shape.top_k(
+        p.flag_d.select(SYMBOL, TS, "price"), 5, [F.desc("price"), F.col(TS)], [SYMBOL]
+    )
+
+
+@query("b08_top_k_overall")
+def _(p: Panels) -> DataFrame:
+    return shape.top_k(p.flag_d.select(SYMBOL, TS, "price"), 10, [F.desc("price"), F.col(TS)])
+
+
+@query("b09_feature_family_counts")
+def _(p: Panels) -> DataFrame:
+    wide = shape.align_outer(ind.sma(p.flag_d), ind.momentum(p.flag_d), [PANEL, SYMBOL, TS])
+    return shape.feature_family_counts(wide.drop("n_dates"))
+
+
+@query("b10_complete_cases")
+def _(p: Panels) -> DataFrame:
+    return shape.complete_cases(p.returns_of("flag_d"))
+
+
+# --- quality --------------------------------------------------------------------------
+
+
+@query("c01_panel_profile")
+def _(p: Panels) -> DataFrame:
+    return quality.panel_profile(p.flag_d)
+
+
+@query("c02_missing_pct")
+def _(p: Panels) -> DataFrame:
+    return quality.missing_pct(p.event_h)
+
+
+def _shifted(p: Panels) -> DataFrame:
+    """The events as they are include no negative value; centre them to get some."""
+    return p.flag_d.withColumn("price", F.floor((F.col("price") - 1500) / 100).cast("double"))
+
+
+@query("c03_negative_price_check")
+def _(p: Panels) -> DataFrame:
+    return quality.negative_price_check(_shifted(p))
+
+
+@query("c04_zero_price_check")
+def _(p: Panels) -> DataFrame:
+    return quality.zero_price_check(_shifted(p))
+
+
+@query("c05_extreme_return_check")
+def _(p: Panels) -> DataFrame:
+    return quality.extreme_return_check(p.flag_d)
+
+
+@query("c06_validation_issues")
+def _(p: Panels) -> DataFrame:
+    return quality.validation_issues(_shifted(p))
+
+
+# --- features -------------------------------------------------------------------------
+
+
+@query("e01_lag_features")
+def _(p: Panels) -> DataFrame:
+    return feat.lag_features(ind.returns(p.flag_d, [1]), ["return_daily", "no_such_column"])
+
+
+@query("e02_cs_rank")
+def _(p: Panels) -> DataFrame:
+    return feat.cs_rank(ind.returns(p.brand_w, [1]), "return_daily")
+
+
+@query("e03_cs_zscore")
+def _(p: Panels) -> DataFrame:
+    return feat.cs_zscore(ind.returns(p.brand_w, [1]), "return_daily")
+
+
+@query("e04_cs_deviation")
+def _(p: Panels) -> DataFrame:
+    return feat.cs_deviation(ind.returns(p.brand_w, [1]), "return_daily")
+
+
+@query("e05_interactions", 3)
+def _(p: Panels) -> DataFrame:
+    wide = shape.align_inner(ind.sma(p.flag_d, [20]), ind.rsi(p.flag_d), [PANEL, SYMBOL, TS])
+    return feat.interactions(wide, [("sma_20", "rsi_14"), ("sma_20", "nothing")]).drop("sma_20", "rsi_14")
+
+
+@query("e06_remove_weekends")
+def _(p: Panels) -> DataFrame:
+    return feat.remove_weekends(p.flag_d).select(SYMBOL, TS, "price")
+
+
+@query("e07_remove_holidays")
+def _(p: Panels) -> DataFrame:
+    return feat.remove_holidays(p.flag_d).select(SYMBOL, TS, "price")
+
+
+def _with_monthly(p: Panels) -> DataFrame:
+    """A dense price and a column with values on month starts only."""
+    return shape.densify(p.flag_d).withColumn("monthly", F.when(F.day(TS) == 3, F.col("price")))
+
+
+@query("e08_fill_sparse")
+def _(p: Panels) -> DataFrame:
+    return feat.fill_sparse(_with_monthly(p), ["price", "monthly"], skip_warmup=False)
+
+
+@query("e09_impute_interpolate")
+def _(p: Panels) -> DataFrame:
+    return feat.impute_interpolate(shape.densify(p.flag_d), ["price"])
+
+
+@query("e10_impute_ffill")
+def _(p: Panels) -> DataFrame:
+    return feat.impute_ffill(shape.densify(p.flag_d), ["price"])
+
+
+@query("e11_impute_mean")
+def _(p: Panels) -> DataFrame:
+    return feat.impute_mean(shape.densify(p.flag_d), ["price"])
+
+
+@query("e12_impute_median")
+def _(p: Panels) -> DataFrame:
+    return feat.impute_median(shape.densify(p.flag_d), ["price"])
+
+
+@query("e13_empty_features")
+def _(p: Panels) -> DataFrame:
+    return feat.empty_features(ind.sma(p.brand_w, (20, 200, 340)), ["sma_20", "sma_200", "sma_340"])
+
+
+@query("e14_drop_incomplete")
+def _(p: Panels) -> DataFrame:
+    return feat.drop_incomplete(shape.densify(p.flag_d), ["price"], "date")
+
+
+@query("e14_drop_incomplete_rows")
+def _(p: Panels) -> DataFrame:
+    return feat.drop_incomplete(shape.densify(p.flag_d), ["price"], "row")
+
+
+@query("e15_clean_features")
+def _(p: Panels) -> DataFrame:
+    return feat.clean_features(_with_monthly(p), ["price", "monthly"], skip_warmup=False)
+
+
+def _series(df: DataFrame) -> list[str]:
+    """Names of an indicator dimension: a handful of series."""
+    return sorted(r[0] for r in df.select("series_id").distinct().collect())
+
+
+@query("e16_join_exogenous", 4)
+def _(p: Panels) -> DataFrame:
+    return feat.join_exogenous(p.flag_d.select(PANEL, SYMBOL, TS), p.macro_m, _series(p.macro_m))
+
+
+@query("e16_join_exogenous_reference", 4)
+def _(p: Panels) -> DataFrame:
+    dates = feat.remove_holidays(feat.remove_weekends(p.flag_d)).select(PANEL, SYMBOL, TS)
+    return feat.join_exogenous(dates, p.macro_m, _series(p.macro_m), "reference")
+
+
+@query("e17_build_features", sma_20=4, sma_200=4, macro=4, sentiment=4)
+def _(p: Panels) -> DataFrame:
+    built = feat.build_features(
+        p.flag_d,
+        (p.macro_m, _series(p.macro_m)),
+        (p.sentiment_d, _series(p.sentiment_d)),
+        benchmark=BENCH,
+        impute="interpolate",
+    )
+    return built.select(
+        SYMBOL, TS, "return_daily", "sma_20", "vol_60", "return_daily_lag_5",
+        "return_daily_zscore", "return_daily_rank",
+        F.col("`1-URGENT`").alias("macro"), F.col("F").alias("sentiment"),
+    )

@@ -11,7 +11,10 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.schema import PANEL, PRICE, SYMBOL, TS
+from panelspark.operators.blocks import positions
+from panelspark.operators.indicators import returns
+from panelspark.operators.shape import complete_cases
+from panelspark.schema import CELL, PANEL, PRICE, RET, SYMBOL, TS
 from panelspark.session import shared_dir
 
 _STORED: dict[tuple[str, str, str], str] = {}
@@ -22,7 +25,7 @@ def _week(c: str) -> Column:
 
 
 class Panels:
-    """The derived panels of one table folder."""
+    """The derived panels of one table folder, stored with their calendar positions."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -35,7 +38,9 @@ class Panels:
         if key not in _STORED:
             tag = hashlib.sha256("|".join(key).encode()).hexdigest()[:16]
             path = f"{shared_dir(self.spark)}/panels/{tag}/{name}"
-            build().write.mode("overwrite").parquet(path)
+            df = build()
+            df = positions(df) if PANEL in df.columns else df
+            df.write.mode("overwrite").parquet(path)
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])
 
@@ -124,3 +129,17 @@ class Panels:
         return self._order_series(
             "sentiment_d", "o_orderstatus", F.col("o_orderdate").cast("date"), "sentiment"
         )
+
+    def returns_of(self, name: str) -> DataFrame:
+        """Padded daily returns of a panel as ``ret``, stored."""
+
+        def build() -> DataFrame:
+            return returns(getattr(self, name), [1]).select(
+                *CELL, F.col("return_daily").alias(RET), "pos", "n_dates"
+            )
+
+        return self.stored(f"returns_{name}", build)
+
+    def complete_returns(self, name: str) -> DataFrame:
+        """The dates of ``returns_of`` on which every symbol has a return, stored."""
+        return self.stored(f"complete_{name}", lambda: complete_cases(self.returns_of(name)))
