@@ -216,46 +216,57 @@ def running(
     df: DataFrame,
     keys: Sequence[str],
     outputs: dict[str, tuple[str, Column]],
-    order: Column | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Running ``sum``/``max``/``last`` over an unbounded past, current row included.
+    """Unbounded frames along ``pos``: running ``sum``, ``max`` and ``last`` known value of the
+    past, or the ``next`` known value, always with the current row. NULL inputs are skipped.
 
-    Scans blocks alone, prefixes one summary row per block and joins it back. ``order`` is an
-    integral position; negate it to scan backwards. NULL inputs are skipped.
+    Scans blocks alone, prefixes one summary row per block and joins it back.
     """
     keys = list(keys)
-    order = F.col(POS) if order is None else order
     scans = {
         "sum": F.sum,
         "max": F.max,
         "last": lambda c: F.last(c, ignorenulls=True),
+        "next": lambda c: F.last(c, ignorenulls=True),
     }
-    base = df.withColumn("_o", order).withColumn("_b", F.floor(F.col("_o") / block_rows))
-    w = Window.partitionBy(*keys, "_b").orderBy("_o")
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    base = df.withColumn("_b", F.floor(F.col(POS) / block_rows))
+    order = {k: F.desc(POS) if k == "next" else F.asc(POS) for k in scans}
+
+    def past(kind: str) -> WindowSpec:
+        w = Window.partitionBy(*keys, "_b").orderBy(order[kind])
+        return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    whole = Window.partitionBy(*keys, "_b").orderBy(POS).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
     local = base.select(
         *df.columns,
         "_b",
-        *[scans[kind](c).over(so_far).alias(f"_l_{name}") for name, (kind, c) in outputs.items()],
-        F.lead("_o").over(w).isNull().alias("_end"),
-    )
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = local.where("_end").select(
-        *keys,
-        "_b",
+        *[scans[kind](c).over(past(kind)).alias(f"_l_{n}") for n, (kind, c) in outputs.items()],
         *[
-            scans[kind](F.col(f"_l_{name}")).over(before).alias(f"_c_{name}")
-            for name, (kind, _) in outputs.items()
+            F.first(c, ignorenulls=True).over(whole).alias(f"_w_{n}")
+            for n, (kind, c) in outputs.items()
+            if kind == "next"
         ],
+        F.lead(POS).over(Window.partitionBy(*keys, "_b").orderBy(POS)).isNull().alias("_end"),
+    )
+
+    def prior(kind: str, name: str) -> Column:
+        w = Window.partitionBy(*keys).orderBy(F.desc("_b") if kind == "next" else F.asc("_b"))
+        summary = f"_w_{name}" if kind == "next" else f"_l_{name}"
+        return scans[kind](F.col(summary)).over(w.rowsBetween(Window.unboundedPreceding, -1))
+
+    carry = local.where("_end").select(
+        *keys, "_b", *[prior(kind, n).alias(f"_c_{n}") for n, (kind, _) in outputs.items()]
     )
 
     def combine(name: str, kind: str) -> Column:
-        here, prior = F.col(f"_l_{name}"), F.col(f"_c_{name}")
+        here, before = F.col(f"_l_{name}"), F.col(f"_c_{name}")
         if kind == "sum":
-            total = F.coalesce(here, F.lit(0.0)) + F.coalesce(prior, F.lit(0.0))
-            return F.when(here.isNotNull() | prior.isNotNull(), total)
-        return F.greatest(here, prior) if kind == "max" else F.coalesce(here, prior)
+            total = F.coalesce(here, F.lit(0.0)) + F.coalesce(before, F.lit(0.0))
+            return F.when(here.isNotNull() | before.isNotNull(), total)
+        return F.greatest(here, before) if kind == "max" else F.coalesce(here, before)
 
     kept = [c for c in df.columns if c not in outputs]
     return local.join(carry, [*keys, "_b"]).select(

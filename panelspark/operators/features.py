@@ -162,17 +162,12 @@ def fill_both_ways(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Last known value, before the first one the first known value."""
-    columns = list(columns)
-    forward = running(
-        df, keys, {c: ("last", F.col(c)) for c in columns}, block_rows=block_rows
+    scans = {f"_p_{c}": ("last", F.col(c)) for c in columns}
+    scans |= {f"_n_{c}": ("next", F.col(c)) for c in columns}
+    kept = [c for c in df.columns if c not in columns]
+    return running(df, keys, scans, block_rows).select(
+        *kept, *[F.coalesce(f"_p_{c}", f"_n_{c}").alias(c) for c in columns]
     )
-    return running(
-        forward,
-        keys,
-        {c: ("last", F.col(c)) for c in columns},
-        order=-F.col(POS),
-        block_rows=block_rows,
-    ).select(*df.columns)
 
 
 def complete_rows(df: DataFrame) -> DataFrame:
@@ -250,16 +245,9 @@ def impute_interpolate(
         c: F.when(F.col(c).isNotNull(), F.struct(F.col(POS).alias("p"), F.col(c).alias("v")))
         for c in columns
     }
-    both = running(
-        placed, SERIES, {f"_a_{c}": ("last", x) for c, x in points.items()}, block_rows=block_rows
-    )
-    both = running(
-        both,
-        SERIES,
-        {f"_z_{c}": ("last", x) for c, x in points.items()},
-        order=-F.col(POS),
-        block_rows=block_rows,
-    )
+    scans = {f"_a_{c}": ("last", x) for c, x in points.items()}
+    scans |= {f"_z_{c}": ("next", x) for c, x in points.items()}
+    both = running(placed, SERIES, scans, block_rows)
 
     def line(c: str):
         a, z = F.col(f"_a_{c}"), F.col(f"_z_{c}")
@@ -392,7 +380,7 @@ def exogenous(
     union = dates.select(TS).distinct().join(wide, TS, "full_outer")
     if mode == "reference":
         union = remove_holidays(remove_weekends(union))
-    union = positions(union.withColumn(PANEL, F.lit("exogenous")))
+    union = positions(stage(union.withColumn(PANEL, F.lit("exogenous"))))
     if mode == "asof":
         union = running(union, [PANEL], {c: ("last", F.col(f"`{c}`")) for c in series})
     else:

@@ -196,15 +196,15 @@ def interp(source: str, name: str, cols: list[str]) -> str:
     """CTE ``name``: linear interpolation of ``cols`` of ``source`` by row position per symbol."""
     pre = ", ".join(
         f"last_value({c} ignore nulls) over (partition by symbol order by ts rows unbounded preceding) {c}_a,"
-        f" last_value(case when {c} is not null then k end ignore nulls) over (partition by symbol order by ts rows unbounded preceding) {c}_p,"
+        f" last_value(case when {c} is not null then kk end ignore nulls) over (partition by symbol order by ts rows unbounded preceding) {c}_p,"
         f" last_value({c} ignore nulls) over (partition by symbol order by ts desc rows unbounded preceding) {c}_z,"
-        f" last_value(case when {c} is not null then k end ignore nulls) over (partition by symbol order by ts desc rows unbounded preceding) {c}_q"
+        f" last_value(case when {c} is not null then kk end ignore nulls) over (partition by symbol order by ts desc rows unbounded preceding) {c}_q"
         for c in cols
     )
     post = ", ".join(
-        f"coalesce({c}, {c}_a+({c}_z-{c}_a)*((k-{c}_p)/nullif(cast({c}_q-{c}_p as double),0)), {c}_a, {c}_z) {c}_i" for c in cols
+        f"coalesce({c}, {c}_a+({c}_z-{c}_a)*((kk-{c}_p)/nullif(cast({c}_q-{c}_p as double),0)), {c}_a, {c}_z) {c}_i" for c in cols
     )
-    return f"""{name}_k as (select *, row_number() over (partition by symbol order by ts) k from {source}),
+    return f"""{name}_k as (select *, row_number() over (partition by symbol order by ts) kk from {source}),
 {name}_n as (select *, {pre} from {name}_k), {name} as (select *, {post} from {name}_n)"""
 
 
