@@ -265,5 +265,86 @@ def _features() -> dict[str, str]:
     return out
 
 
+
+RETS = f"""{grid('brand')}, rr as (select symbol, ts, {ret(1)} ret from g),
+ ok as (select ts from rr group by ts having count(ret)=count(*)), cr0 as (select * from rr where ts in (select ts from ok)),
+ cc as (select ts, row_number() over (order by ts)-1 pos from ok), cr as (select cr0.symbol, cr0.ts, cc.pos, cr0.ret from cr0 join cc on cc.ts=cr0.ts)"""
+VOLM = f"vs as (select symbol, ts, pos, {full('stddev_samp', 'ret', 21)}*sqrt(252) v from cr), vm as (select ts, avg(v) volatility from vs group by ts)"
+MKT = "mk as (select ts, avg(ret) market_return, stddev_samp(ret) dispersion from cr group by ts)"
+CORRM = """wn as (select t.pos tp, c.symbol, c.pos, c.ret from cc t join cr c on c.pos between t.pos-60 and t.pos-1 where t.pos >= 60),
+ zs as (select tp, symbol, pos, (ret-avg(ret) over (partition by tp, symbol))/nullif(stddev_samp(ret) over (partition by tp, symbol),0) z from wn),
+ pr as (select a.tp, a.symbol s1, b.symbol s2, sum(a.z*b.z)/59 rho from zs a join zs b on a.tp=b.tp and a.pos=b.pos and a.symbol<b.symbol group by 1,2,3),
+ cm as (select tp, avg(rho) correlation from pr group by tp)"""
+RFEAT = f"""{RETS}, {VOLM}, {MKT}, {CORRM}, rf as (select mk.ts, market_return, volatility, correlation, dispersion from mk join vm on vm.ts=mk.ts
+ join cc on cc.ts=mk.ts join cm on cm.tp=cc.pos where volatility is not null and correlation is not null)"""
+VREG = f"""{RETS}, {VOLM}, {MKT}, q as (select quantile_cont(volatility,0.25) q0, quantile_cont(volatility,0.5) q1, quantile_cont(volatility,0.75) q2 from vm),
+ vr as (select ts, volatility, case when volatility>q2 then 3 when volatility>q1 then 2 when volatility<=q0 then 0 else 1 end regime from vm cross join q)"""
+SIGN = "sg as (select ts, case when market_return>0 then 1 else 0 end regime from mk)"
+
+
+def _cov(x: str, y: str) -> str:
+    return f"covar_samp({x},{y})"
+
+
+def _market() -> dict[str, str]:
+    out = {}
+    out["f01_market_return"] = f"with {RETS}, {MKT} select ts, {r('market_return')} market_return from mk"
+    out["f02_dispersion"] = f"with {RETS}, {MKT} select ts, {r('dispersion')} dispersion from mk"
+    out["f03_market_volatility"] = f"with {RETS}, {VOLM} select ts, {r('volatility')} volatility from vm"
+    out["f04_avg_pairwise_correlation"] = f"with {RETS}, {CORRM} select cc.ts, {r('correlation')} correlation from cc left join cm on cm.tp=cc.pos"
+    out["f05_regime_features"] = f"with {RFEAT} select ts, {r('market_return')} market_return, {r('volatility')} volatility, {r('correlation')} correlation, {r('dispersion')} dispersion from rf"
+    pairs = "from rr a join rr b on a.ts=b.ts where a.ret is not null and b.ret is not null group by 1,2"
+    out["f06_covariance"] = f"with {RETS}, p as (select a.symbol sym_i, b.symbol sym_j, covar_samp(a.ret,b.ret) c {pairs}) select sym_i, sym_j, {r('c', 7)} cov from p"
+    out["f07_correlation"] = f"with {RETS}, p as (select a.symbol sym_i, b.symbol sym_j, covar_samp(a.ret,b.ret)/nullif(stddev_samp(a.ret)*stddev_samp(b.ret),0) c {pairs}) select sym_i, sym_j, {r('greatest(least(c,1),-1)')} corr from p"
+    out["f08_annualised_moments"] = f"with {RETS}, p as (select symbol, avg(ret)*252 m, var_samp(ret)*252 v from cr group by 1) select symbol, {r('m', 5)} mu, {r('v', 5)} variance from p"
+    out["f09_moments_by_regime"] = f"""with {RETS}, {MKT}, {SIGN}, x as (select cr.*, sg.regime from cr join sg on sg.ts=cr.ts),
+ p as (select a.regime, a.symbol sym_i, b.symbol sym_j, covar_samp(a.ret,b.ret) c, avg(a.ret) m from x a join x b on a.ts=b.ts group by 1,2,3) select regime, sym_i, sym_j, {r('c', 7)} cov, {r('m', 7)} mu from p"""
+    cols = ("market_return", "volatility", "correlation", "dispersion")
+    m = "+".join(f"avg({c})" for c in cols)
+    s = "+".join(f"stddev_samp({c})" for c in cols)
+    out["f10_regime_feature_stats"] = f"with {RFEAT}, {SIGN}, p as (select regime, ({m})/4 a, ({s})/4 b from rf join sg on sg.ts=rf.ts group by 1) select regime, {r('a')} mean_feature, {r('b')} std_feature from p"
+    return out
+
+
+def _onehot(k: int) -> str:
+    return ", ".join(f"case when regime={i} then 1.0::double else 0.0::double end prob_regime_{i}" for i in range(k))
+
+
+def _regimes() -> dict[str, str]:
+    out = {}
+    name = "case regime when 0 then 'Low Vol' when 1 then 'Normal' when 2 then 'High Vol' else 'Crisis' end"
+    out["g01_volatility_regimes"] = f"with {VREG} select ts, regime, {r('volatility')} volatility, {name} regime_name, {_onehot(4)} from vr"
+    z = ", ".join(f"({c}-avg({c}) over ())/stddev_pop({c}) over () z{i}" for i, c in enumerate(("market_return", "volatility")))
+    out["g02_standardise"] = f"with {RFEAT}, s as (select ts, {z} from rf) select ts, {r('z0')} market_return, {r('z1')} volatility from s"
+    cen = ", ".join(f"avg(embedding[{i}]::double) c{i}" for i in (1, 2, 3))
+    d = "+".join(f"pow(embedding[{i}]::double-c{i},2)" for i in (1, 2, 3))
+    out["g05_inverse_distance_probs"] = f"""with c as (select label, {cen} from embeddings where label<4 group by 1),
+ d as (select vec_id, c.label, sqrt({d}) dist from embeddings cross join c), w as (select vec_id, label, dist, 1/(dist+1e-10)/sum(1/(dist+1e-10)) over (partition by vec_id) pr, row_number() over (partition by vec_id order by dist, label) rk from d)
+ select vec_id, max(case when rk=1 then label end) regime, {', '.join(r(f'max(case when label={i} then pr end)') + f' prob_regime_{i}' for i in range(4))} from w group by vec_id"""
+    lab = f"lb as (select rf.*, vr.regime from rf join vr on vr.ts=rf.ts)"
+    vreg_on_rf = f"q as (select quantile_cont(volatility,0.25) q0, quantile_cont(volatility,0.5) q1, quantile_cont(volatility,0.75) q2 from vm), vr as (select ts, case when volatility>q2 then 3 when volatility>q1 then 2 when volatility<=q0 then 0 else 1 end regime from vm cross join q)"
+    med = "md as (select median(volatility) mv, median(correlation) mc, median(dispersion) mdi from rf)"
+    out["g06_cluster_regime_names"] = f"""with {RFEAT}, {vreg_on_rf}, {lab}, {med}, a as (select regime, avg(market_return) r, avg(volatility) v, avg(correlation) c, avg(dispersion) d from lb group by 1)
+ select regime, concat_ws(' ', case when r>0 then 'Bull' else 'Bear' end, case when v<mv then 'Low Vol' else 'High Vol' end, case when c>mc then 'High Corr' end, case when d>mdi then 'High Disp' end) regime_name from a cross join md"""
+    out["g12_hmm_regime_names"] = f"""with {RFEAT}, {vreg_on_rf}, {lab}, {med}, a as (select regime, avg(market_return) r, avg(volatility) v from lb group by 1)
+ select regime, concat_ws(' ', case when r>0 then 'Bull' else 'Bear' end, case when v<mv then 'Low Vol' else 'High Vol' end) regime_name from a cross join md"""
+    out["g15_segments_to_regimes"] = f"""with {RETS}, {MKT}, f as (select ts, abs(market_return)>0.15 is_change from mk),
+ s as (select ts, is_change, cast(sum(case when is_change then 1 else 0 end) over (order by ts rows unbounded preceding) % 3 as integer) regime from f) select ts, is_change, regime, concat('Regime ', regime+1) regime_name, {_onehot(3)} from s"""
+    out["g16_one_hot_probs"] = f"with {VREG} select ts, regime, {_onehot(4)} from vr"
+    x = f"x as (select regime, {name} regime_name, market_return mr from vr join mk on mk.ts=vr.ts)"
+    out["g17_regime_characteristics"] = f"""with {VREG}, {x}, a as (select regime, min(regime_name) regime_name, count(*) n_days, avg(mr) m, stddev_samp(mr)*sqrt(252) v, skewness(mr) sk, kurtosis(mr) ku, max(mr) mx, min(mr) mn from x group by 1)
+ select regime, regime_name, n_days, {r('m', 5)} mean_return, {r('v', 5)} volatility, {r('sk', 5)} skewness, {r('ku', 5)} kurtosis, {r('mx', 5)} max_return, {r('mn', 5)} min_return,
+ {r('n_days*100.0::double/sum(n_days) over ()', 5)} pct_days, {r('m*252/nullif(v,0)', 5)} sharpe_ratio from a"""
+    out["g18_transition_matrix"] = f"""with {VREG}, n as (select regime f, lead(regime) over (order by ts) t from vr), c as (select f, t, count(*) k from n where t is not null group by 1,2),
+ l as (select distinct regime from vr), p as (select a.regime f, b.regime t, coalesce(k,0) k from l a cross join l b left join c on c.f=a.regime and c.t=b.regime)
+ select f from_regime, t to_regime, {r('coalesce(cast(k as double)/nullif(sum(k) over (partition by f),0),0)')} probability from p"""
+    out["g19_regime_frequencies"] = f"with {VREG}, c as (select regime, count(*) n_days from vr group by 1) select regime, n_days, {r('cast(n_days as double)/sum(n_days) over ()')} probability from c"
+    runs = f"{VREG}, t as (select ts, regime, case when lag(regime) over (order by ts) is distinct from regime then 1 else 0 end turn from vr), u as (select ts, regime, cast(sum(turn) over (order by ts rows unbounded preceding) as bigint) run from t), w as (select run, min(regime) regime, min(ts) \"start\", count(*) len from u group by 1)"
+    out["g20_regime_runs"] = f'with {runs} select run, regime, "start", len "length" from w'
+    out["g20_mean_run_length"] = f"with {runs} select count(*) n_runs, {r('avg(len)')} mean_length from w"
+    out["g21_sign_regimes"] = f"with {RETS}, {MKT}, {SIGN} select ts, regime from sg"
+    return out
+
+
 def all_sql() -> dict[str, str]:
-    return {**_indicators(), **_sources(), **_shape(), **_quality(), **_features()}
+    return {**_indicators(), **_sources(), **_shape(), **_quality(), **_features(), **_market(), **_regimes()}

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from panelspark.functions.numeric import rounded
 from panelspark.operators import features as feat
 from panelspark.operators import indicators as ind
-from panelspark.operators import quality, shape
+from panelspark.operators import market, quality, regimes, shape
 from panelspark.schema import PANEL, POS, SYMBOL, TS
 from panelspark.session import shared_dir
 from panelspark.sources import dimensions, ingest, readers, writers
@@ -445,3 +445,185 @@ def _(p: Panels) -> DataFrame:
         "return_daily_zscore", "return_daily_rank",
         F.col("`1-URGENT`").alias("macro"), F.col("F").alias("sentiment"),
     )
+
+
+# --- market series and moments --------------------------------------------------------
+
+
+@query("f01_market_return")
+def _(p: Panels) -> DataFrame:
+    return market.market_return(p.complete_returns("brand_w"))
+
+
+@query("f02_dispersion")
+def _(p: Panels) -> DataFrame:
+    return market.dispersion(p.complete_returns("brand_w"))
+
+
+@query("f03_market_volatility")
+def _(p: Panels) -> DataFrame:
+    return market.market_volatility(p.complete_returns("brand_w"))
+
+
+@query("f04_avg_pairwise_correlation")
+def _(p: Panels) -> DataFrame:
+    return market.avg_pairwise_correlation(p.complete_returns("brand_w"), tile=16)
+
+
+@query("f05_regime_features")
+def _(p: Panels) -> DataFrame:
+    return market.regime_features(p.complete_returns("brand_w"))
+
+
+@query("f06_covariance", 7)
+def _(p: Panels) -> DataFrame:
+    return market.covariance(p.returns_of("brand_w"))
+
+
+@query("f07_correlation")
+def _(p: Panels) -> DataFrame:
+    return market.correlation(p.returns_of("brand_w"), tile=16, chunk=128)
+
+
+@query("f08_annualised_moments", 5)
+def _(p: Panels) -> DataFrame:
+    mu, cov = market.annualised_moments(p.complete_returns("brand_w"))
+    own = cov.where("sym_i = sym_j").select(PANEL, F.col("sym_i").alias(SYMBOL), F.col("cov").alias("variance"))
+    return mu.join(own, [PANEL, SYMBOL])
+
+
+def _sign_regimes(p: Panels) -> DataFrame:
+    return regimes.sign_regimes(p.complete_returns("brand_w"))
+
+
+@query("f09_moments_by_regime", 7)
+def _(p: Panels) -> DataFrame:
+    mu, cov = market.moments_by_regime(p.complete_returns("brand_w"), _sign_regimes(p))
+    return cov.join(mu.withColumnRenamed(SYMBOL, "sym_i"), [PANEL, "regime", "sym_i"])
+
+
+@query("f10_regime_feature_stats")
+def _(p: Panels) -> DataFrame:
+    columns = ["market_return", "volatility", "correlation", "dispersion"]
+    return market.regime_feature_stats(p.regime_features, _sign_regimes(p), columns)
+
+
+# --- regimes --------------------------------------------------------------------------
+
+
+@query("g01_volatility_regimes")
+def _(p: Panels) -> DataFrame:
+    found = regimes.volatility_regimes(p.complete_returns("brand_w"))
+    return regimes.unpack_probs(found, 4)
+
+
+@query("g02_standardise")
+def _(p: Panels) -> DataFrame:
+    return regimes.standardise(p.regime_features, ["market_return", "volatility"]).select(
+        TS, "market_return", "volatility"
+    )
+
+
+def _vectors(p: Panels) -> DataFrame:
+    """The embedding table as one panel of vectors."""
+    return p.table("embeddings").select(
+        F.lit("embeddings").alias(PANEL),
+        F.col("vec_id").alias(TS),
+        F.col("embedding").cast("array<double>").alias("x"),
+    )
+
+
+@query("g03_pca")
+def _(p: Panels) -> DataFrame:
+    model = regimes.pca_fit(_vectors(p), 3)
+    return model.select("component", "explained", F.array_max(F.transform("loadings", F.abs)).alias("peak"))
+
+
+@query("g04_kmeans_regimes")
+def _(p: Panels) -> DataFrame:
+    points = _vectors(p)
+    centres = regimes.kmeans_fit(points, k=4, dims=64, restarts=3, max_iter=15)
+    found = regimes.assign_clusters(points, centres)
+    return found.groupBy("regime").agg(F.count(F.lit(1)).alias("n_points"))
+
+
+@query("g05_inverse_distance_probs")
+def _(p: Panels) -> DataFrame:
+    """Distances to the mean vectors of the first labels."""
+    points = p.table("embeddings").select(
+        F.lit("embeddings").alias(PANEL), "vec_id", "label",
+        F.slice(F.col("embedding").cast("array<double>"), 1, 3).alias("x"),
+    )
+    means = points.where("label < 4").groupBy(PANEL, "label").agg(
+        F.array(*[F.avg(F.col("x")[i]) for i in range(3)]).alias("c")
+    )
+    centres = means.groupBy(PANEL).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("label", "c"))), lambda s: s["c"]).alias("centres")
+    )
+    found = regimes.assign_clusters(points, centres)
+    return regimes.unpack_probs(found.select("vec_id", "regime", "probs"), 4)
+
+
+@query("g06_cluster_regime_names")
+def _(p: Panels) -> DataFrame:
+    columns = ["market_return", "volatility", "correlation", "dispersion"]
+    labelled = p.regime_features.join(p.volatility_regimes.select(PANEL, TS, "regime"), [PANEL, TS])
+    return regimes.cluster_regime_names(labelled, columns)
+
+
+@query("g07_clustering_regimes")
+def _(p: Panels) -> DataFrame:
+    found = regimes.clustering_regimes(p.regime_features, restarts=4, max_iter=20)
+    return regimes.unpack_probs(found, 4)
+
+
+@query("g12_hmm_regime_names")
+def _(p: Panels) -> DataFrame:
+    labelled = p.regime_features.join(p.volatility_regimes.select(PANEL, TS, "regime"), [PANEL, TS])
+    return regimes.hmm_regime_names(labelled)
+
+
+def _big_moves(p: Panels) -> DataFrame:
+    moves = market.market_return(p.complete_returns("brand_w"))
+    return moves.select(PANEL, TS, (F.abs("market_return") > 0.15).alias("is_change"))
+
+
+@query("g15_segments_to_regimes")
+def _(p: Panels) -> DataFrame:
+    return regimes.unpack_probs(regimes.segments_to_regimes(_big_moves(p), 3), 3)
+
+
+@query("g16_one_hot_probs")
+def _(p: Panels) -> DataFrame:
+    labelled = p.volatility_regimes.select(TS, "regime")
+    return regimes.unpack_probs(labelled.withColumn("probs", regimes.one_hot_probs(F.col("regime"), 4)), 4)
+
+
+@query("g17_regime_characteristics", 5)
+def _(p: Panels) -> DataFrame:
+    return regimes.regime_characteristics(p.volatility_regimes, p.complete_returns("brand_w"))
+
+
+@query("g18_transition_matrix")
+def _(p: Panels) -> DataFrame:
+    return regimes.transition_matrix(p.volatility_regimes)
+
+
+@query("g19_regime_frequencies")
+def _(p: Panels) -> DataFrame:
+    return regimes.regime_frequencies(p.volatility_regimes)
+
+
+@query("g20_regime_runs")
+def _(p: Panels) -> DataFrame:
+    return regimes.regime_runs(p.volatility_regimes)
+
+
+@query("g20_mean_run_length")
+def _(p: Panels) -> DataFrame:
+    return regimes.mean_run_length(p.volatility_regimes)
+
+
+@query("g21_sign_regimes")
+def _(p: Panels) -> DataFrame:
+    return _sign_regimes(p)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from panelspark.operators.blocks import positions
 from panelspark.operators.indicators import returns
+from panelspark.operators.market import regime_features
+from panelspark.operators.regimes import volatility_regimes
 from panelspark.operators.shape import complete_cases
 from panelspark.schema import CELL, PANEL, PRICE, RET, SYMBOL, TS
 from panelspark.session import shared_dir
@@ -143,3 +145,15 @@ class Panels:
     def complete_returns(self, name: str) -> DataFrame:
         """The dates of ``returns_of`` on which every symbol has a return, stored."""
         return self.stored(f"complete_{name}", lambda: complete_cases(self.returns_of(name)))
+
+    @property
+    def regime_features(self) -> DataFrame:
+        return self.stored(
+            "regime_features", lambda: regime_features(self.complete_returns("brand_w"))
+        )
+
+    @property
+    def volatility_regimes(self) -> DataFrame:
+        return self.stored(
+            "volatility_regimes", lambda: volatility_regimes(self.complete_returns("brand_w"))
+        )
