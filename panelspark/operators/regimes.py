@@ -21,7 +21,7 @@ from panelspark.operators.blocks import (
 from panelspark.operators.market import market_return, market_volatility, regime_features
 from panelspark.operators.shape import matching_columns
 from panelspark.schema import PANEL, POS, RET, TS
-from panelspark.session import cut, stage
+from panelspark.session import stage
 
 # fixed values: names of the four volatility regimes
 VOLATILITY_NAMES = ["Low Vol", "Normal", "High Vol", "Crisis"]
@@ -171,7 +171,7 @@ def kmeans_fit(
     All panels and restarts advance in the same job: assignments are narrow, centres are
     averages with partial aggregation, and only the movement of the centres is looked at.
     """
-    points = points.select(PANEL, TS, "x")
+    points = stage(points.select(PANEL, TS, "x"))
     starts = points.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))))
     lot = F.xxhash64(F.lit(seed), F.col(PANEL), F.col(TS).cast("string"), F.col("r"))
     first = (
@@ -186,7 +186,7 @@ def kmeans_fit(
             F.transform(ordered, lambda s: s["c"]).alias("centres"), *more
         )
 
-    centres = cut(pack(first))
+    centres = stage(pack(first))
     for _ in range(max_iter):
         assigned = starts.join(centres, [PANEL, "r"]).withColumn("j", _nearest(F.col("x"), F.col("centres")))
         means = assigned.groupBy(PANEL, "r", "j").agg(
@@ -197,7 +197,7 @@ def kmeans_fit(
         moved = F.aggregate(
             F.zip_with("old", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
         )
-        centres = cut(pack(step, F.max(moved).alias("moved")))
+        centres = stage(pack(step, F.max(moved).alias("moved")))
         if centres.agg(F.max("moved")).first()[0] <= tol:
             break
     inertia = (

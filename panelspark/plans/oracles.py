@@ -346,5 +346,59 @@ def _regimes() -> dict[str, str]:
     return out
 
 
+
+PCOV = "pc as (select a.symbol sym_i, b.symbol sym_j, covar_samp(a.ret,b.ret) cov from cr a join cr b on a.ts=b.ts group by 1,2), pm as (select symbol, avg(ret) mu from cr group by 1)"
+STRAT = """pl as (select symbol, avg(price) a from brand group by 1), pv as (select sym_i symbol, 1/sqrt(cov) iv from pc where sym_i=sym_j),
+ st as (select 'equal' strategy, symbol, 1.0::double/count(*) over () weight from pl union all select 'price', symbol, a/sum(a) over () from pl union all select 'parity', symbol, iv/sum(iv) over () from pv)"""
+PORT = f"{RETS}, {PCOV}, {STRAT}"
+RECUR = """bt(t, strategy, symbol, w, val, pr, turn, tgt) as (select 0::bigint, strategy, symbol, weight, 1.0::double, null::double, 0.0::double, weight from st
+ union all select b.t+1, b.strategy, b.symbol,
+  case when (b.t+1) % 21 = 0 then b.tgt else b.w*(1+c.ret)/sum(b.w*(1+c.ret)) over (partition by b.strategy) end,
+  b.val*(1+sum(b.w*c.ret) over (partition by b.strategy))*(case when (b.t+1) % 21 = 0 then 1-0.001*sum(abs(b.w-b.tgt)) over (partition by b.strategy) else 1 end),
+  sum(b.w*c.ret) over (partition by b.strategy),
+  case when (b.t+1) % 21 = 0 then sum(abs(b.w-b.tgt)) over (partition by b.strategy) else 0.0 end, b.tgt
+  from bt b join cr c on c.symbol=b.symbol and c.pos=b.t+1),
+ lg0 as (select strategy, t, max(val) val, max(pr) pr, max(turn) turn from bt where t>0 group by 1,2),
+ lg as (select strategy, cc.ts, t, val portfolio_value, pr portfolio_return, turn turnover, turn*0.001 transaction_cost, val/first_value(val) over (partition by strategy order by t)-1 cumulative_return from lg0 join cc on cc.pos=lg0.t)"""
+WEALTH = """wl as (select *, exp(sum(ln(1+portfolio_return)) over (partition by strategy order by t rows unbounded preceding)) wealth from lg),
+ dd as (select *, wealth/max(wealth) over (partition by strategy order by t rows unbounded preceding)-1 drawdown from wl)"""
+METRICS = """m0 as (select strategy, arg_max(cumulative_return, t) total_return, count(*) n, stddev_samp(portfolio_return)*sqrt(252) annualized_volatility,
+ stddev_samp(case when portfolio_return<0 then portfolio_return end)*sqrt(252) dn, min(drawdown) max_drawdown, avg(case when portfolio_return>0 then 1.0::double else 0 end) win_rate,
+ sum(transaction_cost) total_transaction_costs, avg(portfolio_return) avg_daily_return, skewness(portfolio_return) skewness, kurtosis(portfolio_return) kurtosis from dd group by 1),
+ m1 as (select *, pow(1+total_return, 252.0/n)-1 annualized_return from m0),
+ mt as (select *, case when annualized_volatility>0 then annualized_return/annualized_volatility else 0 end sharpe_ratio, case when dn>0 then annualized_return/dn else 0 end sortino_ratio,
+ case when max_drawdown<>0 then annualized_return/abs(max_drawdown) else 0 end calmar_ratio from m1)"""
+METRIC_NAMES = ("total_return", "annualized_return", "annualized_volatility", "sharpe_ratio", "sortino_ratio", "calmar_ratio", "max_drawdown",
+ "win_rate", "total_transaction_costs", "avg_daily_return", "skewness", "kurtosis")
+
+
+def _portfolios() -> dict[str, str]:
+    out = {}
+    out["h04_risk_parity"] = f"with {RETS}, {PCOV}, v as (select sym_i symbol, sqrt(cov) s from pc where sym_i=sym_j) select symbol, {r('(1/s)/sum(1/s) over ()')} weight, {r('s')} asset_volatility from v"
+    mg = "mg as (select strategy, sym_i symbol, sum(cov*weight) m from pc join st on st.symbol=pc.sym_j group by 1,2), wm as (select st.strategy, st.symbol, weight*m part, weight from st join mg on mg.strategy=st.strategy and mg.symbol=st.symbol)"
+    out["h05_risk_contributions"] = f"with {PORT}, {mg} select strategy problem_id, symbol, {r('part/sum(part) over (partition by strategy)')} risk_contribution from wm"
+    out["h06_portfolio_stats"] = f"""with {PORT}, {mg}, s as (select strategy, sum(weight*mu) e, sum(part) v from wm join pm on pm.symbol=wm.symbol group by 1)
+ select strategy problem_id, {r('e')} expected_return, {r('v')} variance, {r('sqrt(v)')} volatility, {r('coalesce(e/nullif(sqrt(v),0),0)')} sharpe_ratio from s"""
+    out["h07_blend_regime_moments"] = f"""with {RETS}, {MKT}, {SIGN}, fr as (select regime, count(*)/sum(count(*)) over () p from sg group by 1), x as (select cr.*, sg.regime from cr join sg on sg.ts=cr.ts),
+ b as (select a.regime, a.symbol sym_i, b.symbol sym_j, covar_samp(a.ret,b.ret) c, avg(a.ret) m from x a join x b on a.ts=b.ts group by 1,2,3),
+ y as (select sym_i, sym_j, sum(p*c) c, sum(p*m) m from b join fr on fr.regime=b.regime group by 1,2) select sym_i, sym_j, {r('c', 7)} cov, {r('m', 7)} mu from y"""
+    out["h08_turnover_cost"] = f"""with {PORT}, t as (select a.strategy, sum(abs(a.weight-b.weight)) v from st a join st b on a.symbol=b.symbol and b.strategy='equal' group by 1)
+ select strategy problem_id, {r('v')} turnover, {r('v*0.001')} transaction_cost from t"""
+    rec = f"with recursive {PORT}, {RECUR}"
+    out["i01_backtest"] = f"{rec} select strategy, ts, " + ", ".join(f"{r(c)} {c}" for c in ("portfolio_value", "portfolio_return", "turnover", "transaction_cost", "cumulative_return")) + " from lg"
+    out["i02_constant_weights"] = f"with {PORT} select strategy, cr.symbol, ts, {r('weight')} weight from cr join st on st.symbol=cr.symbol"
+    out["i03_performance_metrics"] = f"{rec}, {WEALTH}, {METRICS} select strategy, " + ", ".join(f"{r(c, 5)} {c}" for c in METRIC_NAMES) + " from mt"
+    out["i04_drawdown_series"] = f"{rec}, {WEALTH} select strategy, ts, {r('wealth')} wealth, {r('drawdown')} drawdown from dd"
+    out["i05_cumulative_return"] = f"{rec} select strategy, ts, {r('cumulative_return')} cumulative_return from lg"
+    w = "over (partition by strategy order by t rows between 251 preceding and current row)"
+    out["i06_rolling_sharpe"] = f"{rec}, s as (select strategy, ts, case when count(*) {w}=252 then avg(portfolio_return) {w}*252/nullif(stddev_samp(portfolio_return) {w}*sqrt(252),0) end v from lg) select strategy, ts, {r('v', 5)} rolling_sharpe from s"
+    out["i07_cumulative_wealth"] = f"{rec}, {WEALTH} select strategy, ts, {r('wealth')} wealth from wl"
+    out["i08_compare_strategies"] = out["i03_performance_metrics"]
+    return out
+
+
 def all_sql() -> dict[str, str]:
-    return {**_indicators(), **_sources(), **_shape(), **_quality(), **_features(), **_market(), **_regimes()}
+    return {
+        **_indicators(), **_sources(), **_shape(), **_quality(), **_features(), **_market(),
+        **_regimes(), **_portfolios(),
+    }

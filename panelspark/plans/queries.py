@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from panelspark.functions.numeric import rounded
 from panelspark.operators import features as feat
 from panelspark.operators import indicators as ind
-from panelspark.operators import market, quality, regimes, shape
+from panelspark.operators import backtest, market, portfolio, quality, regimes, shape
 from panelspark.schema import PANEL, POS, SYMBOL, TS
 from panelspark.session import shared_dir
 from panelspark.sources import dimensions, ingest, readers, writers
@@ -627,3 +627,157 @@ def _(p: Panels) -> DataFrame:
 @query("g21_sign_regimes")
 def _(p: Panels) -> DataFrame:
     return _sign_regimes(p)
+
+
+# --- portfolios -----------------------------------------------------------------------
+
+
+def _moments(p: Panels) -> tuple[DataFrame, DataFrame]:
+    """Mean and covariance of the weekly returns, with the panel as the problem."""
+    rows = p.complete_returns("brand_w")
+    return (
+        market.mean_returns(rows).withColumnRenamed(PANEL, "problem_id"),
+        p.brand_covariance.withColumnRenamed(PANEL, "problem_id"),
+    )
+
+
+def _strategies(p: Panels) -> DataFrame:
+    """Three constant portfolios: equal, by mean price, and by inverse volatility."""
+    level = p.brand_w.groupBy(PANEL, SYMBOL).agg(F.avg("price").alias("a"))
+    total = level.groupBy(PANEL).agg(F.sum("a").alias("s"), F.count(F.lit(1)).alias("n"))
+    both = level.join(total, PANEL)
+    parity = portfolio.risk_parity(p.brand_covariance, [PANEL])
+    return (
+        both.select(PANEL, SYMBOL, F.lit("equal").alias("strategy"), (1 / F.col("n")).alias("weight"))
+        .unionByName(both.select(PANEL, SYMBOL, F.lit("price").alias("strategy"), (F.col("a") / F.col("s")).alias("weight")))
+        .unionByName(parity.select(PANEL, SYMBOL, F.lit("parity").alias("strategy"), "weight"))
+    )
+
+
+def _solved(p: Panels, weights: DataFrame) -> DataFrame:
+    """Weights with the figures that show whether they are right."""
+    mu, cov = _moments(p)
+    return weights.join(portfolio.portfolio_stats(weights, mu, cov), "problem_id")
+
+
+@query("h01_mean_variance")
+def _(p: Panels) -> DataFrame:
+    """Several risk aversions are several problems of one job."""
+    mu, cov = _moments(p)
+    problems = portfolio.problem_rows(mu, cov, hi=0.2)
+    return _solved(p, portfolio.mean_variance(problems, risk_aversion=5.0))
+
+
+@query("h02_minimum_variance")
+def _(p: Panels) -> DataFrame:
+    return _solved(p, portfolio.minimum_variance(portfolio.problem_rows(*_moments(p))))
+
+
+@query("h03_maximum_sharpe")
+def _(p: Panels) -> DataFrame:
+    return _solved(p, portfolio.maximum_sharpe(portfolio.problem_rows(*_moments(p))))
+
+
+@query("h04_risk_parity")
+def _(p: Panels) -> DataFrame:
+    return portfolio.risk_parity(p.brand_covariance, [PANEL])
+
+
+def _keyed(p: Panels) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Weights, means and covariances with one problem per strategy."""
+    weights = _strategies(p).withColumn("problem_id", F.col("strategy"))
+    each = weights.select(PANEL, "problem_id").distinct()
+    mu = market.mean_returns(p.complete_returns("brand_w")).join(each, PANEL)
+    cov = p.brand_covariance.join(each, PANEL)
+    return weights.drop(PANEL, "strategy"), mu.drop(PANEL), cov.drop(PANEL)
+
+
+@query("h05_risk_contributions")
+def _(p: Panels) -> DataFrame:
+    weights, _mu, cov = _keyed(p)
+    return portfolio.risk_contributions(weights, cov)
+
+
+@query("h06_portfolio_stats")
+def _(p: Panels) -> DataFrame:
+    return portfolio.portfolio_stats(*_keyed(p))
+
+
+@query("h07_blend_regime_moments", 7)
+def _(p: Panels) -> DataFrame:
+    labels = _sign_regimes(p)
+    probs = regimes.regime_frequencies(labels).select(PANEL, "regime", "probability")
+    mu, cov = market.moments_by_regime(p.complete_returns("brand_w"), labels)
+    mu, cov = portfolio.blend_regime_moments(mu, cov, probs)
+    return cov.join(mu.withColumnRenamed(SYMBOL, "sym_i"), [PANEL, "sym_i"])
+
+
+@query("h08_turnover_cost")
+def _(p: Panels) -> DataFrame:
+    weights = _strategies(p).withColumnRenamed("strategy", "problem_id")
+    equal = weights.where("problem_id = 'equal'").select(SYMBOL, "weight")
+    each = weights.select("problem_id").distinct()
+    now = each.withColumn("_", F.lit(1)).join(equal.withColumn("_", F.lit(1)), "_").drop("_")
+    return portfolio.turnover_cost(weights.drop(PANEL), now)
+
+
+@query("h09_regime_aware_portfolio")
+def _(p: Panels) -> DataFrame:
+    labels = _sign_regimes(p)
+    probs = regimes.regime_frequencies(labels).select(PANEL, "regime", "probability")
+    current = _strategies(p).where("strategy = 'equal'").drop("strategy")
+    weights, stats = portfolio.regime_aware_portfolio(
+        p.complete_returns("brand_w"), labels, probs, current
+    )
+    return weights.join(stats, PANEL)
+
+
+@query("h10_adaptive_portfolio")
+def _(p: Panels) -> DataFrame:
+    return portfolio.adaptive_portfolio(
+        p.complete_returns("brand_w"), p.volatility_regimes, lookback=120, dates_per_task=16
+    )
+
+
+# --- backtests ------------------------------------------------------------------------
+
+
+@query("i01_backtest")
+def _(p: Panels) -> DataFrame:
+    return p.ledger(_strategies)
+
+
+@query("i02_constant_weights")
+def _(p: Panels) -> DataFrame:
+    return backtest.constant_weights(_strategies(p), p.complete_returns("brand_w"))
+
+
+@query("i03_performance_metrics", 5)
+def _(p: Panels) -> DataFrame:
+    return backtest.performance_metrics(p.ledger(_strategies))
+
+
+@query("i04_drawdown_series")
+def _(p: Panels) -> DataFrame:
+    return backtest.drawdown_series(p.ledger(_strategies)).select("strategy", TS, "wealth", "drawdown")
+
+
+@query("i05_cumulative_return")
+def _(p: Panels) -> DataFrame:
+    plain = p.ledger(_strategies).drop("cumulative_return")
+    return backtest.cumulative_return(plain).select("strategy", TS, "cumulative_return")
+
+
+@query("i06_rolling_sharpe", 5)
+def _(p: Panels) -> DataFrame:
+    return backtest.rolling_sharpe(p.ledger(_strategies))
+
+
+@query("i07_cumulative_wealth")
+def _(p: Panels) -> DataFrame:
+    return backtest.cumulative_wealth(p.ledger(_strategies)).drop("portfolio_return")
+
+
+@query("i08_compare_strategies", 5)
+def _(p: Panels) -> DataFrame:
+    return backtest.compare_strategies(_strategies(p), p.complete_returns("brand_w"))

@@ -11,9 +11,10 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.operators.backtest import backtest, constant_weights
 from panelspark.operators.blocks import positions
 from panelspark.operators.indicators import returns
-from panelspark.operators.market import regime_features
+from panelspark.operators.market import covariance, regime_features
 from panelspark.operators.regimes import volatility_regimes
 from panelspark.operators.shape import complete_cases
 from panelspark.schema import CELL, PANEL, PRICE, RET, SYMBOL, TS
@@ -41,7 +42,7 @@ class Panels:
             tag = hashlib.sha256("|".join(key).encode()).hexdigest()[:16]
             path = f"{shared_dir(self.spark)}/panels/{tag}/{name}"
             df = build()
-            df = positions(df) if PANEL in df.columns else df
+            df = positions(df) if SYMBOL in df.columns and TS in df.columns else df
             df.write.mode("overwrite").parquet(path)
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])
@@ -157,3 +158,16 @@ class Panels:
         return self.stored(
             "volatility_regimes", lambda: volatility_regimes(self.complete_returns("brand_w"))
         )
+
+    @property
+    def brand_covariance(self) -> DataFrame:
+        return self.stored("brand_covariance", lambda: covariance(self.complete_returns("brand_w")))
+
+    def ledger(self, strategies) -> DataFrame:
+        """Backtest of constant strategies over the weekly brand returns."""
+
+        def build() -> DataFrame:
+            returns = self.complete_returns("brand_w")
+            return backtest(constant_weights(strategies(self), returns), returns)
+
+        return self.stored("ledger", build)
