@@ -23,6 +23,7 @@ from panelspark.operators.blocks import (
     series_blocks,
 )
 from panelspark.schema import PANEL, POS, RET, SYMBOL, TS
+from panelspark.session import stage
 
 STRATEGY = [PANEL, "strategy"]
 
@@ -57,7 +58,10 @@ def backtest(
     every: int = 21,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Daily ledger per strategy; costs are charged when weights are reset, every ``every`` dates."""
+    """Daily ledger per strategy; costs are charged when weights are reset, every ``every`` dates.
+
+    The drifted holdings and the daily sums are needed several times and are written once.
+    """
     missing = F.raise_error(F.lit("a return is missing; keep complete dates only"))
     rows = (
         weights.select(*STRATEGY, SYMBOL, TS, "weight")
@@ -92,6 +96,7 @@ def backtest(
         .withColumn("held", F.col("w0") * F.col("g"))
         .withColumn("held_prev", F.col("w0") * F.col("g_prev"))
     )
+    drifted = stage(drifted.select(*STRATEGY, TS, POS, "n_dates", "weight", "held", "held_prev"))
     sums = drifted.groupBy(*STRATEGY, TS, POS, "n_dates").agg(
         F.sum("held").alias("v"), F.sum("held_prev").alias("v_prev")
     )
@@ -118,8 +123,8 @@ def backtest(
         F.coalesce(F.col("turnover") * transaction_cost, F.lit(0.0)).alias("transaction_cost"),
     )
     net = (1 + F.col("portfolio_return")) * (1 - F.col("transaction_cost"))
-    ledger = _running_product(days, STRATEGY, {"portfolio_value": net}, block_rows)
-    return cumulative_return(ledger)
+    ledger = _running_product(stage(days), STRATEGY, {"portfolio_value": net}, block_rows)
+    return stage(cumulative_return(ledger))
 
 
 def cumulative_return(ledger: DataFrame) -> DataFrame:

@@ -141,7 +141,21 @@ def pca_project(df: DataFrame, model: DataFrame, vector: str = "x") -> DataFrame
     return df.join(axes, PANEL).withColumn(vector, coords).drop("_axes")
 
 
-def _distances(x: Column, centres: Column) -> Column:
+UNROLLED = 64  # up to this many terms, distances are plain generated expressions
+
+
+def _distances(x: Column, centres: Column, k: int, dims: int) -> Column:
+    """Distance to each of ``k`` centres; NULL where a panel has fewer."""
+    if k * dims <= UNROLLED:
+
+        def one(j: int) -> Column:
+            terms = [F.get(x, F.lit(i)) - F.get(F.get(centres, F.lit(j)), F.lit(i)) for i in range(dims)]
+            total = terms[0] * terms[0]
+            for t in terms[1:]:
+                total = total + t * t
+            return F.sqrt(total)
+
+        return F.array(*[one(j) for j in range(k)])
     return F.transform(
         centres,
         lambda c: F.sqrt(
@@ -152,9 +166,8 @@ def _distances(x: Column, centres: Column) -> Column:
     )
 
 
-def _nearest(x: Column, centres: Column) -> Column:
-    d = _distances(x, centres)
-    return (F.array_position(d, F.array_min(d)) - 1).cast("int")
+def _nearest(distances: Column) -> Column:
+    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
 
 
 def kmeans_fit(
@@ -188,7 +201,11 @@ def kmeans_fit(
 
     centres = stage(pack(first))
     for _ in range(max_iter):
-        assigned = starts.join(centres, [PANEL, "r"]).withColumn("j", _nearest(F.col("x"), F.col("centres")))
+        assigned = (
+            starts.join(centres, [PANEL, "r"])
+            .withColumn("d", _distances(F.col("x"), F.col("centres"), k, dims))
+            .withColumn("j", _nearest(F.col("d")))
+        )
         means = assigned.groupBy(PANEL, "r", "j").agg(
             F.array(*[F.avg(F.col("x")[i]) for i in range(dims)]).alias("new")
         )
@@ -202,7 +219,7 @@ def kmeans_fit(
             break
     inertia = (
         starts.join(centres, [PANEL, "r"])
-        .withColumn("d", F.array_min(_distances(F.col("x"), F.col("centres"))))
+        .withColumn("d", F.array_min(_distances(F.col("x"), F.col("centres"), k, dims)))
         .groupBy(PANEL, "r")
         .agg(F.sum(F.col("d") * F.col("d")).alias("inertia"))
     )
@@ -213,19 +230,23 @@ def kmeans_fit(
     )
 
 
-def inverse_distance_probs(x: Column, centres: Column) -> Column:
+def inverse_distance_probs(distances: Column) -> Column:
     """1 / (distance + 1e-10), normalised to 1."""
-    inverse = F.transform(_distances(x, centres), lambda d: 1.0 / (d + 1e-10))
-    total = F.aggregate(inverse, F.lit(0.0), lambda s, v: s + v)
+    inverse = F.transform(distances, lambda d: 1.0 / (d + 1e-10))
+    total = F.aggregate(inverse, F.lit(0.0), lambda s, v: s + F.coalesce(v, F.lit(0.0)))
     return F.transform(inverse, lambda v: v / total)
 
 
-def assign_clusters(points: DataFrame, centres: DataFrame) -> DataFrame:
+def assign_clusters(points: DataFrame, centres: DataFrame, k: int, dims: int) -> DataFrame:
     """Nearest centre and inverse-distance probabilities."""
-    return points.join(centres.select(PANEL, "centres"), PANEL).select(
-        *points.columns,
-        _nearest(F.col("x"), F.col("centres")).alias("regime"),
-        inverse_distance_probs(F.col("x"), F.col("centres")).alias("probs"),
+    return (
+        points.join(centres.select(PANEL, "centres"), PANEL)
+        .withColumn("d", _distances(F.col("x"), F.col("centres"), k, dims))
+        .select(
+            *points.columns,
+            _nearest(F.col("d")).alias("regime"),
+            inverse_distance_probs(F.col("d")).alias("probs"),
+        )
     )
 
 
@@ -317,7 +338,7 @@ def clustering_regimes(
         dims = min(components, dims)
         scaled = pca_project(scaled, pca_fit(scaled, dims))
     points = stage(scaled)
-    found = assign_clusters(points, kmeans_fit(points, k, dims, **fit)).drop("x")
+    found = assign_clusters(points, kmeans_fit(points, k, dims, **fit), k, dims).drop("x")
     level = order_by or next(
         (c for c in matching_columns(columns, NAME_PATTERNS["volatility"])), columns[0]
     )

@@ -541,9 +541,11 @@ def _(p: Panels) -> DataFrame:
 
 @query("g04_kmeans_regimes")
 def _(p: Panels) -> DataFrame:
-    points = _vectors(p)
-    centres = regimes.kmeans_fit(points, k=4, dims=64, restarts=3, max_iter=15)
-    found = regimes.assign_clusters(points, centres)
+    """Clusters of the embeddings on their first three components."""
+    vectors = _vectors(p)
+    points = regimes.pca_project(vectors, regimes.pca_fit(vectors, 3))
+    centres = regimes.kmeans_fit(points, k=4, dims=3, restarts=5, max_iter=15)
+    found = regimes.assign_clusters(points, centres, 4, 3)
     return found.groupBy("regime").agg(F.count(F.lit(1)).alias("n_points"))
 
 
@@ -560,7 +562,7 @@ def _(p: Panels) -> DataFrame:
     centres = means.groupBy(PANEL).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("label", "c"))), lambda s: s["c"]).alias("centres")
     )
-    found = regimes.assign_clusters(points, centres)
+    found = regimes.assign_clusters(points, centres, 4, 3)
     return regimes.unpack_probs(found.select("vec_id", "regime", "probs"), 4)
 
 
