@@ -22,27 +22,28 @@ KAPPA0, A0, B0 = 1.0, 1.0, 1.0  # prior of a standardised series
 EDGE = 0.1  # changes are kept inside [10 %, 90 %) of the series
 
 
-def ln_gamma(x: Column) -> Column:
+def _ln_gamma(x: str) -> str:
     """Stirling's series after moving the argument up by eight; accurate for x > 0."""
-    product = x
-    for k in range(1, 8):
-        product = product * (x + k)
-    y = x + 8
-    series = 1 / (12 * y) - 1 / (360 * F.pow(y, 3)) + 1 / (1260 * F.pow(y, 5)) - 1 / (1680 * F.pow(y, 7))
-    return (y - 0.5) * F.ln(y) - y + 0.5 * math.log(2 * math.pi) + series - F.ln(product)
-
-
-def log_marginal(n: Column, s1: Column, s2: Column) -> Column:
-    n = n.cast("double")
-    a = A0 + n / 2
-    b = B0 + 0.5 * F.greatest(s2 - s1 * s1 / (KAPPA0 + n), F.lit(0.0))
-    return (
-        -n / 2 * math.log(2 * math.pi)
-        + 0.5 * F.ln(KAPPA0 / (KAPPA0 + n))
-        + A0 * math.log(B0)
-        - a * F.ln(b)
-        + ln_gamma(a)
-        - math.lgamma(A0)
+    product = " * ".join(f"({x} + {k})" for k in range(8))
+    y = f"({x} + 8)"
+    series = f"1 / (12 * {y}) - 1 / (360 * pow({y}, 3)) + 1 / (1260 * pow({y}, 5)) - 1 / (1680 * pow({y}, 7))"
+    return f"(({y} - 0.5) * ln({y}) - {y} + {0.5 * math.log(2 * math.pi)} + {series} - ln({product}))"
+
+
+def ln_gamma(x: str) -> Column:
+    """Logarithm of the gamma function of a double column."""
+    return F.expr(_ln_gamma(x))
+
+
+def log_marginal(n: str, s1: str, s2: str) -> Column:
+    """Log marginal likelihood of a segment with its length, sum and sum of squares."""
+    n = f"cast({n} as double)"
+    a = f"({A0} + {n} / 2)"
+    b = f"({B0} + 0.5 * greatest({s2} - ({s1}) * ({s1}) / ({KAPPA0} + {n}), 0.0D))"
+    const = A0 * math.log(B0) - math.lgamma(A0)
+    return F.expr(
+        f"-{n} / 2 * {math.log(2 * math.pi)} + 0.5 * ln({KAPPA0} / ({KAPPA0} + {n})) + {const}"
+        f" - {a} * ln({b}) + {_ln_gamma(a)}"
     )
 
 
@@ -77,11 +78,9 @@ def changepoint_posterior(series: DataFrame, value: str) -> DataFrame:
         F.sum("z").alias("t1"),
         F.sum(F.col("z") * F.col("z")).alias("t2"),
     )
-    weight = log_marginal(F.col(POS), F.col("c1"), F.col("c2")) + log_marginal(
-        F.col("n") - F.col(POS), F.col("t1") - F.col("c1"), F.col("t2") - F.col("c2")
-    )
+    weight = log_marginal("pos", "c1", "c2") + log_marginal("(n - pos)", "t1 - c1", "t2 - c2")
     weighed = rows.where(_within_edges() & (F.col(POS) > 0)).join(total, PANEL).select(
-        PANEL, TS, POS, weight.alias("lw"), log_marginal(F.col("n"), F.col("t1"), F.col("t2")).alias("one")
+        PANEL, TS, POS, weight.alias("lw"), log_marginal("n", "t1", "t2").alias("one")
     )
     top = weighed.groupBy(PANEL).agg(F.max("lw").alias("top"))
     scaled = weighed.join(top, PANEL)
@@ -98,7 +97,16 @@ def changepoint_posterior(series: DataFrame, value: str) -> DataFrame:
     )
 
 
-def _best_splits(rows: DataFrame, starts: DataFrame, threshold: float) -> DataFrame:
+def _split_gain() -> Column:
+    """Evidence for opening a new segment at ``pos`` against leaving the segment whole."""
+    return (
+        log_marginal("(pos - seg)", "c1 - b1", "c2 - b2")
+        + log_marginal("(n - pos + seg)", "t1 - c1 + b1", "t2 - c2 + b2")
+        - log_marginal("n", "t1", "t2")
+    )
+
+
+def _best_splits(rows: DataFrame, starts: DataFrame, gain: Column, threshold: float) -> DataFrame:
     """For each open segment its most likely change, if the evidence exceeds the threshold."""
     marked = rows.join(starts, [PANEL, POS], "left")
     named = running(marked, [PANEL], {"seg": ("max", F.when(F.col("open").isNotNull(), F.col(POS)))}).drop("open")
@@ -112,19 +120,10 @@ def _best_splits(rows: DataFrame, starts: DataFrame, threshold: float) -> DataFr
         F.sum(F.col("z") * F.col("z")).alias("t2"),
     )
     joined = inside.join(totals, [PANEL, "seg"])
-    k, s1, s2 = F.col(POS) - F.col("seg"), F.col("c1") - F.col("b1"), F.col("c2") - F.col("b2")
+    k = F.col(POS) - F.col("seg")
     weighed = joined.where(
         (k >= F.col("spacing")) & (F.col("n") - k >= F.col("spacing"))
-    ).select(
-        PANEL,
-        "seg",
-        POS,
-        (
-            log_marginal(k, s1, s2)
-            + log_marginal(F.col("n") - k, F.col("t1") - s1, F.col("t2") - s2)
-            - log_marginal(F.col("n"), F.col("t1"), F.col("t2"))
-        ).alias("lw"),
-    )
+    ).select(PANEL, "seg", POS, gain.alias("lw"))
     top = weighed.groupBy(PANEL, "seg").agg(F.max("lw").alias("top"), F.max_by(POS, "lw").alias("at"))
     return (
         weighed.join(top, [PANEL, "seg"])
@@ -158,11 +157,12 @@ def changepoints(
     )
     rows = stage(_prefixed(series, value).withColumn("spacing", spacing))
     starts = stage(rows.where(F.col(POS) == 0).select(PANEL, POS, F.lit(True).alias("open")))
+    gain = _split_gain()
     while True:
         used = starts.groupBy(PANEL).agg((F.count(F.lit(1)) - 1).alias("used"))
         order = Window.partitionBy(PANEL).orderBy(F.desc("bf"), "seg")
         splits = stage(
-            _best_splits(rows, starts, threshold)
+            _best_splits(rows, starts, gain, threshold)
             .join(used, PANEL)
             .withColumn("rank", F.row_number().over(order))
             .where(F.col("rank") + F.col("used") <= limit)

@@ -144,18 +144,16 @@ def pca_project(df: DataFrame, model: DataFrame, vector: str = "x") -> DataFrame
 UNROLLED = 64  # up to this many terms, distances are plain generated expressions
 
 
-def _distances(x: Column, centres: Column, k: int, dims: int) -> Column:
+def _distances(x: str, centres: str, k: int, dims: int) -> Column:
     """Distance to each of ``k`` centres; NULL where a panel has fewer."""
     if k * dims <= UNROLLED:
 
-        def one(j: int) -> Column:
-            terms = [F.get(x, F.lit(i)) - F.get(F.get(centres, F.lit(j)), F.lit(i)) for i in range(dims)]
-            total = terms[0] * terms[0]
-            for t in terms[1:]:
-                total = total + t * t
-            return F.sqrt(total)
+        def one(j: int) -> str:
+            terms = [f"pow(get({x}, {i}) - get(get({centres}, {j}), {i}), 2)" for i in range(dims)]
+            return f"sqrt({' + '.join(terms)})"
 
-        return F.array(*[one(j) for j in range(k)])
+        return F.expr(f"array({', '.join(one(j) for j in range(k))})")
+    x, centres = F.col(x), F.col(centres)
     return F.transform(
         centres,
         lambda c: F.sqrt(
@@ -200,26 +198,26 @@ def kmeans_fit(
         )
 
     centres = stage(pack(first))
+    moved = F.aggregate(
+        F.zip_with("old", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
+    )
+    distance, nearest = _distances("x", "centres", k, dims), _nearest(F.col("d"))
+    mean = F.expr(f"array({', '.join(f'avg(x[{i}])' for i in range(dims))})").alias("new")
     for _ in range(max_iter):
         assigned = (
-            starts.join(centres, [PANEL, "r"])
-            .withColumn("d", _distances(F.col("x"), F.col("centres"), k, dims))
-            .withColumn("j", _nearest(F.col("d")))
-        )
-        means = assigned.groupBy(PANEL, "r", "j").agg(
-            F.array(*[F.avg(F.col("x")[i]) for i in range(dims)]).alias("new")
+            starts.join(centres.select(PANEL, "r", "centres"), [PANEL, "r"])
+            .select(PANEL, "r", "x", distance.alias("d"))
+            .select(PANEL, "r", "x", nearest.alias("j"))
         )
+        means = assigned.groupBy(PANEL, "r", "j").agg(mean)
         old = centres.select(PANEL, "r", F.posexplode("centres").alias("j", "old"))
         step = old.join(means, [PANEL, "r", "j"], "left").withColumn("c", F.coalesce("new", "old"))
-        moved = F.aggregate(
-            F.zip_with("old", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
-        )
         centres = stage(pack(step, F.max(moved).alias("moved")))
         if centres.agg(F.max("moved")).first()[0] <= tol:
             break
     inertia = (
         starts.join(centres, [PANEL, "r"])
-        .withColumn("d", F.array_min(_distances(F.col("x"), F.col("centres"), k, dims)))
+        .withColumn("d", F.array_min(_distances("x", "centres", k, dims)))
         .groupBy(PANEL, "r")
         .agg(F.sum(F.col("d") * F.col("d")).alias("inertia"))
     )
@@ -241,7 +239,7 @@ def assign_clusters(points: DataFrame, centres: DataFrame, k: int, dims: int) ->
     """Nearest centre and inverse-distance probabilities."""
     return (
         points.join(centres.select(PANEL, "centres"), PANEL)
-        .withColumn("d", _distances(F.col("x"), F.col("centres"), k, dims))
+        .withColumn("d", _distances("x", "centres", k, dims))
         .select(
             *points.columns,
             _nearest(F.col("d")).alias("regime"),

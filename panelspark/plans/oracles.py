@@ -330,6 +330,18 @@ def _regimes() -> dict[str, str]:
  select regime, concat_ws(' ', case when r>0 then 'Bull' else 'Bear' end, case when v<mv then 'Low Vol' else 'High Vol' end) regime_name from a cross join md"""
     out["g15_segments_to_regimes"] = f"""with {RETS}, {MKT}, f as (select ts, abs(market_return)>0.15 is_change from mk),
  s as (select ts, is_change, cast(sum(case when is_change then 1 else 0 end) over (order by ts rows unbounded preceding) % 3 as integer) regime from f) select ts, is_change, regime, concat('Regime ', regime+1) regime_name, {_onehot(3)} from s"""
+
+    def lm(n: str, a: str, b: str) -> str:
+        return f"(-({n})/2.0*ln(2*pi()) + 0.5*ln(1.0/(1.0+({n}))) - (1.0+({n})/2.0)*ln(1.0+0.5*greatest(({b})-({a})*({a})/(1.0+({n})),0)) + lgamma(1.0+({n})/2.0))"
+
+    out["g13_changepoint_posterior"] = f"""with {RETS}, {MKT}, z as (select ts, row_number() over (order by ts)-1 pos, count(*) over () n, (dispersion-avg(dispersion) over ())/stddev_pop(dispersion) over () z from mk),
+ c as (select *, coalesce(sum(z) over (order by pos rows between unbounded preceding and 1 preceding),0) c1, coalesce(sum(z*z) over (order by pos rows between unbounded preceding and 1 preceding),0) c2, sum(z) over () t1, sum(z*z) over () t2 from z),
+ w as (select ts, {lm('pos', 'c1', 'c2')}+{lm('n-pos', 't1-c1', 't2-c2')} lw, {lm('n', 't1', 't2')} one from c where pos >= floor(n*0.1) and pos < floor(n*0.9)),
+ x as (select *, max(lw) over () top from w), y as (select *, exp(lw-top)/sum(exp(lw-top)) over () pr, top+ln(sum(exp(lw-top)) over ())-ln(count(*) over ())-one bf from x)
+ select ts, {r('pr', 5)} probability, {r('bf', 5)} log_bayes_factor from y"""
+    out["a05_write_results"] = f"""with {VREG}, n as (select regime f, lead(regime) over (order by ts) t from vr), c as (select f, t, count(*) k from n where t is not null group by 1,2),
+ l as (select regime, count(*) n_days from vr group by 1), p as (select a.regime f, b.regime t, a.n_days, coalesce(k,0) k from l a cross join l b left join c on c.f=a.regime and c.t=b.regime)
+ select f from_regime, t to_regime, {r('coalesce(cast(k as double)/nullif(sum(k) over (partition by f),0),0)')} probability, n_days from p"""
     out["g16_one_hot_probs"] = f"with {VREG} select ts, regime, {_onehot(4)} from vr"
     x = f"x as (select regime, {name} regime_name, market_return mr from vr join mk on mk.ts=vr.ts)"
     out["g17_regime_characteristics"] = f"""with {VREG}, {x}, a as (select regime, min(regime_name) regime_name, count(*) n_days, avg(mr) m, stddev_samp(mr)*sqrt(252) v, skewness(mr) sk, kurtosis(mr) ku, max(mr) mx, min(mr) mn from x group by 1)

@@ -13,7 +13,16 @@ from pyspark.sql import types as T
 from panelspark.functions.numeric import rounded
 from panelspark.operators import features as feat
 from panelspark.operators import indicators as ind
-from panelspark.operators import backtest, market, portfolio, quality, regimes, shape
+from panelspark.operators import (
+    backtest,
+    changepoint,
+    hmm,
+    market,
+    portfolio,
+    quality,
+    regimes,
+    shape,
+)
 from panelspark.schema import PANEL, POS, SYMBOL, TS
 from panelspark.session import shared_dir
 from panelspark.sources import dimensions, ingest, readers, writers
@@ -151,6 +160,23 @@ def _(p: Panels) -> DataFrame:
     return back.select(SYMBOL, F.to_date(TS).alias(TS), F.col("log_return").cast("double"))
 
 
+@query("a05_write_results")
+def _(p: Panels) -> DataFrame:
+    """Regimes and their transitions written and read back."""
+    labelled = p.volatility_regimes
+    paths = writers.write_results(
+        _scratch(p, "results"),
+        regimes_volatility=labelled.drop("probs"),
+        transitions=regimes.transition_matrix(labelled),
+    )
+    back = p.spark.read.option("header", True).csv(paths["transitions"])
+    days = readers.read_regimes(p.spark, paths["regimes_volatility"], ["regime"])
+    count = days.groupBy(F.col("regime").alias("from_regime")).agg(F.count(F.lit(1)).alias("n_days"))
+    return back.select(
+        F.col("from_regime").cast("int"), F.col("to_regime").cast("int"), F.col("probability").cast("double")
+    ).join(count, "from_regime")
+
+
 @query("a06_ingest_by_key", drop=())
 def _(p: Panels) -> DataFrame:
     store = p.brand_w.inputFiles()
@@ -579,6 +605,34 @@ def _(p: Panels) -> DataFrame:
     return regimes.unpack_probs(found, 4)
 
 
+def _hmm(p: Panels) -> tuple[DataFrame, DataFrame]:
+    """Standardised market return and dispersion, and a model fitted to them once."""
+    points = p.stored(
+        "hmm_points", lambda: hmm.vectors(hmm.hmm_features(p.complete_returns("brand_w")))
+    )
+    return points, p.stored("hmm_params", lambda: hmm.hmm_fit(points, 3, 2, max_iter=6))
+
+
+@query("g08_hmm_fit")
+def _(p: Panels) -> DataFrame:
+    return _hmm(p)[1]
+
+
+@query("g09_hmm_viterbi")
+def _(p: Panels) -> DataFrame:
+    return hmm.hmm_viterbi(*_hmm(p), k=3)
+
+
+@query("g10_hmm_posteriors")
+def _(p: Panels) -> DataFrame:
+    return regimes.unpack_probs(hmm.hmm_posteriors(*_hmm(p), k=3), 3)
+
+
+@query("g11_hmm_log_likelihood")
+def _(p: Panels) -> DataFrame:
+    return hmm.hmm_log_likelihood(*_hmm(p), k=3)
+
+
 @query("g12_hmm_regime_names")
 def _(p: Panels) -> DataFrame:
     labelled = p.regime_features.join(p.volatility_regimes.select(PANEL, TS, "regime"), [PANEL, TS])
@@ -590,6 +644,19 @@ def _big_moves(p: Panels) -> DataFrame:
     return moves.select(PANEL, TS, (F.abs("market_return") > 0.15).alias("is_change"))
 
 
+@query("g13_changepoint_posterior", 5)
+def _(p: Panels) -> DataFrame:
+    return changepoint.changepoint_posterior(
+        market.dispersion(p.complete_returns("brand_w")), "dispersion"
+    )
+
+
+@query("g14_changepoints")
+def _(p: Panels) -> DataFrame:
+    series = market.dispersion(p.complete_returns("brand_w"))
+    return changepoint.changepoints(series, "dispersion")
+
+
 @query("g15_segments_to_regimes")
 def _(p: Panels) -> DataFrame:
     return regimes.unpack_probs(regimes.segments_to_regimes(_big_moves(p), 3), 3)

@@ -19,6 +19,7 @@ def local_session(app: str = "panelspark", cores: str | int = 8, **conf: str) ->
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
