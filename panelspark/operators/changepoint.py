@@ -111,7 +111,7 @@ def _best_splits(rows: DataFrame, starts: DataFrame, gain: Column, threshold: fl
     marked = rows.join(starts, [PANEL, POS], "left")
     named = running(marked, [PANEL], {"seg": ("max", F.when(F.col("open").isNotNull(), F.col(POS)))}).drop("open")
     opened = starts.where("open").select(PANEL, F.col(POS).alias("seg"))
-    inside = named.join(opened, [PANEL, "seg"])
+    inside = stage(named.join(opened, [PANEL, "seg"]))
     totals = inside.groupBy(PANEL, "seg").agg(
         F.count(F.lit(1)).alias("n"),
         F.min_by("c1", POS).alias("b1"),
@@ -124,6 +124,7 @@ def _best_splits(rows: DataFrame, starts: DataFrame, gain: Column, threshold: fl
     weighed = joined.where(
         (k >= F.col("spacing")) & (F.col("n") - k >= F.col("spacing"))
     ).select(PANEL, "seg", POS, gain.alias("lw"))
+    weighed = stage(weighed)
     top = weighed.groupBy(PANEL, "seg").agg(F.max("lw").alias("top"), F.max_by(POS, "lw").alias("at"))
     return (
         weighed.join(top, [PANEL, "seg"])

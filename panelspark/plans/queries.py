@@ -784,9 +784,8 @@ def _(p: Panels) -> DataFrame:
 @query("h08_turnover_cost")
 def _(p: Panels) -> DataFrame:
     weights = _strategies(p).withColumnRenamed("strategy", "problem_id")
-    equal = weights.where("problem_id = 'equal'").select(SYMBOL, "weight")
-    each = weights.select("problem_id").distinct()
-    now = each.withColumn("_", F.lit(1)).join(equal.withColumn("_", F.lit(1)), "_").drop("_")
+    sizes = weights.groupBy("problem_id").agg(F.count(F.lit(1)).alias("n"))
+    now = weights.join(sizes, "problem_id").select("problem_id", SYMBOL, (1 / F.col("n")).alias("weight"))
     return portfolio.turnover_cost(weights.drop(PANEL), now)
 
 
