@@ -85,7 +85,7 @@ def test_weekends(bars):
 
 def test_sparse_and_dropping(bars, prices):
     dense = shape.densify(bars).withColumn("rare", F.when(F.day("ts") == 3, F.col("price")))
-    rare = prices.where(prices.index.to_series().dt.day.eq(3).to_numpy()[:, None])
+    rare = prices[prices.index.day == 3].reindex(prices.index)
     got = features.fill_sparse(dense, ["price", "rare"], skip_warmup=False).cache()
     same(to_wide(got, "price", prices), prices)
     same(to_wide(got, "rare", prices), rare.ffill().bfill())
