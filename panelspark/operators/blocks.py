@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.schema import PANEL, POS, PRICE, SERIES, SYMBOL, TS, require
+from panelspark.session import stage
 
 BLOCK_ROWS = 16_384
 RANGE_ROWS = 500_000
@@ -283,48 +284,57 @@ def value_ranks(
 ) -> DataFrame:
     """Per distinct value of each group: ``n_equal``, ``n_less`` and the group's ``n_total``.
 
-    Values are counted first, so one repeated value is a single row. Groups with more than
-    ``range_rows`` distinct values are split at approximate quantiles and ranked range by
-    range; the ranks are exact wherever the edges fall.
+    Values are counted first, so one repeated value is a single row; the counts are written
+    once. Where the largest group has more than ``range_rows`` distinct values, such groups
+    are split at approximate quantiles and ranked range by range. The ranks are exact
+    wherever the edges fall.
     """
     keys = list(keys)
-    counted = (
+    counted = stage(
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n_equal"))
     )
+    whole = Window.partitionBy(*keys)
     sizes = counted.groupBy(*keys).agg(
         F.sum("n_equal").alias("n_total"), F.count(F.lit(1)).alias("n_distinct")
     )
+    largest = sizes.agg(F.max("n_distinct")).first()[0] or 0
+    if largest <= range_rows:
+        before = F.sum("n_equal").over(whole.orderBy(value)) - F.col("n_equal")
+        return counted.select(
+            *keys, value, "n_equal", before.alias("n_less"), F.sum("n_equal").over(whole).alias("n_total")
+        )
     edges = (
         counted.join(sizes.where(F.col("n_distinct") > range_rows).select(*keys), keys)
         .groupBy(*keys)
         .agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 10_000).alias("edges"))
     )
-    placed = (
-        counted.join(edges, keys, "left")
-        .withColumn("range", F.size(F.filter("edges", lambda e: e < F.col(value))))
-        .drop("edges")
-    )
-    split = placed.where("range >= 0").groupBy(*keys, "range").agg(F.sum("n_equal").alias("n"))
-    offsets = split.select(
+    placed = counted.join(edges, keys, "left").select(
         *keys,
-        "range",
-        (F.sum("n").over(Window.partitionBy(*keys).orderBy("range")) - F.col("n")).alias("offset"),
+        value,
+        "n_equal",
+        F.coalesce(F.size(F.filter("edges", lambda e: e < F.col(value))), F.lit(0)).alias("range"),
     )
-    inside = Window.partitionBy(*keys, "range").orderBy(value)
-    return (
-        placed.withColumn("n_before", F.sum("n_equal").over(inside) - F.col("n_equal"))
-        .join(offsets, [*keys, "range"], "left")
-        .join(sizes.select(*keys, "n_total"), keys)
+    by_range = whole.orderBy("range")
+    offsets = (
+        placed.groupBy(*keys, "range")
+        .agg(F.sum("n_equal").alias("n"))
         .select(
             *keys,
-            value,
-            "n_equal",
-            (F.coalesce("offset", F.lit(0)) + F.col("n_before")).alias("n_less"),
-            "n_total",
+            "range",
+            (F.sum("n").over(by_range) - F.col("n")).alias("offset"),
+            F.sum("n").over(whole).alias("n_total"),
         )
     )
+    inside = Window.partitionBy(*keys, "range").orderBy(value)
+    return placed.join(offsets, [*keys, "range"]).select(
+        *keys,
+        value,
+        "n_equal",
+        (F.col("offset") + F.sum("n_equal").over(inside) - F.col("n_equal")).alias("n_less"),
+        "n_total",
+    )
 
 
 def quantiles(
