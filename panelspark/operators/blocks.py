@@ -108,6 +108,16 @@ def core(df: DataFrame, halo: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return df.where(F.col(POS) >= F.col(BLOCK) * block_rows).drop(BLOCK)
 
 
+def spread(df: DataFrame, lo: Column, hi: Column, out: str) -> DataFrame:
+    """One row for every position from ``lo`` to ``hi``, in steps, so that a gap of any length
+    never becomes one array."""
+    stepped = df.where(lo <= hi).withColumn("_hi", hi).withColumn(
+        "_lo", F.explode(F.sequence(lo, hi, F.lit(BLOCK_ROWS).cast("bigint")))
+    )
+    until = F.least(F.col("_lo") + BLOCK_ROWS - 1, F.col("_hi"))
+    return stepped.withColumn(out, F.explode(F.sequence("_lo", until))).drop("_lo", "_hi")
+
+
 def block_window(keys: Sequence[str] = tuple(SERIES)) -> WindowSpec:
     return Window.partitionBy(*keys, BLOCK).orderBy(POS)
 

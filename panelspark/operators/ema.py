@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.operators.blocks import BLOCK, BLOCK_ROWS, positions
+from panelspark.operators.blocks import BLOCK, BLOCK_ROWS, positions, spread
 from panelspark.schema import PANEL, POS, SERIES, TS
 
 STRETCH = math.log(1e6)
@@ -129,10 +129,10 @@ def until_next(df: DataFrame, columns: Sequence[Column], calendar: DataFrame) ->
     """
     owned = df.where("owned")
     last = F.coalesce(F.col("next_pos"), F.col("n_dates")) - 1
-    spread = owned.withColumn("grid_pos", F.explode(F.sequence(F.col(POS), last))).withColumn(
+    rows = spread(owned, F.col(POS), last, "grid_pos").withColumn(
         "held", F.col("grid_pos") - F.col(POS)
     )
-    return spread.select(*SERIES, F.col("grid_pos").alias(POS), *columns).join(
+    return rows.select(*SERIES, F.col("grid_pos").alias(POS), *columns).join(
         calendar.select(PANEL, POS, TS), [PANEL, POS]
     )
 

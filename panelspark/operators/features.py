@@ -20,6 +20,7 @@ from panelspark.operators.blocks import (
     running,
     series_blocks,
     shift,
+    spread,
     value_ranks,
     without_positions,
 )
@@ -175,15 +176,12 @@ def complete_rows(df: DataFrame) -> DataFrame:
     calendar = panel_calendar(df)
     placed = positions(df)
     names = [c for c in df.columns if c not in (*CELL, POS, "n_dates")]
+    first = placed.groupBy(*SERIES).agg(
+        F.min(POS).alias("first"), F.max("n_dates").alias("n_dates")
+    )
     lead = (
-        placed.groupBy(*SERIES)
-        .agg(F.min(POS).alias("first"), F.max("n_dates").alias("n_dates"))
-        .where("first > 0")
-        .select(
-            *SERIES,
-            "n_dates",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("first") - 1)).alias(POS),
-        )
+        spread(first, F.lit(0).cast("bigint"), F.col("first") - 1, POS)
+        .drop("first")
         .join(calendar.drop("n_dates"), [PANEL, POS])
         .select("*", *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in names])
     )

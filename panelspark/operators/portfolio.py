@@ -248,6 +248,8 @@ def adaptive_portfolio(
         start = int(pdf["task"].iloc[0]) * step
         pos, pi = np.unique(pdf[POS].to_numpy(), return_inverse=True)
         sym, si = np.unique(pdf[SYMBOL].to_numpy(dtype=str), return_inverse=True)
+        if len(sym) > solvers.MAX_ASSETS:
+            raise ValueError(f"{len(sym)} assets in one problem; the limit is {solvers.MAX_ASSETS}")
         x = np.full((len(pos), len(sym)), np.nan)
         x[pi, si] = pdf[RET].to_numpy(float)
         regime = np.zeros(len(pos), dtype=int)

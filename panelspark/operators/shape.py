@@ -13,6 +13,7 @@ from panelspark.operators.blocks import (
     padded_grid,
     panel_calendar,
     positions,
+    spread,
     without_positions,
 )
 from panelspark.schema import CELL, PANEL, POS, PRICE, RET, SERIES, SYMBOL, TS, require
@@ -56,9 +57,9 @@ def densify(
             F.coalesce(F.min(F.when(present, F.col(POS))), F.max("n_dates")).alias("first"),
         )
     )
-    lead = first.where("first > 0").select(
+    lead = spread(first, F.lit(0).cast("bigint"), F.col("first") - 1, POS).select(
         *SERIES,
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("first") - 1)).alias(POS),
+        POS,
         *[F.lit(None).cast("double").alias(v) for v in values],
     )
     return (

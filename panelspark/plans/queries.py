@@ -552,11 +552,16 @@ def _(p: Panels) -> DataFrame:
 
 def _vectors(p: Panels) -> DataFrame:
     """The embedding table as one panel of vectors."""
-    return p.table("embeddings").select(
-        F.lit("embeddings").alias(PANEL),
-        F.col("vec_id").alias(TS),
-        F.col("embedding").cast("array<double>").alias("x"),
-    )
+
+    def build() -> DataFrame:
+        return p.table("embeddings").select(
+            F.lit("embeddings").alias(PANEL),
+            F.col("vec_id").alias(TS),
+            "label",
+            F.col("embedding").cast("array<double>").alias("x"),
+        )
+
+    return p.stored("vectors", build)
 
 
 @query("g03_pca")
@@ -578,9 +583,8 @@ def _(p: Panels) -> DataFrame:
 @query("g05_inverse_distance_probs")
 def _(p: Panels) -> DataFrame:
     """Distances to the mean vectors of the first labels."""
-    points = p.table("embeddings").select(
-        F.lit("embeddings").alias(PANEL), "vec_id", "label",
-        F.slice(F.col("embedding").cast("array<double>"), 1, 3).alias("x"),
+    points = _vectors(p).select(
+        PANEL, F.col(TS).alias("vec_id"), "label", F.slice("x", 1, 3).alias("x")
     )
     means = points.where("label < 4").groupBy(PANEL, "label").agg(
         F.array(*[F.avg(F.col("x")[i]) for i in range(3)]).alias("c")
@@ -731,7 +735,6 @@ def _solved(p: Panels, weights: DataFrame) -> DataFrame:
 
 @query("h01_mean_variance")
 def _(p: Panels) -> DataFrame:
-    """Several risk aversions are several problems of one job."""
     mu, cov = _moments(p)
     problems = portfolio.problem_rows(mu, cov, hi=0.2)
     return _solved(p, portfolio.mean_variance(problems, risk_aversion=5.0))

@@ -57,7 +57,7 @@ def test_ranks_split_in_ranges(bars, prices):
 
 def test_hot_symbol(spark):
     """One symbol with most rows: many blocks, same result."""
-    n = 4_000
+    n = 1_200
     hot = spark.range(n).select(F.lit("HOT").alias("symbol"), F.col("id"))
     cold = spark.range(0, n, 97).select(F.lit("COLD").alias("symbol"), F.col("id"))
     bars = hot.union(cold).select(
@@ -65,8 +65,8 @@ def test_hot_symbol(spark):
         F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")).alias("ts"),
         (F.col("id") % 13 + 1).cast("double").alias("price"),
     ).cache()
-    a = features.impute_ffill(shape.densify(bars, block_rows=128), ["price"], 128)
-    b = features.impute_ffill(shape.densify(bars), ["price"])
+    a = features.impute_ffill(shape.densify(bars, block_rows=64), ["price"], 64).cache()
+    b = features.impute_ffill(shape.densify(bars), ["price"]).cache()
     cols = ["symbol", "ts", "price"]
     assert a.select(cols).exceptAll(b.select(cols)).isEmpty() and a.count() == 2 * n
 

@@ -13,9 +13,8 @@ from check_oracle import compare, connect  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 SAMPLE = [
-    "entry_features", "a02_read_indicators", "b03_densify", "c06_validation_issues", "d04_ema",
-    "d07_bollinger", "e02_cs_rank", "e15_clean_features", "f06_covariance", "g18_transition_matrix",
-    "h04_risk_parity", "i03_performance_metrics",
+    "entry_features", "a02_read_indicators", "b03_densify", "c06_validation_issues",
+    "e02_cs_rank", "g18_transition_matrix", "h04_risk_parity",
 ]
 needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")
 
