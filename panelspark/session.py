@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -63,3 +65,20 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/stages/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application.
+
+    The grouped kernels import it; executors do not share the driver's import path.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        here = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="panelspark-code-"), "panelspark")
+        archive = shutil.make_archive(target, "zip", os.path.dirname(here), os.path.basename(here))
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(app)

@@ -18,7 +18,7 @@ from panelspark.operators.market import covariance, regime_features
 from panelspark.operators.regimes import volatility_regimes
 from panelspark.operators.shape import complete_cases
 from panelspark.schema import CELL, PANEL, PRICE, RET, SYMBOL, TS
-from panelspark.session import shared_dir
+from panelspark.session import shared_dir, ship_package
 
 _STORED: dict[tuple[str, str, str], str] = {}
 
@@ -32,6 +32,7 @@ class Panels:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        ship_package(spark)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
