@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import byte_bpe, common, packing, token_files
+from panelspark.llm import byte_bpe, common, learned_index, metric_join, packing, token_files, warc
 
 TOKENIZERS = None  # a folder with the vocabulary files; by default that of the installed package
 
@@ -35,6 +35,18 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.byte_bpe(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op3_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    return metric_join.near_vectors(rows, 0.98)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = common.work_dir(spark, "archives")
+    runs = warc.write_archives(common.table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    index = common.stage(warc.merge_runs(runs), "index")
+    return warc.read_archives(index, folder)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = common.work_dir(spark, "token-files")
     token_files.write_token_files(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), 1, folder)
@@ -42,6 +54,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_learned_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return learned_index.nearest(rows, F.col("vec_id") % 100 == 0, 10)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     capacity = 2048
     pieces = common.stage(
@@ -52,7 +69,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_metric_join": op3_metric_join,
+    "op4_warc": op4_warc,
     "op5_token_files": op5_token_files,
+    "op6_learned_index": op6_learned_index,
     "op10_packing": op10_packing,
 }
 SQL: dict[str, str] = {}
