@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import byte_bpe, common, learned_index, metric_join, packing, token_files, warc
+from panelspark.llm import byte_bpe, common, context_mixing, learned_index, metric_join, packing, token_files, warc
 
 TOKENIZERS = None  # a folder with the vocabulary files; by default that of the installed package
 
@@ -59,6 +59,11 @@ def op6_learned_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learned_index.nearest(rows, F.col("vec_id") % 100 == 0, 10)
 
 
+def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return context_mixing.score(documents(spark, sf_dir), held_out)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     capacity = 2048
     pieces = common.stage(
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_token_files": op5_token_files,
     "op6_learned_index": op6_learned_index,
+    "op9_context_mixing": op9_context_mixing,
     "op10_packing": op10_packing,
 }
 SQL: dict[str, str] = {}
