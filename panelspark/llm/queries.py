@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import byte_bpe, common, context_mixing, learned_index, metric_join, packing, token_files, warc
+from panelspark.llm import byte_bpe, common, context_mixing, learned_index, metric_join, packing, token_files, toxicity, warc
 
 TOKENIZERS = None  # a folder with the vocabulary files; by default that of the installed package
 
@@ -59,6 +59,16 @@ def op6_learned_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learned_index.nearest(rows, F.col("vec_id") % 100 == 0, 10)
 
 
+def held_out_of_toxicity(doc_id):
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), common.table(spark, sf_dir, "labels", "doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.train(docs, labels, held_out_of_toxicity))
+    return scored.select("doc_id", held_out_of_toxicity(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     return context_mixing.score(documents(spark, sf_dir), held_out)
@@ -78,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_token_files": op5_token_files,
     "op6_learned_index": op6_learned_index,
+    "op8_toxicity": op8_toxicity,
     "op9_context_mixing": op9_context_mixing,
     "op10_packing": op10_packing,
 }

@@ -124,10 +124,13 @@ def _soft_end(data: np.ndarray, at: int, stop: int, last: int) -> int:
     return last
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Iterator[Words]:
+def words(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = True, space: np.ndarray = _SPACE
+) -> Iterator[Words]:
     """Words (runs of bytes other than space and \\t..\\r) in order, segment by segment.
 
-    A-Z are lower-cased with ``lower``. Rows without words give none.
+    A-Z are lower-cased with ``lower``. Rows without words give none. ``space`` marks the bytes between
+    words; it may add others to the default ones.
     """
     table = _LOWER if lower else None
     for lo, hi in segments(data, offsets):
@@ -138,7 +141,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Iterator
         inner = offsets[(offsets > lo) & (offsets < hi)] - lo
         cut = np.zeros(len(part) + 1, bool)
         cut[inner] = True
-        start, end = _runs(_SPACE[part], cut)
+        start, end = _runs(space[part], cut)
         row = np.searchsorted(offsets, start + lo, "right") - 1
         assert first >= 0
         yield Words(part, start, end, row)
