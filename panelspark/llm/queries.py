@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import byte_bpe, common, context_mixing, learned_index, metric_join, packing, token_files, toxicity, warc
+from panelspark.llm import byte_bpe, common, context_mixing, learned_index, lsh_forest, metric_join, packing, token_files, toxicity, warc
 
 TOKENIZERS = None  # a folder with the vocabulary files; by default that of the installed package
 
@@ -28,6 +28,10 @@ def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     return common.table(spark, sf_dir, "documents", "doc_id", "text", *more)
 
 
+def op1_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.jaccard_join(documents(spark, sf_dir))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -83,6 +87,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lsh_forest": op1_lsh_forest,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_metric_join": op3_metric_join,
     "op4_warc": op4_warc,
