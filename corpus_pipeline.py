@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from panelspark.llm import common, stages
 
 STAGES = [
-    ("packing", stages.packing_stage),
+    ("toxicity", stages.toxicity),
+    ("ngram_jaccard", stages.ngram_jaccard),
+    ("substring_dedup", stages.substring_dedup),
+    ("best_fit_packing", stages.best_fit_packing),
 ]
 #: A classifier, hashed signatures and a tokenizer are not expressible in SQL; tests use brute force.
 ORACLE_SQL = None

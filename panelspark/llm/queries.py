@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import byte_bpe, common, context_mixing, learned_index, lsh_forest, metric_join, packing, token_files, toxicity, warc
+from panelspark.llm import byte_bpe, common, context_mixing, learned_index, lsh_forest, metric_join, packing, paragraphs, token_files, toxicity, warc
 
 TOKENIZERS = None  # a folder with the vocabulary files; by default that of the installed package
 
@@ -63,6 +63,10 @@ def op6_learned_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learned_index.nearest(rows, F.col("vec_id") % 100 == 0, 10)
 
 
+def op7_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_passages(documents(spark, sf_dir))
+
+
 def held_out_of_toxicity(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_token_files": op5_token_files,
     "op6_learned_index": op6_learned_index,
+    "op7_paragraphs": op7_paragraphs,
     "op8_toxicity": op8_toxicity,
     "op9_context_mixing": op9_context_mixing,
     "op10_packing": op10_packing,

@@ -3,13 +3,44 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelspark.llm import common, packing, queries
+from panelspark.llm import common, lsh_forest, packing, paragraphs, queries
+from panelspark.llm import toxicity as classifier
 
 CAPACITY = 2048
 
 
-def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the classifier doesn't find toxic; it learns from the labels of these documents."""
+    labels = common.table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = classifier.train(docs, labels, queries.held_out_of_toxicity)
+    scored = classifier.score(docs, model, keep=tuple(docs.columns))
+    return scored.where("predicted = 0").select(*docs.columns)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of linked documents.
+
+    Only ids are joined to the documents: those that go. Rows without doc_id stay; of rows that repeat a
+    kept doc_id each stays.
+    """
+    linked = lsh_forest.jaccard_join(docs)
+    gone = linked.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = common.stage(gone, "gone")
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier document has; n_chars is that of the text left."""
+    spans = common.stage(paragraphs.repeated_passages(docs), "spans")
+    cut = paragraphs.without_passages(docs, spans)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents that are left, in sequences of at most CAPACITY ids."""
     definition = queries.vocabulary("byte_bpe_50k.json")
     pieces = common.stage(packing.document_pieces(docs, definition, 0, CAPACITY), "pieces")
