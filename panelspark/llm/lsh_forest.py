@@ -126,9 +126,10 @@ def jaccard_join(
                 yield pa.RecordBatch.from_arrays([*rows.columns[:3], found], names=["grp", "node", "weight", "set"]).filter(same)
 
     texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
-    items = texts.join(wanted, "node").select("grp", "node", "weight", "text", "key")
+    # the same join at every size: texts are exchanged once, and no list of ids has to fit a task
+    items = texts.join(wanted.hint("merge"), "node").select("grp", "node", "weight", "text", "key")
     items = items.mapInArrow(read, "grp long, node long, weight long, set binary")
-    linked = common.stage(shingles.verified(items, threshold), "verified")
+    linked = common.stage(shingles.verified(items, wanted, threshold), "verified")
     member = common.components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     outside = linked.groupBy("node").agg(F.sum("links").alias("outside"))
     about = (

@@ -208,7 +208,8 @@ def near_paragraphs(
                     names=["node", "doc_id", "start", "stop", "words", "key", "set", "bands"],
                 )
 
-    texts = _rows(docs, text, doc_id).join(lines, "doc_id")
+    # the same join at every size: texts are exchanged once, and no list of ids has to fit a task
+    texts = _rows(docs, text, doc_id).join(lines.hint("merge"), "doc_id")
     signed = common.stage(texts.select("doc_id", "text", "lines").mapInArrow(run, shape), "paragraphs")
     # equal lines are one class; a hot line costs one row per task in these exchanges
     classes = signed.groupBy("key").agg(F.min(F.struct("doc_id", "node")).alias("first"), F.count(F.lit(1)).alias("weight"))
@@ -220,7 +221,7 @@ def near_paragraphs(
     ).distinct()
     groups = common.components(edges).withColumnRenamed("component", "grp")
     items = signed.join(classes.select("node", "weight"), "node").join(groups, "node").select("grp", "node", "weight", "set")
-    linked = common.stage(shingles.verified(items.dropDuplicates(["node"]), threshold), "verified")
+    linked = common.stage(shingles.verified(items, items.select("grp", "node"), threshold), "verified")
     member = common.components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     cluster = (
         classes.join(member, "node", "left")
@@ -246,7 +247,7 @@ def without_passages(docs: DataFrame, spans: DataFrame, *, text: str = "text", d
     cut = spans.groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_cut")
     ).withColumnRenamed("doc_id", "_doc")
-    joined = docs.join(cut, F.col(doc_id).cast("long") == F.col("_doc"), "left").drop("_doc")
+    joined = docs.join(cut.hint("merge"), F.col(doc_id).cast("long") == F.col("_doc"), "left").drop("_doc")
     names = docs.columns
     inner = [f.name for f in joined.schema.fields]
 

@@ -131,16 +131,16 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def verified(items: DataFrame, threshold: float) -> DataFrame:
+def verified(items: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """Exact links inside candidate groups: (node, root, links) for every item that has one.
 
     ``items``: grp (long), node (long), weight (long: copies it stands for), set (binary of sorted 64-bit
-    hashes). ``links`` is the weight of the partners found; (node, root) connects what is linked. All pairs
+    hashes). ``members``: a narrow table with a row of grp for each of them, for the sizes of the groups. ``links`` is the weight of the partners found; (node, root) connects what is linked. All pairs
     of a group are compared, so a pair that only met through others counts as well. Groups up to BLOCK
     items are worked off many to a task; a larger one as pairs of blocks of its items, each in a group of
     its own, so the rows exchanged grow with size / BLOCK, and no pair leaves a task as a row.
     """
-    sizes = items.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
+    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = (
         items.join(sizes, "grp")

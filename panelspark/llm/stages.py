@@ -28,7 +28,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     linked = lsh_forest.jaccard_join(docs)
     gone = linked.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
     gone = common.stage(gone, "gone")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
