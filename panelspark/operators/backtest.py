@@ -60,12 +60,15 @@ def backtest(
 ) -> DataFrame:
     """Daily ledger per strategy; costs are charged when weights are reset, every ``every`` dates.
 
-    The drifted holdings and the daily sums are needed several times and are written once.
+    The drifted holdings and the daily sums are needed several times and are written once. A weight without
+    a return, a holding without a weight at its opening, or one that skips a date raises an error.
     """
     missing = F.raise_error(F.lit("a return is missing; keep complete dates only"))
+    unopened = F.raise_error(F.lit("a holding has no weight on the date its segment opens"))
+    absent = F.raise_error(F.lit("a holding lacks a row inside its segment; keep complete dates only"))
     rows = (
         weights.select(*STRATEGY, SYMBOL, TS, "weight")
-        .join(returns.select(PANEL, SYMBOL, TS, RET), [PANEL, SYMBOL, TS])
+        .join(returns.select(PANEL, SYMBOL, TS, RET), [PANEL, SYMBOL, TS], "left")
         .withColumn(RET, F.coalesce(RET, missing.cast("double")))
     )
     placed = positions(rows, STRATEGY)
@@ -88,8 +91,12 @@ def backtest(
     size = F.exp(F.sum(F.when(f != 0, F.ln(F.abs(f))).otherwise(0.0)).over(so_far))
     sign = F.when(F.count_if(f < 0).over(so_far) % 2 == 1, -1.0).otherwise(1.0)
     growth = F.when(F.count_if(f == 0).over(so_far) > 0, 0.0).otherwise(sign * size)
+    # the opening row and one for every date up to the next reset or the end
+    expected = 1 + F.least(F.lit(every).cast("bigint"), F.col("n_dates") - 1 - F.col("k") * every)
     drifted = (
         parts.withColumn("w0", F.max(F.when(F.col("opening"), F.col("weight"))).over(whole))
+        .withColumn("w0", F.coalesce("w0", unopened.cast("double")))
+        .withColumn("w0", F.when(F.count(F.lit(1)).over(whole) == expected, F.col("w0")).otherwise(absent.cast("double")))
         .withColumn("g", growth)
         .withColumn("g_prev", F.lag("g").over(segment))
         .where(~F.col("opening"))

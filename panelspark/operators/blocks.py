@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.schema import PANEL, POS, PRICE, SERIES, SYMBOL, TS, require
-from panelspark.session import stage
 
 BLOCK_ROWS = 16_384
 RANGE_ROWS = 500_000
@@ -294,27 +293,19 @@ def value_ranks(
 ) -> DataFrame:
     """Per distinct value of each group: ``n_equal``, ``n_less`` and the group's ``n_total``.
 
-    Values are counted first, so one repeated value is a single row; the counts are written
-    once. Where the largest group has more than ``range_rows`` distinct values, such groups
-    are split at approximate quantiles and ranked range by range. The ranks are exact
+    Values are counted first, so one repeated value is a single row. Groups of more than
+    ``range_rows`` distinct values are split at approximate quantiles; every group is ranked
+    range by range in the same plan, a small one as a single range. The ranks are exact
     wherever the edges fall.
     """
     keys = list(keys)
-    counted = stage(
+    counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n_equal"))
     )
     whole = Window.partitionBy(*keys)
-    sizes = counted.groupBy(*keys).agg(
-        F.sum("n_equal").alias("n_total"), F.count(F.lit(1)).alias("n_distinct")
-    )
-    largest = sizes.agg(F.max("n_distinct")).first()[0] or 0
-    if largest <= range_rows:
-        before = F.sum("n_equal").over(whole.orderBy(value)) - F.col("n_equal")
-        return counted.select(
-            *keys, value, "n_equal", before.alias("n_less"), F.sum("n_equal").over(whole).alias("n_total")
-        )
+    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_distinct"))
     edges = (
         counted.join(sizes.where(F.col("n_distinct") > range_rows).select(*keys), keys)
         .groupBy(*keys)

@@ -23,12 +23,13 @@ from panelspark.operators.blocks import BLOCK, BLOCK_ROWS, positions, spread
 from panelspark.schema import PANEL, POS, SERIES, TS
 
 STRETCH = math.log(1e6)
+FORGOTTEN = 41.5  # a loss of this much leaves 1e-18 of what came before
 _BLOCKED = [*SERIES, BLOCK]
 
 
 def reach(span: float) -> int:
     """Observed values after which a starting value is damped below 1e-18."""
-    return math.ceil(41.5 / -math.log(1 - 2 / (span + 1)))
+    return math.ceil(FORGOTTEN / -math.log(1 - 2 / (span + 1)))
 
 
 def observed_blocks(
@@ -73,7 +74,8 @@ def observed_blocks(
 def _scan(df: DataFrame, loss: Column, gain: Column, out: str) -> DataFrame:
     """Solve y_i = exp(-loss_i) * y_{i-1} + gain_i along ``ord`` inside each block.
 
-    The exponents are summed again inside each stretch, so they stay small and exact.
+    The exponents are summed again inside each stretch, so they stay small and exact. A loss is at most
+    FORGOTTEN: after a longer gap nothing of the past is left, and exp() stays finite.
     """
     so_far = (Window.unboundedPreceding, Window.currentRow)
     by_ord = Window.partitionBy(*_BLOCKED).orderBy("ord")
@@ -103,7 +105,7 @@ def ema_step(df: DataFrame, value: str, span: float, out: str) -> DataFrame:
     q = 1 - alpha
     first = F.col("gap").isNull()
     weight = F.pow(F.lit(q), F.col("gap")) + alpha
-    loss = F.when(first, 0.0).otherwise(-F.col("gap") * math.log(q) + F.ln(weight))
+    loss = F.when(first, 0.0).otherwise(F.least(-F.col("gap") * math.log(q) + F.ln(weight), F.lit(FORGOTTEN)))
     gain = F.when(first, F.col(value)).otherwise(alpha * F.col(value) / weight)
     return _scan(df, loss, gain, out)
 
@@ -115,7 +117,7 @@ def held_ema_step(df: DataFrame, value: str, span: float, out: str) -> DataFrame
     by_ord = Window.partitionBy(*_BLOCKED).orderBy("ord")
     first = F.col("gap").isNull()
     held = F.pow(F.lit(q), F.col("gap") - 1)
-    loss = F.when(first, 0.0).otherwise(-F.col("gap") * math.log(q))
+    loss = F.when(first, 0.0).otherwise(F.least(-F.col("gap") * math.log(q), F.lit(FORGOTTEN)))
     gain = F.when(first, F.col(value)).otherwise(
         q * (1 - held) * F.lag(value).over(by_ord) + alpha * F.col(value)
     )

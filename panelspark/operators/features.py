@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.calendar import is_federal_holiday, is_weekend
@@ -21,7 +21,6 @@ from panelspark.operators.blocks import (
     series_blocks,
     shift,
     spread,
-    value_ranks,
     without_positions,
 )
 from panelspark.operators.indicators import all_indicators
@@ -67,17 +66,17 @@ def lag_features(
     )
 
 
+def _rank(column: str) -> Column:
+    """Percentile rank on a date: one window, one exchange by date; ties share their mean rank."""
+    date = Window.partitionBy(PANEL, TS)
+    place = F.rank().over(date.orderBy(F.col(column).asc_nulls_last()))
+    equal = F.count(F.lit(1)).over(Window.partitionBy(PANEL, TS, column))
+    return F.when(F.col(column).isNotNull(), (place + (equal - 1) / 2) / F.count(column).over(date))
+
+
 def cs_rank(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
     """Percentile rank among the panel's symbols on each date; ties share their mean rank."""
-    ranks = value_ranks(df, [PANEL, TS], column).select(
-        PANEL,
-        TS,
-        column,
-        ((F.col("n_less") + (F.col("n_equal") + 1) / 2) / F.col("n_total")).alias(
-            out or f"{column}_rank"
-        ),
-    )
-    return df.join(ranks, [PANEL, TS, column], "left")
+    return df.withColumn(out or f"{column}_rank", _rank(column))
 
 
 def _moments(df: DataFrame, column: str) -> DataFrame:
@@ -104,27 +103,16 @@ def cs_deviation(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def cross_sectional(
-    df: DataFrame, column: str = "return_daily", source: DataFrame | None = None
-) -> DataFrame:
-    """Rank, z-score and deviation from the mean per date.
-
-    ``source`` is where the column is read for the statistics, by default ``df`` itself.
-    """
-    source = df if source is None else source
-    stats = value_ranks(source, [PANEL, TS], column).select(
-        PANEL,
-        TS,
-        column,
-        ((F.col("n_less") + (F.col("n_equal") + 1) / 2) / F.col("n_total")).alias(
-            f"{column}_rank"
-        ),
-    ).join(_moments(source, column), [PANEL, TS])
-    return (
-        df.join(stats, [PANEL, TS, column], "left")
-        .withColumn(f"{column}_zscore", ratio(F.col(column) - F.col("_mean"), F.col("_std")))
-        .withColumn(f"{column}_dev_mean", F.col(column) - F.col("_mean"))
-        .drop("_mean", "_std")
+def cross_sectional(df: DataFrame, column: str = "return_daily") -> DataFrame:
+    """Rank, z-score and deviation from the mean per date, all from one exchange by date."""
+    date = Window.partitionBy(PANEL, TS)
+    mean, spread_ = F.avg(column).over(date), F.stddev_samp(column).over(date)
+    return df.withColumns(
+        {
+            f"{column}_rank": _rank(column),
+            f"{column}_zscore": ratio(F.col(column) - mean, spread_),
+            f"{column}_dev_mean": F.col(column) - mean,
+        }
     )
 
 
@@ -321,8 +309,9 @@ def drop_incomplete(
         used = used | F.col(f"_h_{c}")
         whole = whole & (F.col(c).isNotNull() | (~F.col(f"_h_{c}") if ignore_empty else F.lit(False)))
     flagged = df.join(have, list(SERIES)).withColumn("_whole", whole)
+    kept = [c for c in df.columns if c not in (POS, "n_dates")]  # dates go, so positions change
     if scope == "row":
-        return flagged.where("_whole").select(*df.columns)
+        return flagged.where("_whole").select(*kept)
     roster = have.where(used if ignore_empty else F.lit(True)).groupBy(PANEL).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -333,7 +322,7 @@ def drop_incomplete(
         .where(F.col("k") == F.col("n"))
         .select(PANEL, TS)
     )
-    return df.join(good, [PANEL, TS], "left_semi")
+    return df.select(*kept).join(good, [PANEL, TS], "left_semi")
 
 
 # --- pipelines ------------------------------------------------------------------------
@@ -356,7 +345,8 @@ def clean_features(
     kept = fill_sparse(stage(complete_rows(kept)), columns, threshold, skip_warmup)
     if impute is not None:
         kept = IMPUTERS[impute](kept, columns)
-    return drop_incomplete(stage(kept), columns, scope).select(*df.columns)
+    names = [c for c in df.columns if c not in (POS, "n_dates")]
+    return drop_incomplete(stage(kept), columns, scope).select(*names)
 
 
 def exogenous(
@@ -421,7 +411,7 @@ def build_features(
     if include_lags:
         out = lag_features(out, ["return_daily"], LAGS, lag_symbols)
     if include_cross_sectional:
-        out = cross_sectional(out, source=base)
+        out = cross_sectional(out)
     if include_interaction:
         out = interactions(out)
     columns = feature_columns(out)

@@ -77,7 +77,7 @@ def avg_pairwise_correlation(
 
     For standardised returns z the sum of all correlations is the variance of sum_i z_i, so a
     task standardises its symbols and sums them; the sums of several tiles add up. NULL where
-    any symbol lacks a value or is constant in the window.
+    any symbol of the panel lacks a value or is constant in the window, however the blocks fall.
     """
     block_rows = max(block_rows, window)
 
@@ -92,23 +92,26 @@ def avg_pairwise_correlation(
             spread = past.std(axis=0, ddof=1)
             whole = np.all(spread > 0) and pos[i] - pos[i - window] == window
             z = ((past - past.mean(axis=0)) / spread).sum(axis=1) if whole else np.full(window, np.nan)
-            rows.append((pdf[PANEL].iloc[0], pos[i], z.tolist() if whole else None, len(sym)))
-        return pd.DataFrame(rows, columns=[PANEL, POS, "z", "n"])
+            rows.append((pdf[PANEL].iloc[0], pos[i], z.tolist() if whole else None, len(sym), pdf["roster"].iloc[0]))
+        return pd.DataFrame(rows, columns=[PANEL, POS, "z", "n", "roster"])
 
     placed = positions(returns.select(*CELL, RET))
-    tiles = symbol_tiles(returns, [PANEL], tile).select(*SERIES, "tile")
+    roster = F.count(F.lit(1)).over(Window.partitionBy(PANEL)).cast("int").alias("roster")
+    tiles = symbol_tiles(returns, [PANEL], tile).select(*SERIES, "tile", roster)
     blocks = series_blocks(placed.join(tiles, SERIES), window, block_rows=block_rows)
     partial = blocks.groupBy(PANEL, BLOCK, "tile").applyInPandas(
-        sums, f"{PANEL} string, {POS} long, z array<double>, n int"
+        sums, f"{PANEL} string, {POS} long, z array<double>, n int, roster int"
     )
     dates = placed.groupBy(PANEL, POS, TS).agg(F.lit(1).alias("one")).drop("one")
-    steps = partial.select(PANEL, POS, "n", F.posexplode_outer("z").alias("u", "zu"))
+    steps = partial.select(PANEL, POS, "n", "roster", F.posexplode_outer("z").alias("u", "zu"))
     total = (
         steps.groupBy(PANEL, POS, "u")
-        .agg(F.sum("zu").alias("zu"), F.sum("n").alias("n"))
+        .agg(F.sum("zu").alias("zu"), F.sum("n").alias("n"), F.max("roster").alias("roster"))
         .groupBy(PANEL, POS)
         .agg(
-            F.when(F.count_if(F.col("u").isNull()) == 0, F.var_samp("zu")).alias("v"),
+            F.when(
+                (F.count_if(F.col("u").isNull()) == 0) & (F.min("n") == F.max("roster")), F.var_samp("zu")
+            ).alias("v"),
             F.max("n").cast("double").alias("n"),
         )
         .select(

@@ -62,8 +62,6 @@ def _solve(problems: DataFrame, keys: Sequence[str], kernel: Callable) -> DataFr
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(SYMBOL)
         n = len(pdf)
-        if n > solvers.MAX_ASSETS:
-            raise ValueError(f"{n} assets in one problem; the limit is {solvers.MAX_ASSETS}")
         out = pdf[[*keys, SYMBOL]].copy()
         if any(len(r) != n for r in pdf["row"]):
             out["weight"], out["status"] = np.nan, "incomplete covariance"
@@ -248,8 +246,6 @@ def adaptive_portfolio(
         start = int(pdf["task"].iloc[0]) * step
         pos, pi = np.unique(pdf[POS].to_numpy(), return_inverse=True)
         sym, si = np.unique(pdf[SYMBOL].to_numpy(dtype=str), return_inverse=True)
-        if len(sym) > solvers.MAX_ASSETS:
-            raise ValueError(f"{len(sym)} assets in one problem; the limit is {solvers.MAX_ASSETS}")
         x = np.full((len(pos), len(sym)), np.nan)
         x[pi, si] = pdf[RET].to_numpy(float)
         regime = np.zeros(len(pos), dtype=int)

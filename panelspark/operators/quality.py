@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.operators.indicators import returns
+from panelspark.operators.blocks import BLOCK, block_window, core, padded_grid, shift
 from panelspark.operators.shape import top_k
-from panelspark.schema import PANEL, PRICE, SERIES, SYMBOL, TS
+from panelspark.schema import PANEL, POS, PRICE, SERIES, SYMBOL, TS
 
 EXTREME_RETURN = 0.5  # fixed value: absolute daily return
 
@@ -59,15 +59,17 @@ def zero_price_check(bars: DataFrame) -> DataFrame:
 
 
 def extreme_return_check(bars: DataFrame, threshold: float = EXTREME_RETURN) -> DataFrame:
-    """Number of daily returns beyond the threshold, per symbol."""
-    daily = returns(bars, [1])
-    return daily.groupBy(*SERIES).agg(
-        F.count_if(F.abs("return_daily") > threshold).alias("n_extreme")
-    )
+    """Number of daily returns beyond the threshold, per symbol; a jump away from zero is one."""
+    rows = padded_grid(bars, 1)
+    price = F.col(f"{PRICE}_pad")
+    before = shift(price, 1, block_window())
+    beyond = F.when(before == 0, price != 0).otherwise(F.abs(price / F.nullif(before, F.lit(0.0)) - 1) > threshold)
+    daily = core(rows.select(*SERIES, POS, BLOCK, beyond.alias("beyond")), 1)
+    return daily.groupBy(*SERIES).agg(F.count_if("beyond").alias("n_extreme"))
 
 
-def validation_issues(bars: DataFrame, show: int | None = 10) -> DataFrame:
-    """All findings, by symbol and kind; ``show`` keeps the first of them for a report."""
+def validation_issues(bars: DataFrame, show: int | None = None) -> DataFrame:
+    """All findings; for a report, ``show`` keeps the first of each panel, by symbol and kind."""
     signs = price_sign_checks(bars)
     found = [
         signs.where("has_negative").select(
@@ -87,4 +89,4 @@ def validation_issues(bars: DataFrame, show: int | None = 10) -> DataFrame:
     issues = found[0].unionByName(found[1]).unionByName(found[2])
     if show is None:
         return issues
-    return top_k(issues, show, [F.col(SYMBOL), F.col("kind")])
+    return top_k(issues, show, [F.col(SYMBOL), F.col("kind")], [PANEL])

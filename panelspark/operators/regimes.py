@@ -141,26 +141,12 @@ def pca_project(df: DataFrame, model: DataFrame, vector: str = "x") -> DataFrame
     return df.join(axes, PANEL).withColumn(vector, coords).drop("_axes")
 
 
-UNROLLED = 64  # up to this many terms, distances are plain generated expressions
-
-
-def _distances(x: str, centres: str, k: int, dims: int) -> Column:
+def _distances(x: str, centres: str, k: int) -> Column:
     """Distance to each of ``k`` centres; NULL where a panel has fewer."""
-    if k * dims <= UNROLLED:
-
-        def one(j: int) -> str:
-            terms = [f"pow(get({x}, {i}) - get(get({centres}, {j}), {i}), 2)" for i in range(dims)]
-            return f"sqrt({' + '.join(terms)})"
-
-        return F.expr(f"array({', '.join(one(j) for j in range(k))})")
-    x, centres = F.col(x), F.col(centres)
+    squares = lambda c: F.zip_with(F.col(x), c, lambda a, b: (a - b) * (a - b))
     return F.transform(
-        centres,
-        lambda c: F.sqrt(
-            F.aggregate(
-                F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
-            )
-        ),
+        F.array(*[F.get(F.col(centres), F.lit(j)) for j in range(k)]),
+        lambda c: F.sqrt(F.aggregate(squares(c), F.lit(0.0), lambda s, v: s + v)),
     )
 
 
@@ -201,7 +187,7 @@ def kmeans_fit(
     moved = F.aggregate(
         F.zip_with("old", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
     )
-    distance, nearest = _distances("x", "centres", k, dims), _nearest(F.col("d"))
+    distance, nearest = _distances("x", "centres", k), _nearest(F.col("d"))
     mean = F.expr(f"array({', '.join(f'avg(x[{i}])' for i in range(dims))})").alias("new")
     for _ in range(max_iter):
         assigned = (
@@ -217,7 +203,7 @@ def kmeans_fit(
             break
     inertia = (
         starts.join(centres, [PANEL, "r"])
-        .withColumn("d", F.array_min(_distances("x", "centres", k, dims)))
+        .withColumn("d", F.array_min(_distances("x", "centres", k)))
         .groupBy(PANEL, "r")
         .agg(F.sum(F.col("d") * F.col("d")).alias("inertia"))
     )
@@ -239,7 +225,7 @@ def assign_clusters(points: DataFrame, centres: DataFrame, k: int, dims: int) ->
     """Nearest centre and inverse-distance probabilities."""
     return (
         points.join(centres.select(PANEL, "centres"), PANEL)
-        .withColumn("d", _distances("x", "centres", k, dims))
+        .withColumn("d", _distances("x", "centres", k))
         .select(
             *points.columns,
             _nearest(F.col("d")).alias("regime"),

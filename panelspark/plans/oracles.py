@@ -120,9 +120,9 @@ def _sources() -> dict[str, str]:
     out["a06_ingest_by_key"] = f"""with {BRAND}, w as (select distinct p_brand symbol from part union select distinct n_name from nation)
  select w.symbol, count(price) n_rows, {r('avg(price)')} mean_price, case when count(price)=0 then 1 else 0 end n_errors
  from w left join brand b on b.symbol=w.symbol group by w.symbol"""
-    out["a07_ingest_coverage"] = """select distinct c_custkey "key" from customer where c_custkey not in
- (select o_custkey from orders where o_orderdate >= date '2000-01-01')"""
-    out["a08_latest_snapshot"] = f"with {FLAG} select symbol, ts, {r('price', 4)} price, {r('volume', 4)} volume from flag where volume > 100"
+    out["a07_ingest_coverage"] = """select distinct cast(l_shipdate as date) "key" from lineitem where cast(l_shipdate as date) not in
+ (select cast(o_orderdate as date) from orders)"""
+    out["a08_latest_snapshot"] = f"with {FLAG} select symbol, ts, {r('price', 4)} price, {r('volume', 4)} volume from flag"
     out["a09_ingest_all"] = f"""with {BRAND}, {MACRO}, {SENT} select 'prices' table_name, count(*) n_rows, max(ts) \"last\" from brand
  union all select 'macro', count(*), max(ts) from macro union all select 'sentiment', count(*), max(ts) from sent"""
     out["a10_dim_asset"] = f"""with {BRAND}, dim as (select p_brand symbol, max(p_type) asset_class from part group by 1)
@@ -132,10 +132,10 @@ def _sources() -> dict[str, str]:
 
 def _shape() -> dict[str, str]:
     out = {}
-    two = f"with {FLAG}, a as (select ts, price p from flag where symbol='A_F'), b as (select ts, price p from flag where symbol='R_O')"
-    cols = f"{r('a.p')} \"p_A_F\", {r('b.p')} \"p_R_O\""
-    out["b01_align_outer"] = f"{two} select coalesce(a.ts, b.ts) ts, {cols} from a full join b on a.ts=b.ts"
-    out["b02_align_inner"] = f"{two} select a.ts, {cols} from a join b on a.ts=b.ts"
+    flags = ("A_F", "A_O", "N_F", "N_O", "R_F", "R_O")
+    closes = ", ".join(f"{r(f'max(case when symbol={chr(39)}{s}{chr(39)} then price end)')} \"p_{s}\"" for s in flags)
+    out["b01_align_outer"] = f"with {FLAG} select ts, {closes} from flag group by ts"
+    out["b02_align_inner"] = f"with {FLAG} select ts, {closes} from flag group by ts having count(distinct symbol)=(select count(distinct symbol) from flag)"
     out["b03_densify"] = f"with {grid('flag')} select symbol, ts, {r('price')} price from g"
     wide = ", ".join(
         f"{r(chr(109) + 'ax(case when symbol=' + chr(39) + s + chr(39) + ' then price end)')} \"{s}\""
@@ -172,11 +172,11 @@ def _quality() -> dict[str, str]:
     out["c03_negative_price_check"] = f"{head} select symbol, bool_or(price<0) has_negative from shifted where price is not null group by 1"
     out["c04_zero_price_check"] = f"{head} select symbol, bool_or(price=0) has_zero from shifted where price is not null group by 1"
     out["c05_extreme_return_check"] = f"with {grid('flag')}, x as (select symbol, {ret(1)} rd from g) select symbol, count(*) filter (where abs(rd)>0.5) n_extreme from x group by 1"
-    out["c06_validation_issues"] = f"""{head}, x as (select symbol, price, pad/nullif(lag(pad) over ({WS}),0)-1 rd from shifted),
+    out["c06_validation_issues"] = f"""{head}, x as (select symbol, price, case when lag(pad) over ({WS})=0 then case when pad<>0 then 9 end else pad/nullif(lag(pad) over ({WS}),0)-1 end rd from shifted),
  i as (select symbol, 1 kind, 'Contains negative prices' issue from x group by 1 having bool_or(price<0)
  union all select symbol, 2, 'Contains zero prices' from x group by 1 having bool_or(price=0)
  union all select symbol, 3, concat(count(*) filter (where abs(rd)>0.5), ' extreme daily returns (>50%)') from x group by 1 having count(*) filter (where abs(rd)>0.5) > 0)
- select * from i order by symbol, kind limit 10"""
+ select * from i"""
     return out
 
 
@@ -316,11 +316,11 @@ def _regimes() -> dict[str, str]:
     out["g01_volatility_regimes"] = f"with {VREG} select ts, regime, {r('volatility')} volatility, {name} regime_name, {_onehot(4)} from vr"
     z = ", ".join(f"({c}-avg({c}) over ())/stddev_pop({c}) over () z{i}" for i, c in enumerate(("market_return", "volatility")))
     out["g02_standardise"] = f"with {RFEAT}, s as (select ts, {z} from rf) select ts, {r('z0')} market_return, {r('z1')} volatility from s"
-    cen = ", ".join(f"avg(embedding[{i}]::double) c{i}" for i in (1, 2, 3))
-    d = "+".join(f"pow(embedding[{i}]::double-c{i},2)" for i in (1, 2, 3))
-    out["g05_inverse_distance_probs"] = f"""with c as (select label, {cen} from embeddings where label<4 group by 1),
+    cen = ", ".join(f"avg(embedding[{i}]::double) c{i}" for i in range(1, 65))
+    d = "+".join(f"pow(embedding[{i}]::double-c{i},2)" for i in range(1, 65))
+    out["g05_inverse_distance_probs"] = f"""with c as (select label, {cen} from embeddings where label is not null group by 1),
  d as (select vec_id, c.label, sqrt({d}) dist from embeddings cross join c), w as (select vec_id, label, dist, 1/(dist+1e-10)/sum(1/(dist+1e-10)) over (partition by vec_id) pr, row_number() over (partition by vec_id order by dist, label) rk from d)
- select vec_id, max(case when rk=1 then label end) regime, {', '.join(r(f'max(case when label={i} then pr end)') + f' prob_regime_{i}' for i in range(4))} from w group by vec_id"""
+ select vec_id, max(case when rk=1 then label end) regime, {', '.join(r(f'max(case when label={i} then pr end)') + f' prob_regime_{i}' for i in range(10))} from w group by vec_id"""
     lab = f"lb as (select rf.*, vr.regime from rf join vr on vr.ts=rf.ts)"
     vreg_on_rf = f"q as (select quantile_cont(volatility,0.25) q0, quantile_cont(volatility,0.5) q1, quantile_cont(volatility,0.75) q2 from vm), vr as (select ts, case when volatility>q2 then 3 when volatility>q1 then 2 when volatility<=q0 then 0 else 1 end regime from vm cross join q)"
     med = "md as (select median(volatility) mv, median(correlation) mc, median(dispersion) mdi from rf)"

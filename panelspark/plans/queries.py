@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -208,16 +209,16 @@ def _(p: Panels) -> DataFrame:
 
 @query("a07_ingest_coverage", drop=())
 def _(p: Panels) -> DataFrame:
-    wanted = p.table("customer").select(F.col("c_custkey").alias("key"))
-    arrived = p.table("orders").where("o_orderdate >= date'2000-01-01'")
-    return ingest.ingest_coverage(wanted, arrived.select(F.col("o_custkey").alias("key")), "key")
+    """Shipping dates on which no order came in."""
+    wanted = p.table("lineitem").select(F.to_date("l_shipdate").alias("key"))
+    return ingest.ingest_coverage(wanted, p.table("orders").select(F.to_date("o_orderdate").alias("key")), "key")
 
 
 @query("a08_latest_snapshot", 4)
 def _(p: Panels) -> DataFrame:
     path, today = _scratch(p, "pulls"), dt.date(2001, 1, 3)
-    ingest.snapshot(p.flag_d.where("price > 1500"), path, today - dt.timedelta(days=1))
-    ingest.snapshot(p.flag_d.where("volume > 100"), path, today)
+    ingest.snapshot(p.flag_d.withColumn("price", F.col("price") * 2), path, today - dt.timedelta(days=1))
+    ingest.snapshot(p.flag_d, path, today)
     return ingest.latest_snapshot(p.spark, path, today, 2).select(SYMBOL, TS, "price", "volume")
 
 
@@ -251,18 +252,24 @@ def _(p: Panels) -> DataFrame:
 # --- shaping --------------------------------------------------------------------------
 
 
-def _day_close(p: Panels, name: str) -> DataFrame:
-    return p.flag_d.where(F.col(SYMBOL) == name).select(PANEL, TS, F.col("price").alias(f"p_{name}"))
+def _symbols(p: Panels) -> list[str]:
+    """The panel's symbols: a handful of flags, which become columns."""
+    return sorted(r[0] for r in p.flag_d.select(SYMBOL).distinct().collect())
+
+
+def _day_closes(p: Panels) -> list[DataFrame]:
+    close = lambda s: p.flag_d.where(F.col(SYMBOL) == s).select(PANEL, TS, F.col("price").alias(f"p_{s}"))
+    return [close(s) for s in _symbols(p)]
 
 
 @query("b01_align_outer")
 def _(p: Panels) -> DataFrame:
-    return shape.align_outer(_day_close(p, "A_F"), _day_close(p, "R_O"))
+    return reduce(shape.align_outer, _day_closes(p))
 
 
 @query("b02_align_inner")
 def _(p: Panels) -> DataFrame:
-    return shape.align_inner(_day_close(p, "A_F"), _day_close(p, "R_O"))
+    return reduce(shape.align_inner, _day_closes(p))
 
 
 @query("b03_densify")
@@ -272,7 +279,7 @@ def _(p: Panels) -> DataFrame:
 
 @query("b04_to_wide")
 def _(p: Panels) -> DataFrame:
-    return shape.to_wide(p.flag_d, "price", ["A_F", "A_O", "N_F", "N_O", "R_F", "R_O"])
+    return shape.to_wide(p.flag_d, "price", _symbols(p))
 
 
 @query("b05_select_features")
@@ -582,18 +589,16 @@ def _(p: Panels) -> DataFrame:
 
 @query("g05_inverse_distance_probs")
 def _(p: Panels) -> DataFrame:
-    """Distances to the mean vectors of the first labels."""
-    points = _vectors(p).select(
-        PANEL, F.col(TS).alias("vec_id"), "label", F.slice("x", 1, 3).alias("x")
-    )
-    means = points.where("label < 4").groupBy(PANEL, "label").agg(
-        F.array(*[F.avg(F.col("x")[i]) for i in range(3)]).alias("c")
+    """Distances of all components to the mean vectors of all labels."""
+    points = _vectors(p).select(PANEL, F.col(TS).alias("vec_id"), "label", "x")
+    means = points.where("label is not null").groupBy(PANEL, "label").agg(
+        F.array(*[F.avg(F.col("x")[i]) for i in range(64)]).alias("c")
     )
     centres = means.groupBy(PANEL).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("label", "c"))), lambda s: s["c"]).alias("centres")
     )
-    found = regimes.assign_clusters(points, centres, 4, 3)
-    return regimes.unpack_probs(found.select("vec_id", "regime", "probs"), 4)
+    found = regimes.assign_clusters(points, centres, 10, 64)
+    return regimes.unpack_probs(found.select("vec_id", "regime", "probs"), 10)
 
 
 @query("g06_cluster_regime_names")
@@ -806,7 +811,7 @@ def _(p: Panels) -> DataFrame:
 @query("h10_adaptive_portfolio")
 def _(p: Panels) -> DataFrame:
     return portfolio.adaptive_portfolio(
-        p.complete_returns("brand_w"), p.volatility_regimes, lookback=120, dates_per_task=16
+        p.complete_returns("brand_w"), p.volatility_regimes, dates_per_task=16
     )
 
 

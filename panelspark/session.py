@@ -1,4 +1,4 @@
-"""Session helper and the shared folder used to cut lineage."""
+"""Session helper, the shared folder and tables staged in it."""
 
 from __future__ import annotations
 
@@ -26,7 +26,9 @@ def local_session(app: str = "panelspark", cores: str | int = 8, **conf: str) ->
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,12 +51,6 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and drop its lineage (iterative operators, once per round)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

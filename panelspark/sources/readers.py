@@ -14,13 +14,18 @@ from panelspark.schema import PANEL, PRICE, SYMBOL, TS
 
 
 def _wide(spark: SparkSession, path: str, panel: str) -> DataFrame:
-    """First column is the date, every other column one series; nothing is inferred."""
+    """First column is the date or time, every other column one series.
+
+    Stamps are dates, unless one of them has a time of day: then all are timestamps without zone.
+    """
     raw = spark.read.option("header", True).csv(path)
     index, *names = raw.columns
     number = {n: finite(F.col(f"`{n}`").try_cast("double")) for n in names}
+    stamp = F.col(f"`{index}`").try_cast("timestamp_ntz")
+    timed = raw.agg(F.max(stamp != F.date_trunc("day", stamp).cast("timestamp_ntz"))).first()[0]
     return raw.select(
         F.lit(panel).alias(PANEL),
-        F.to_date(F.substring(F.col(f"`{index}`"), 1, 10)).alias(TS),
+        (stamp if timed else stamp.cast("date")).alias(TS),
         *[c.alias(n) for n, c in number.items()],
     )
 
