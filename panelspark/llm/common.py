@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores before it until no column has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared one, as a URI Spark can write to."""
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

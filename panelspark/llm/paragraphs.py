@@ -16,7 +16,7 @@ from panelspark.llm import words as W
 #: A piece ends at a word whose hash is the least within so many words on either side.
 REACH = 3
 #: Words of a run of repeated pieces, and of a near-duplicate paragraph, that make a passage.
-RUN, PARAGRAPH = 24, 20
+RUN, PARAGRAPH = 24, 24
 MAX_BANDS = 20
 SPANS = "doc_id long, start long, stop long, words long, first_doc long, component_id long, kind string"
 
@@ -48,7 +48,7 @@ def _words(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
         ends.append(part.end + at)
         hashes.append(part.hashes())
         at += len(part.data)
-    if not rows:
+    if not sum(map(len, rows)):
         return
     row, start, end = np.concatenate(rows), np.concatenate(starts), np.concatenate(ends)
     breaks = np.concatenate([[0], np.cumsum(data == 10)])[start]
@@ -127,17 +127,18 @@ def repeated_passages(
 ) -> DataFrame:
     """Spans of passages that an earlier document (one of a smaller doc_id) has as well; a row per span.
 
-    Columns: doc_id, start and stop (bytes of the text), words, first_doc (a document that keeps the
-    passage), component_id (the least document its cluster of near-duplicate paragraphs reaches, or
+    Columns: doc_id, start and stop (bytes of the text), words, first_doc (the document that keeps most of
+    its pieces), component_id (the least document its cluster of near-duplicate paragraphs reaches, or
     first_doc), kind ("run" or "paragraph").
 
     Paragraphs are lines. First, lines are cut into pieces of about seven words at places that only the
     words around decide, so a passage inside a longer line gives the same pieces everywhere; pieces this
     short are similar at the threshold only if equal, and consecutive pieces that earlier documents hold
     make a run if they have ``run`` words. Second, every line of ``paragraph`` words that shares a piece
-    with another document, and not all of them, is signed by MinHash; bands tuned for recall at the
+    with another document is signed by MinHash, unless all its pieces are in earlier ones and the line is
+    in a run as it stands; bands tuned for recall at the
     threshold bring lines together, their shingle sets are compared exactly, and the components decide:
-    a line goes if its cluster holds one of a smaller doc_id. A line of 20 words and five-word shingles
+    a line goes if its cluster holds one of a smaller doc_id. A line of 24 words and five-word shingles
     can't reach 0.8 with an inner word changed, so lines without a common piece hold no pair.
 
     Texts that are NULL, empty or shorter give no spans; repetition inside one document, and rows that
@@ -153,7 +154,7 @@ def repeated_passages(
         .groupBy("doc_id", "island")
         .agg(
             F.min("start").cast("long").alias("start"), F.max("stop").cast("long").alias("stop"),
-            F.sum("words").alias("words"), F.max("first_doc").alias("first_doc"),
+            F.sum("words").alias("words"), F.mode("first_doc", True).alias("first_doc"),
         )
         .where(F.col("words") >= run)
         .select("doc_id", "start", "stop", "words", "first_doc", F.col("first_doc").alias("component_id"), F.lit("run").alias("kind"))
@@ -167,7 +168,11 @@ def near_paragraphs(
 ) -> DataFrame:
     """Spans of lines whose cluster of similar lines holds one of an earlier document."""
     bands, height = tune_bands(threshold)
-    lines = shared_pieces.groupBy("doc_id").agg(F.sort_array(F.collect_set("paragraph")).alias("lines"))
+    # of each line its pieces that earlier documents hold; a row that repeats an id counts once
+    held = shared_pieces.groupBy("doc_id", "paragraph").agg(
+        F.count_distinct(F.when(F.col("first_doc") < F.col("doc_id"), F.col("piece"))).alias("later")
+    )
+    lines = held.groupBy("doc_id").agg(F.collect_list("paragraph").alias("lines"), F.collect_list("later").alias("later"))
     shape = "node long, doc_id long, start long, stop long, words long, key long, set binary, bands array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,16 +180,20 @@ def near_paragraphs(
         for batch in batches:
             for lo, part in shingles.slices(batch.column(1)):
                 ids = batch.column(0).slice(lo, len(part)).to_pylist()
-                wanted = batch.column(2).slice(lo, len(part)).to_pylist()
+                wanted = [
+                    dict(zip(a, b))
+                    for a, b in zip(*(batch.column(c).slice(lo, len(part)).to_pylist() for c in (2, 3)))
+                ]
                 rows, some = [], []
                 for row, start, end, h, breaks in _words(part):
-                    first, _ = _cuts(row, breaks, h)
+                    first, cuts = _cuts(row, breaks, h)
+                    inside = np.diff(np.searchsorted(cuts, np.append(first, len(h))))
                     last = np.append(first[1:], len(h))
                     owner = row[first]
                     number = np.arange(len(first)) - np.searchsorted(owner, owner)
                     for i in np.flatnonzero(last - first >= least).tolist():
                         o = int(owner[i])
-                        if int(number[i]) in wanted[o]:
+                        if wanted[o].get(int(number[i]), inside[i]) < inside[i]:
                             shingle = np.unique(shingles.shingle_hashes(h[first[i] : last[i]]))
                             some.append(shingle)
                             rows.append((ids[o], int(start[first[i]]), int(end[last[i] - 1]), int(last[i] - first[i]), int(number[i])))
@@ -210,7 +219,7 @@ def near_paragraphs(
 
     # the same join at every size: texts are exchanged once, and no list of ids has to fit a task
     texts = _rows(docs, text, doc_id).join(lines.hint("merge"), "doc_id")
-    signed = common.stage(texts.select("doc_id", "text", "lines").mapInArrow(run, shape), "paragraphs")
+    signed = common.stage(texts.select("doc_id", "text", "lines", "later").mapInArrow(run, shape), "paragraphs")
     # equal lines are one class; a hot line costs one row per task in these exchanges
     classes = signed.groupBy("key").agg(F.min(F.struct("doc_id", "node")).alias("first"), F.count(F.lit(1)).alias("weight"))
     classes = common.stage(classes.select("key", "weight", "first.node", F.col("first.doc_id").alias("doc_id")), "paragraph-classes")
@@ -244,10 +253,11 @@ def without_passages(docs: DataFrame, spans: DataFrame, *, text: str = "text", d
     A text that is cut loses the spans and the white space before each; others are unchanged, as are rows
     without doc_id.
     """
-    cut = spans.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_cut")
-    ).withColumnRenamed("doc_id", "_doc")
-    joined = docs.join(cut.hint("merge"), F.col(doc_id).cast("long") == F.col("_doc"), "left").drop("_doc")
+    doc, cuts = common.fresh("doc", docs.columns), common.fresh("cuts", docs.columns)
+    cut = spans.groupBy(F.col("doc_id").alias(doc)).agg(
+        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias(cuts)
+    )
+    joined = docs.join(cut.hint("merge"), F.col(doc_id).cast("long") == F.col(doc), "left").drop(doc)
     names = docs.columns
     inner = [f.name for f in joined.schema.fields]
 

@@ -15,8 +15,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier doesn't find toxic; it learns from the labels of these documents."""
     labels = common.table(spark, sf_dir, "labels", "doc_id", "toxic")
     model = classifier.train(docs, labels, queries.held_out_of_toxicity)
-    scored = classifier.score(docs, model, keep=tuple(docs.columns))
-    return scored.where("predicted = 0").select(*docs.columns)
+    # scored under plain names, whatever the columns are called
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index("text")]
+    scored = classifier.score(docs.toDF(*names), model, text=text, keep=tuple(names))
+    return scored.where("predicted = 0").select(*names).toDF(*docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +29,10 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     kept doc_id each stays.
     """
     linked = lsh_forest.jaccard_join(docs)
-    gone = linked.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    name = common.fresh("gone", docs.columns)
+    gone = linked.where("not kept and doc_id is not null").select(F.col("doc_id").alias(name)).distinct()
     gone = common.stage(gone, "gone")
-    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col(name), "left_anti")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -101,10 +101,15 @@ def test_context_mixing(spark, odd, odd_rows):
 
 
 def test_held_out_texts_cost_less_than_unigrams(spark):
-    rng = random.Random(8)
-    docs = spark.createDataFrame([(i, prose(rng, 150)) for i in range(400)], "doc_id long, text string")
-    got = context_mixing.score(docs, F.col("doc_id") % 7 == 2).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
-    assert got[0] > got[1]
+    """Texts of two vocabularies: the kinds are found, and each text pays for its own words only."""
+    rng, rows = random.Random(8), []
+    vocabularies = [[prose(rng, 1) + f"{k}x" for _ in range(400)] for k in "ab"]
+    for i in range(300):
+        words = [vocabularies[i % 2][int(400 * rng.random() ** 2)] for _ in range(120)]
+        rows.append((i, " ".join(words + [prose(rng, 1)] * (rng.random() < 0.3))))
+    got = context_mixing.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 7 == 2)
+    total = got.where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert total[0] > total[1] + 0.2 * total[2]
 
 
 def test_no_training_rows(spark, none):

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from pyspark.sql import functions as F
 
 from conftest import prose  # noqa: I001
 
@@ -65,6 +66,17 @@ def test_stages(spark, folder, tmp_path):
     assert changed == {i for i in range(240) if i % 20 == 3} - {3}
 
 
+def test_stages_of_odd_rows(spark, odd, folder):
+    """Nulls, repeats, very long texts and clashing names pass the filtering stages; columns stay."""
+    docs = odd.withColumn("gone", F.lit(1)).withColumn("predicted", F.lit(2))
+    for _, function in corpus_pipeline.STAGES[:-1]:
+        out = function(spark, docs, folder)
+        assert out.columns == docs.columns
+        assert function(spark, docs.where("false"), folder).count() == 0
+        assert out.where("doc_id is null").count() == 1
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).where("doc_id is null").count() == 1
+
+
 @needs_data
 @pytest.mark.parametrize("name", ["op4_warc", "op7_paragraphs", "pipeline"])
 def test_queries_run(spark, name):
