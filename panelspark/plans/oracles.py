@@ -103,6 +103,10 @@ def _indicators() -> dict[str, str]:
   from x join b on b.pos=x.pos where x.symbol<>'{BENCH}'),
  y as (select symbol, ts, pad, case when count(a) {win(60)}=60 then covar_samp(a,b) {win(60)}/nullif(stddev_samp(a) {win(60)}*stddev_samp(b) {win(60)},0) end c from p)
  select symbol, ts, {r('c')} corr_{BENCH}_60 from y where pad is not null"""
+    parts = [out[n] for n in sorted(out) if n != "d01_returns"]
+    joins = " ".join(f"left join ({sql}) t{i} using (symbol, ts)" for i, sql in enumerate(parts))
+    price = f"with {FLAG} select symbol, ts, {r('price')} price from flag"
+    out["d12_all_indicators"] = f"select * from ({out['d01_returns']}) d left join ({price}) p using (symbol, ts) {joins}"
     return out
 
 

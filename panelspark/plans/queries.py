@@ -110,6 +110,14 @@ def _(p: Panels) -> DataFrame:
     return ind.rolling_correlation(p.flag_d, BENCH)
 
 
+_COARSE = ("sma_20", "sma_50", "sma_200", "ema_12", "ema_26", "ema_50", "rsi_14", "macd", "macd_signal", "macd_hist", "bb_upper", "bb_lower", "atr_14")
+
+
+@query("d12_all_indicators", **dict.fromkeys(_COARSE, 4))
+def _(p: Panels) -> DataFrame:
+    return ind.all_indicators(p.flag_d, BENCH)
+
+
 @query("entry_features", sma_20=4, sma_50=4)
 def _(p: Panels) -> DataFrame:
     daily = ind.all_windowed(p.flag_d, (1, 5), (20, 50), (20, 60))

@@ -9,11 +9,14 @@ from panelspark.schema import SYMBOL
 
 # fixed values: default asset universe
 ASSET_UNIVERSE = {
-    "equity": "SPY QQQ IWM VTI EFA EEM XLK XLF XLE XLV XLI XLC XLY XLP XLU XLRE XLB",
-    "fixed_income": "TLT IEF SHY LQD HYG TIP MUB EMB",
-    "commodity": "GLD SLV USO DBA DBB UNG",
-    "currency": "UUP FXE FXY FXB FXA",
-    "alternative": "VNQ VIXY",
+    "equity": [
+        "SPY", "QQQ", "IWM", "VTI", "EFA", "EEM", "XLK", "XLF", "XLE", "XLV", "XLI", "XLC", "XLY", "XLP",
+        "XLU", "XLRE", "XLB",
+    ],
+    "fixed_income": ["TLT", "IEF", "SHY", "LQD", "HYG", "TIP", "MUB", "EMB"],
+    "commodity": ["GLD", "SLV", "USO", "DBA", "DBB", "UNG"],
+    "currency": ["UUP", "FXE", "FXY", "FXB", "FXA"],
+    "alternative": ["VNQ", "VIXY"],
 }
 
 # fixed values: macroeconomic and sentiment series
@@ -47,7 +50,7 @@ SENTIMENT_INDICATORS = {
 
 
 def dim_asset(spark: SparkSession) -> DataFrame:
-    rows = [(s, kind) for kind, names in ASSET_UNIVERSE.items() for s in names.split()]
+    rows = [(s, kind) for kind, names in ASSET_UNIVERSE.items() for s in names]
     return spark.createDataFrame(rows, f"{SYMBOL} string, asset_class string")
 
 
