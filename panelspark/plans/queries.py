@@ -24,6 +24,7 @@ from panelspark.operators import (
     regimes,
     shape,
 )
+from panelspark.operators.blocks import positions
 from panelspark.schema import PANEL, POS, SYMBOL, TS
 from panelspark.session import shared_dir
 from panelspark.sources import dimensions, ingest, readers, writers
@@ -595,6 +596,42 @@ def _(p: Panels) -> DataFrame:
     return found.groupBy("regime").agg(F.count(F.lit(1)).alias("n_points"))
 
 
+@query("g03_pca_checks")
+def _(p: Panels) -> DataFrame:
+    """What makes components principal: their coordinates don't correlate, and each holds its share of the variance."""
+    vectors = _vectors(p)
+    model = regimes.pca_fit(vectors, 3)
+    coords = regimes.pca_project(vectors, model)
+    shares = model.select(PANEL, "component", "explained", F.aggregate("loadings", F.lit(0.0), lambda s, v: s + v * v).alias("length"))
+    total = vectors.select(PANEL, F.posexplode("x").alias("i", "v")).groupBy(PANEL, "i").agg(F.var_pop("v").alias("v"))
+    total = total.groupBy(PANEL).agg(F.sum("v").alias("whole"))
+    own = coords.select(PANEL, TS, F.posexplode("x").alias("component", "c")).groupBy(PANEL, "component").agg(F.var_pop("c").alias("own"))
+    cross = coords.groupBy(PANEL).agg(
+        *[F.corr(F.col("x")[i], F.col("x")[j]).alias(f"r{i}{j}") for i, j in ((0, 1), (0, 2), (1, 2))]
+    )
+    found = shares.join(own, [PANEL, "component"]).join(total, PANEL).join(cross, PANEL)
+    return found.select(
+        "component", "length", (F.col("own") / F.col("whole") - F.col("explained")).alias("share_off"),
+        F.greatest(F.abs("r01"), F.abs("r02"), F.abs("r12")).alias("correlation"),
+    )
+
+
+@query("g04_kmeans_checks")
+def _(p: Panels) -> DataFrame:
+    """A settled clustering: one more step moves no centre, and every vector is in one cluster."""
+    vectors = _vectors(p)
+    points = regimes.pca_project(vectors, regimes.pca_fit(vectors, 3))
+    centres = regimes.kmeans_fit(points, k=4, dims=3, restarts=5)
+    found = regimes.assign_clusters(points, centres, 4, 3)
+    means = found.groupBy(PANEL, "regime").agg(
+        F.array(*[F.avg(F.col("x")[i]) for i in range(3)]).alias("mean"), F.count(F.lit(1)).alias("n")
+    )
+    moved = F.aggregate(
+        F.zip_with("mean", F.get("centres", F.col("regime")), lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, v: F.greatest(s, v)
+    )
+    return means.join(centres, PANEL).groupBy(PANEL).agg(F.max(moved).alias("moved"), F.sum("n").alias("n_points"), F.count(F.lit(1)).alias("k"))
+
+
 @query("g05_inverse_distance_probs")
 def _(p: Panels) -> DataFrame:
     """Distances of all components to the mean vectors of all labels."""
@@ -763,6 +800,46 @@ def _(p: Panels) -> DataFrame:
     return _solved(p, portfolio.maximum_sharpe(portfolio.problem_rows(*_moments(p))))
 
 
+_GRID = [PANEL, "window", "lam"]
+
+
+def _many_problems(p: Panels) -> tuple[DataFrame, DataFrame]:
+    """Moments of every year of weeks, once for each risk aversion, which scales the covariance."""
+    rows = positions(p.complete_returns("brand_w")).withColumn("window", F.floor(F.col(POS) / 52))
+    years = rows.groupBy(PANEL, "window").agg(F.count_distinct(TS).alias("n")).where("n >= 40").drop("n")
+    rows = rows.join(years, [PANEL, "window"])
+    lam = F.explode(F.array(F.lit(1.0), F.lit(5.0), F.lit(25.0))).alias("lam")
+    mu = market.mean_returns(rows, [PANEL, "window"]).select("*", lam)
+    cov = market.covariance(rows, [PANEL, "window"]).select("*", lam)
+    return mu, cov.withColumn("cov", F.col("cov") * F.col("lam"))
+
+
+def _gaps(weights: DataFrame, mu: DataFrame, cov: DataFrame, objective: str) -> DataFrame:
+    found = portfolio.optimality_gap(weights, mu, cov, objective, keys=_GRID)
+    return found.withColumn("long_only", F.col("least") >= -1e-12).drop("least")
+
+
+@query("h01_mean_variance_grid")
+def _(p: Panels) -> DataFrame:
+    mu, cov = _many_problems(p)
+    weights = portfolio.mean_variance(portfolio.problem_rows(mu, cov, _GRID), keys=_GRID)
+    return _gaps(weights, mu, cov, "mean_variance")
+
+
+@query("h02_minimum_variance_grid")
+def _(p: Panels) -> DataFrame:
+    mu, cov = _many_problems(p)
+    weights = portfolio.minimum_variance(portfolio.problem_rows(mu, cov, _GRID), keys=_GRID)
+    return _gaps(weights, mu.withColumn("mu", F.lit(0.0)), cov, "mean_variance")
+
+
+@query("h03_maximum_sharpe_grid")
+def _(p: Panels) -> DataFrame:
+    mu, cov = _many_problems(p)
+    weights = portfolio.maximum_sharpe(portfolio.problem_rows(mu, cov, _GRID), keys=_GRID)
+    return _gaps(weights, mu, cov, "sharpe")
+
+
 @query("h04_risk_parity")
 def _(p: Panels) -> DataFrame:
     return portfolio.risk_parity(p.brand_covariance, [PANEL])
@@ -823,6 +900,16 @@ def _(p: Panels) -> DataFrame:
     )
 
 
+@query("h10_adaptive_sums")
+def _(p: Panels) -> DataFrame:
+    """Walk-forward weights per date: how many, their sum, none negative."""
+    weights = portfolio.adaptive_portfolio(p.complete_returns("brand_w"), p.volatility_regimes, dates_per_task=16)
+    return weights.groupBy(TS).agg(
+        F.count("weight").alias("n_assets"), F.sum("weight").alias("total"),
+        (F.min("weight") >= -1e-12).alias("long_only"),
+    )
+
+
 # --- backtests ------------------------------------------------------------------------
 
 
