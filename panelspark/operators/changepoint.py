@@ -16,7 +16,7 @@ from panelspark.functions.numeric import ratio
 from panelspark.operators.blocks import positions, running
 from panelspark.operators.regimes import segments_to_regimes
 from panelspark.schema import PANEL, POS, TS
-from panelspark.session import stage
+from panelspark.session import release, stage
 
 KAPPA0, A0, B0 = 1.0, 1.0, 1.0  # prior of a standardised series
 EDGE = 0.1  # changes are kept inside [10 %, 90 %) of the series
@@ -146,11 +146,16 @@ def changepoints(
 ) -> DataFrame:
     """Every date with ``is_change``: recursive splitting until no segment wants a change.
 
-    One job per round works on all open segments of all panels. ``max_changes`` keeps the
-    best supported ones, by default max(15, 6 * n_regimes); segments are at least
+    One job per round works on all open segments of all panels. A panel gets at most
+    ``max_changes``, by default max(15, 6 * n_regimes) for every 1,000 dates; a round that would
+    exceed it takes its best supported ones. Segments are at least
     ``min_spacing`` dates long, by default max(5, length / 200).
     """
-    limit = max(15, 6 * n_regimes) if max_changes is None else max_changes
+    limit = (
+        F.lit(max(15, 6 * n_regimes)) * F.ceil(F.col("n_dates") / 1000)
+        if max_changes is None
+        else F.lit(max_changes)
+    )
     spacing = (
         F.greatest(F.lit(5).cast("bigint"), F.floor(F.col("n_dates") / 200))
         if min_spacing is None
@@ -159,14 +164,15 @@ def changepoints(
     rows = stage(_prefixed(series, value).withColumn("spacing", spacing))
     starts = stage(rows.where(F.col(POS) == 0).select(PANEL, POS, F.lit(True).alias("open")))
     gain = _split_gain()
+    limits = rows.where(F.col(POS) == 0).select(PANEL, limit.alias("limit"))
     while True:
-        used = starts.groupBy(PANEL).agg((F.count(F.lit(1)) - 1).alias("used"))
+        used = starts.groupBy(PANEL).agg((F.count(F.lit(1)) - 1).alias("used")).join(limits, PANEL)
         order = Window.partitionBy(PANEL).orderBy(F.desc("bf"), "seg")
         splits = stage(
             _best_splits(rows, starts, gain, threshold)
             .join(used, PANEL)
             .withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") + F.col("used") <= limit)
+            .where(F.col("rank") + F.col("used") <= F.col("limit"))
             .select(PANEL, "seg", "at")
         )
         if splits.isEmpty():
@@ -176,7 +182,9 @@ def changepoints(
             PANEL, POS, F.col("_split").isNotNull().alias("open")
         )
         added = splits.select(PANEL, F.col("at").alias(POS), F.lit(True).alias("open"))
-        starts = stage(kept.unionByName(added))
+        last, starts = starts, stage(kept.unionByName(added))
+        release(last)
+        release(splits)
     found = starts.where(F.col(POS) > 0).select(PANEL, POS, F.lit(True).alias("found"))
     return rows.join(found, [PANEL, POS], "left").select(
         PANEL, TS, POS, "n_dates", (F.col("found").isNotNull() & _within_edges()).alias("is_change")

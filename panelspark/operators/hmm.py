@@ -19,7 +19,7 @@ from panelspark.operators.blocks import BLOCK, BLOCK_ROWS, positions
 from panelspark.operators.market import dispersion, market_return
 from panelspark.operators.regimes import hmm_regime_names, kmeans_fit, standardise
 from panelspark.schema import PANEL, POS, TS
-from panelspark.session import stage
+from panelspark.session import release, stage
 
 FLOOR = 1e-3  # smallest covariance eigenvalue
 _PARAMS = f"{PANEL} string, pi array<double>, a array<double>, mu array<double>, cov array<double>, ll double"
@@ -295,6 +295,7 @@ def hmm_fit(
         gain = new.join(params.select(PANEL, F.col("ll").alias("before")), PANEL).agg(
             F.max(F.coalesce(F.abs(F.col("ll") - F.col("before")), F.lit(float("inf")))), F.sum("ll")
         ).first()
+        release(params)
         params = new
         if history is not None:
             history.append(gain[1])

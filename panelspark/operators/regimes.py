@@ -21,7 +21,7 @@ from panelspark.operators.blocks import (
 from panelspark.operators.market import market_return, market_volatility, regime_features
 from panelspark.operators.shape import matching_columns
 from panelspark.schema import PANEL, POS, RET, TS
-from panelspark.session import stage
+from panelspark.session import release, stage
 
 # fixed values: names of the four volatility regimes
 VOLATILITY_NAMES = ["Low Vol", "Normal", "High Vol", "Crisis"]
@@ -198,7 +198,8 @@ def kmeans_fit(
         means = assigned.groupBy(PANEL, "r", "j").agg(mean)
         old = centres.select(PANEL, "r", F.posexplode("centres").alias("j", "old"))
         step = old.join(means, [PANEL, "r", "j"], "left").withColumn("c", F.coalesce("new", "old"))
-        centres = stage(pack(step, F.max(moved).alias("moved")))
+        last, centres = centres, stage(pack(step, F.max(moved).alias("moved")))
+        release(last)
         if centres.agg(F.max("moved")).first()[0] <= tol:
             break
     inertia = (

@@ -6,6 +6,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,16 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Delete a staged table that no later plan reads; tables outside the shared folder stay."""
+    spark = df.sparkSession
+    root = urlparse(shared_dir(spark).rstrip("/")).path
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        if urlparse(folder).path.startswith(f"{root}/"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _SHIPPED: set[str] = set()
 
 
