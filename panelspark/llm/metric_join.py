@@ -17,6 +17,8 @@ from panelspark.llm import common, vectors
 #: Rows of a cell compared at a time; a larger cell is worked off as pairs of such blocks.
 BLOCK = 1024
 MAX_PIVOTS = 4096
+#: Vectors the number of pivots is chosen on, and comparisons that one more row in an exchange costs.
+SAMPLE, ROW = 2048, 2000
 
 
 def _vectors(df: DataFrame, vec_id: str, embedding: str, label: str) -> DataFrame:
@@ -39,6 +41,36 @@ def _vectors(df: DataFrame, vec_id: str, embedding: str, label: str) -> DataFram
     return rows.mapInArrow(run, "vec_id long, label string, key binary, vec binary")
 
 
+def _reach(d: np.ndarray, between: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """(nearest pivot, lower-numbered cells to be copied to) of vectors at distances ``d`` from the pivots."""
+    slack = 1e-6
+    home = d.argmin(1)
+    near = d[np.arange(len(d)), home][:, None]
+    reach = (d - near <= 2 * radius + slack) & (d * d - near * near <= 2 * between[home] * (radius + slack))
+    return home, reach & (np.arange(d.shape[1]) < home[:, None])
+
+
+def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0, 2 - 2 * x @ pivots.T))
+
+
+def best_number(sample: np.ndarray, pivots: np.ndarray, radius: float, n: int, labels: int) -> int:
+    """How many of the pivots to use: the least estimated cost of copies and comparisons for ``n`` vectors.
+
+    More pivots make smaller cells but more copies at their borders; which wins depends on how clustered
+    the vectors are. The result is exact with any number.
+    """
+    d, between = _distances(sample, pivots), _distances(pivots, pivots)
+    costs, size = {}, 1
+    while size <= len(pivots):
+        home, reach = _reach(d[:, :size], between[:size, :size], radius)
+        own = np.bincount(home, minlength=size) / len(sample)
+        everyone = own + reach.sum(0) / len(sample)
+        costs[size] = ROW * n * everyone.sum() + n * n / labels * float(own @ everyone)
+        size *= 2
+    return min(costs, key=costs.get)
+
+
 def _deal(pivots: np.ndarray, radius: float):
     """Cells of each vector: its nearest pivot's, and lower-numbered ones it may have partners in.
 
@@ -47,8 +79,7 @@ def _deal(pivots: np.ndarray, radius: float):
     so the distance to it, (d(v, i)^2 - d(v, h)^2) / (2 d(i, h)), is at most r as well. A pair that lies
     in two cells is found in the lower-numbered one.
     """
-    between = np.sqrt(np.maximum(0, 2 - 2 * pivots @ pivots.T))
-    slack = 1e-6
+    between = _distances(pivots, pivots)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -65,12 +96,7 @@ def _deal(pivots: np.ndarray, radius: float):
                         yield own.assign(cell=-size.astype("int64"), home=True)
                         continue
                     x = vectors.matrix(own["vec"].tolist())
-                    d = np.sqrt(np.maximum(0, 2 - 2 * x @ pivots.T))
-                    home = d.argmin(1)
-                    near = d[np.arange(len(x)), home][:, None]
-                    gap = between[home]
-                    reach = (d - near <= 2 * radius + slack) & (d * d - near * near <= 2 * gap * (radius + slack))
-                    reach &= np.arange(len(pivots)) < home[:, None]
+                    home, reach = _reach(_distances(x, pivots), between, radius)
                     row, cell = np.nonzero(reach)
                     yield own.assign(cell=home.astype("int64"), home=True)
                     yield own.iloc[row].assign(cell=cell.astype("int64"), home=False)
@@ -100,8 +126,8 @@ def near_vectors(
     with a weight, so copies are never paired; of a class, the least vec_id stands for it. NULL labels and
     vectors that are NULL, empty, zero or hold NULL or non-finite parts link with nothing, and vectors of
     different lengths not with each other. Repeated rows count as further vectors; a NULL vec_id has links
-    but is no component. Pivots are a hash sample of about the square root of the classes (at most
-    MAX_PIVOTS), the only thing the driver gets.
+    but is no component. Pivots are a hash sample of at most the square root of the classes and
+    MAX_PIVOTS; how many of them are used is chosen on SAMPLE vectors. The driver gets nothing else.
     """
     spark = df.sparkSession
     rows = _vectors(df, vec_id, embedding, label)
@@ -112,12 +138,16 @@ def near_vectors(
         ),
         "vector-classes",
     )
-    n = classes.count()
+    n, labels = classes.agg(F.count(F.lit(1)), F.approx_count_distinct("label")).first()
     size = min(MAX_PIVOTS, max(1, math.isqrt(n)))
     found = classes.select("vec").orderBy(F.xxhash64("vec")).limit(size).collect()
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
     width = max((len(r.vec) for r in found), default=8)
     pivots = vectors.matrix([bytes(r.vec) for r in found if len(r.vec) == width] or [bytes(8)])
+    some = classes.where(F.length("vec") == width).select("vec").orderBy(F.xxhash64("vec", F.lit(1))).limit(SAMPLE).collect()
+    if some:
+        x = vectors.matrix([bytes(r.vec) for r in some])
+        pivots = pivots[: best_number(x, pivots, radius, n, max(1, labels))]
     dealt = common.stage(
         classes.mapInPandas(
             _deal(pivots, radius), "label string, key binary, rep long, weight long, vec binary, cell long, home boolean"
