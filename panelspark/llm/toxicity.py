@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from panelspark.llm import words as W
 
 #: Labelled documents the classifier is fitted on (a hash sample): the bound of what the driver gets.
-SAMPLE = 12_000
+SAMPLE = 8_000
 #: log2 of the number of hashed features; the weights take 16 MB whatever the corpus.
 BITS = 22
 #: Beginnings of words, in bytes, that are features beside the words: stems of inflected forms.
@@ -103,17 +104,24 @@ def fit(
     if not n:
         return Classifier(np.zeros(0, np.int64), np.zeros(0), -2.0)
     sparsity = 0.9 * (1 + evidence * np.log10(n)) / n
-    columns, counts = np.unique(np.concatenate(sets), return_counts=True)
-    columns = columns[counts >= least]
+    # a feature that pulls with less than half the L1 term from the start is left out of the fit
+    size = 1 << BITS
+    total = np.bincount(np.concatenate(sets), minlength=size)
+    toxic = np.bincount(np.concatenate([*(s for s, y in zip(sets, labels) if y), np.zeros(0, np.int32)]), minlength=size)
+    pull = np.abs(toxic - labels.mean() * total) / n
+    columns = np.flatnonzero((total >= least) & (pull >= 0.5 * sparsity)).astype(np.int32)
+    del total, toxic, pull
     if not len(columns):
         columns = np.zeros(1, np.int32)
 
     def indexed(some: list[np.ndarray], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        row = np.repeat(np.arange(len(some)), [len(s) for s in some])
-        flat = np.concatenate([*some, np.zeros(0, np.int32)])
-        at = np.minimum(np.searchsorted(kept, flat), len(kept) - 1)
-        hit = kept[at] == flat
-        return row[hit], at[hit]
+        """(text, column) of the kept features, in narrow integers: the sample has millions of entries."""
+        place = np.full(size, -1, np.int32)
+        place[kept] = np.arange(len(kept), dtype=np.int32)
+        at = [place[s] for s in some]
+        hits = [a[a >= 0] for a in at]
+        row = np.repeat(np.arange(len(some), dtype=np.int32), [len(h) for h in hits])
+        return row, np.concatenate([*hits, np.zeros(0, np.int32)])
 
     def solve(kept: np.ndarray, l1: float, l2: float, steps: int) -> tuple[np.ndarray, float]:
         row, col = indexed(sets, kept)
@@ -198,11 +206,10 @@ def train(docs: DataFrame, labels: DataFrame, held_out, *, text: str = "text", d
     # repeated rows of the sampled documents could exceed the bound
     got = found.limit(4 * SAMPLE).collect()
     read = lambda raw: np.frombuffer(bytes(raw), np.int32)
-    sets = [read(r.features) for r in got if r.swapped is None]
-    y = np.array([r.label for r in got if r.swapped is None], float)
-    order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), sets[i].tobytes(), y[i]))
+    own = sorted(((read(r.features), r.label) for r in got if r.swapped is None), key=lambda x: (len(x[0]), zlib.crc32(x[0]), x[1]))
     pairs = [(read(r.features), read(r.swapped)) for r in got if r.swapped is not None]
-    return fit([sets[i] for i in order], (y[order] > 0).astype(float), pairs)
+    del got
+    return fit([x[0] for x in own], np.array([float(x[1] > 0) for x in own]), pairs)
 
 
 def score(
