@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.session import shared_dir, ship_package
+from panelspark.session import release, shared_dir, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -51,16 +50,6 @@ def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(df: DataFrame) -> None:
-    """Delete a staged table that no later plan reads."""
-    spark = df.sparkSession
-    root = shared_dir(spark).rstrip("/")
-    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-        if urlparse(folder).path.startswith(urlparse(root).path + "/"):
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def _digest(edges: DataFrame) -> tuple:
     row = edges.agg(
         F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))

@@ -18,6 +18,8 @@ SIZE = 5
 SLICE = 1 << 22
 #: Shingles whose hashes are formed together, about the size of a core's cache.
 CACHE = 1 << 15
+#: Items of small candidate groups that share a task.
+TOGETHER = 1000
 #: Items of a candidate group compared at a time; a larger group is worked off as pairs of such blocks.
 BLOCK = 256
 _WEIGHTS = W.mix(np.arange(1, SIZE + 1, dtype=np.uint64))
@@ -137,11 +139,12 @@ def verified(items: DataFrame, members: DataFrame, threshold: float) -> DataFram
     ``items``: grp (long), node (long), weight (long: copies it stands for), set (binary of sorted 64-bit
     hashes). ``members``: a narrow table with a row of grp for each of them, for the sizes of the groups. ``links`` is the weight of the partners found; (node, root) connects what is linked. All pairs
     of a group are compared, so a pair that only met through others counts as well. Groups up to BLOCK
-    items are worked off many to a task; a larger one as pairs of blocks of its items, each in a group of
+    items are worked off together, about TOGETHER items to a task; a larger one as pairs of blocks of its items, each in a group of
     its own, so the rows exchanged grow with size / BLOCK, and no pair leaves a task as a row.
     """
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    tasks = max(64, members.count() // TOGETHER)
     dealt = (
         items.join(sizes, "grp")
         .withColumn("blocks", blocks)
@@ -151,7 +154,7 @@ def verified(items: DataFrame, members: DataFrame, threshold: float) -> DataFram
             "grp", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block",
             "node", "weight", "set", "blocks",
         )
-        .withColumn("task", F.when(F.col("blocks") > 1, F.xxhash64("grp", "b1", "b2")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(4096))))
+        .withColumn("task", F.when(F.col("blocks") > 1, F.xxhash64("grp", "b1", "b2")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(tasks))))
     )
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
