@@ -1,3 +1,5 @@
+"""Texts and rows the tests of the corpus operators share."""
+
 import random
 
 import pytest

@@ -7,7 +7,7 @@ import pytest
 
 from panelspark.llm import lsh_forest, paragraphs, shingles
 
-from conftest import prose  # noqa: I001
+from corpora import none, odd, odd_rows, prose  # noqa: F401, I001
 
 
 def shingle_set(text):

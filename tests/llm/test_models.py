@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import context_mixing, toxicity
 
-from conftest import prose  # noqa: I001
+from corpora import none, odd, odd_rows, prose  # noqa: F401, I001
 
 
 def held(doc_id):

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from conftest import prose  # noqa: I001
+from corpora import none, odd, odd_rows, prose  # noqa: F401, I001
 
 FOLDER = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")

@@ -12,6 +12,8 @@ from tokenizers import Tokenizer
 from panelspark.llm import byte_bpe, common, packing, queries, token_files, vocab
 from panelspark.llm import words as W
 
+from corpora import none, odd, odd_rows  # noqa: F401, I001
+
 
 def reference(name, texts, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
