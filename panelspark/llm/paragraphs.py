@@ -68,8 +68,11 @@ def _cuts(row: np.ndarray, breaks: np.ndarray, h: np.ndarray) -> tuple[np.ndarra
 
 
 def pieces(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(doc_id, piece, paragraph, hash, start, stop, words) of every piece of every paragraph (a line)."""
-    shape = "doc_id long, piece int, paragraph int, hash long, start int, stop int, words int"
+    """(doc_id, copy, piece, paragraph, hash, start, stop, words) of every piece of every paragraph (a line).
+
+    ``copy`` tells apart the texts of rows that repeat a doc_id.
+    """
+    shape = "doc_id long, copy int, piece int, paragraph int, hash long, start int, stop int, words int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,14 +87,18 @@ def pieces(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                     owner = row[first]
                     line = np.searchsorted(lines, first, "right")
                     begin = np.searchsorted(owner, owner)  # first piece of the same row
+                    opening = first[begin]
+                    closing = last[np.searchsorted(owner, owner, "right") - 1]
+                    whole = W.mix((total[closing] - total[opening]) * _inverses(opening) + (closing - opening).astype(np.uint64))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(ids[owner]), pa.array((np.arange(len(first)) - begin).astype(np.int32)),
+                            pa.array(ids[owner]), pa.array((whole >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                            pa.array((np.arange(len(first)) - begin).astype(np.int32)),
                             pa.array((line - line[begin]).astype(np.int32)), pa.array(key.view(np.int64)),
                             pa.array(start[first].astype(np.int32)), pa.array(end[last - 1].astype(np.int32)),
                             pa.array((last - first).astype(np.int32)),
                         ],
-                        names=["doc_id", "piece", "paragraph", "hash", "start", "stop", "words"],
+                        names=["doc_id", "copy", "piece", "paragraph", "hash", "start", "stop", "words"],
                     )
 
     return _rows(docs, text, doc_id).mapInArrow(run, shape)
@@ -133,8 +140,9 @@ def repeated_passages(
 
     Paragraphs are lines. First, lines are cut into pieces of about seven words at places that only the
     words around decide, so a passage inside a longer line gives the same pieces everywhere; pieces this
-    short are similar at the threshold only if equal, and consecutive pieces that earlier documents hold
-    make a run if they have ``run`` words. Second, every line of ``paragraph`` words that shares a piece
+    short are similar at the threshold only if equal. Stretches of consecutive pieces that just reach ``run``
+    words count if one earlier document has the same words in the same order; those that overlap make a
+    run. Second, every line of ``paragraph`` words that shares a piece
     with another document is signed by MinHash, unless all its pieces are in earlier ones and the line is
     in a run as it stands; bands tuned for recall at the
     threshold bring lines together, their shingle sets are compared exactly, and the components decide:
@@ -147,22 +155,84 @@ def repeated_passages(
     every = pieces(docs, text, doc_id)
     shared = every.groupBy("hash").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("_last")).where("first_doc < _last")
     found = common.stage(every.join(shared.select("hash", "first_doc"), "hash"), "shared-pieces")
-    later = found.where("doc_id > first_doc").dropDuplicates(["doc_id", "piece"])
-    order = Window.partitionBy("doc_id").orderBy("piece")
+    parts = common.stage(stretches(found, run), "stretches")
+    earliest = parts.groupBy("hash").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("_last")).where("first_doc < _last")
+    held = parts.join(earliest.select("hash", "first_doc"), "hash").where("doc_id > first_doc")
+    order = Window.partitionBy("doc_id", "copy").orderBy("first", "last")
+    before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    held = held.withColumn("opens", F.when(F.col("first") <= before, 0).otherwise(1))
     runs = (
-        later.withColumn("island", F.col("piece") - F.row_number().over(order))
-        .groupBy("doc_id", "island")
+        held.withColumn("island", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("doc_id", "copy", "island")
         .agg(
             F.min("start").cast("long").alias("start"), F.max("stop").cast("long").alias("stop"),
-            F.sum("words").alias("words"), F.mode("first_doc", True).alias("first_doc"),
+            (F.max("until") - F.min("since")).alias("words"), F.mode("first_doc", True).alias("first_doc"),
         )
-        .where(F.col("words") >= run)
         .select("doc_id", "start", "stop", "words", "first_doc", F.col("first_doc").alias("component_id"), F.lit("run").alias("kind"))
     )
     near = near_paragraphs(docs, found, threshold, paragraph, text, doc_id)
     return runs.unionByName(near)
 
 
+def stretches(shared_pieces: DataFrame, run: int) -> DataFrame:
+    """Stretches of consecutive shared pieces that just reach ``run`` words, forwards from or backwards to a piece.
+
+    Columns: hash (of the pieces in order), doc_id, copy, first and last (pieces), start and stop (bytes),
+    since and until (words of the document's shared pieces before the stretch, and to its end). Both
+    directions together cover every piece of any ``run`` words that two documents have in common.
+    """
+    shape = "hash long, doc_id long, copy int, first int, last int, start int, stop int, since long, until long"
+    names = ["doc_id", "copy", "piece", "hash", "start", "stop", "words"]
+
+    def found(table: pa.Table) -> pa.RecordBatch | None:
+        doc, copy, piece, key, start, stop, size = (table.column(n).to_numpy() for n in names)
+        n = len(doc)
+        fresh = np.ones(n, bool)  # not the piece after the one before
+        fresh[1:] = (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (piece[1:] != piece[:-1] + 1)
+        island = np.cumsum(fresh)
+        ends = np.cumsum(size.astype(np.int64))
+        begins = ends - size
+        at = np.arange(n)
+        last = np.searchsorted(ends, begins + run)
+        first = np.searchsorted(begins, ends - run, "right") - 1
+        a = np.concatenate([at, first])
+        b = np.concatenate([last, at])
+        inside = (a >= 0) & (b < n)
+        a, b = a[inside], b[inside]
+        inside = island[a] == island[b]
+        pairs = np.unique(a[inside] * np.int64(n) + b[inside])
+        if not len(pairs):
+            return None
+        a, b = pairs // n, pairs % n
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(key.view(np.uint64) * _powers(n), out=total[1:])
+        own = W.mix((total[b + 1] - total[a]) * _inverses(a) + (b - a).astype(np.uint64)).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in (own, doc[a], copy[a], piece[a], piece[b], start[a], stop[b], begins[a], ends[b])],
+            names=["hash", "doc_id", "copy", "first", "last", "start", "stop", "since", "until"],
+        )
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # a document that goes on in the next batch waits for it
+            doc = batch.column(0).to_numpy()
+            cut = int(np.searchsorted(doc, doc[-1]))
+            if cut or (kept and kept[-1].column(0)[-1].as_py() != doc[0]):
+                table = pa.Table.from_batches([*kept, batch.slice(0, cut)])
+                kept = []
+                if (out := found(table)) is not None:
+                    yield out
+            kept.append(batch.slice(cut))
+        if kept and (out := found(pa.Table.from_batches(kept))) is not None:
+            yield out
+
+    own = shared_pieces.select(*names).dropDuplicates(["doc_id", "copy", "piece"])
+    return own.repartition("doc_id").sortWithinPartitions("doc_id", "copy", "piece").mapInArrow(walk, shape)
+
+
 def near_paragraphs(
     docs: DataFrame, shared_pieces: DataFrame, threshold: float, least: int, text: str, doc_id: str
 ) -> DataFrame:

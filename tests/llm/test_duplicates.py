@@ -117,6 +117,22 @@ def test_passages(spark):
     assert len(left[101].split()) < 40
 
 
+def test_runs_lie_in_one_earlier_document(spark):
+    """Lines and stretches of many documents strung together are no passage; the same words in one document are."""
+    rng = random.Random(21)
+    menu = [prose(rng, n).replace("\n", " ") for n in (1, 2, 1, 3, 5, 1, 2, 4, 5, 1, 3, 2, 5, 4, 1)]
+    rows = [(i, f"{prose(rng, 12)}\n{line}\n{prose(rng, 12)}") for i, line in enumerate(menu)]
+    rows.append((50, "\n".join(menu)))
+    rows.append((51, "\n".join(reversed(menu))))  # the same lines in another order
+    rows.append((52, "\n".join([prose(rng, 10), *menu, prose(rng, 10)])))
+    # two texts of one id hold half of a passage each
+    halves = [prose(rng, 14).replace("\n", " ") for _ in range(2)]
+    rows += [(60, halves[0]), (60, f"x\n{halves[1]}"), (61, "\n".join(halves))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = paragraphs.repeated_passages(df).collect()
+    assert [(r.doc_id, r.first_doc, r.words, r.kind) for r in spans] == [(52, 50, sum(len(m.split()) for m in menu), "run")]
+
+
 def test_passages_of_odd_rows(odd, odd_rows, none):
     spans = paragraphs.repeated_passages(odd)
     got = spans.collect()
