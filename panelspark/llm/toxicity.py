@@ -12,10 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.llm import common
 from panelspark.llm import words as W
 
-#: Labelled documents the classifier is fitted on (a hash sample): the bound of what the driver gets.
-SAMPLE = 8_000
+#: Labelled documents the classifier is fitted on (a hash sample), and the distinct changes of features under
+#: swapped terms, each with the number of sentences it stands for: the bounds of what the driver gets.
+SAMPLE, CHANGES = 8_000, 32_000
 #: log2 of the number of hashed features; the weights take 16 MB whatever the corpus.
 BITS = 22
 #: Beginnings of words, in bytes, that are features beside the words: stems of inflected forms.
@@ -92,10 +94,12 @@ class Classifier:
 
 def fit(
     sets: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]] = (), *,
-    evidence: float = 1.6, fairness: float = 5.0, least: int = 3, rounds: int = 120,
+    times: np.ndarray | None = None, evidence: float = 1.6, fairness: float = 5.0, least: int = 3, rounds: int = 120,
 ) -> Classifier:
     """Logistic loss + L1 + ``fairness`` * mean squared change of the log-odds under a swap.
 
+    ``times``: how often each of the pairs occurs; once if not given.
+
     The L1 term lets a feature in that marks about 1 + ``evidence`` * log10(n) more toxic texts than
     chance would, so that chance finds stay out at every sample size. Accelerated proximal gradient steps; then the features found are refitted without the L1 shrinkage.
     Features of fewer than ``least`` texts are left out.
@@ -125,12 +129,14 @@ def fit(
 
     def solve(kept: np.ndarray, l1: float, l2: float, steps: int) -> tuple[np.ndarray, float]:
         row, col = indexed(sets, kept)
-        d_row = d_col = d_sign = None
+        d_row = d_col = d_sign = share = None
         if len(pairs):
             ra, ca = indexed([np.setdiff1d(a, b) for a, b in pairs], kept)
             rb, cb = indexed([np.setdiff1d(b, a) for a, b in pairs], kept)
             d_row, d_col = np.concatenate([ra, rb]), np.concatenate([ca, cb])
             d_sign = np.concatenate([np.ones(len(ra)), -np.ones(len(rb))])
+            share = np.ones(len(pairs)) if times is None else np.asarray(times, float)
+            share = share / share.sum()
         w, v, bias, t = np.zeros(len(kept)), np.zeros(len(kept)), float(np.log((labels.mean() + 0.01) / (1.01 - labels.mean()))), 1.0
 
         def gradient(v: np.ndarray, bias: float) -> tuple[float, np.ndarray, float]:
@@ -140,8 +146,8 @@ def fit(
             g = np.bincount(col, r[row], len(kept)) + l2 * v
             if d_row is not None:
                 change = np.bincount(d_row, d_sign * v[d_col], len(pairs))
-                loss += fairness * float(np.mean(change * change))
-                g = g + 2 * fairness / len(pairs) * np.bincount(d_col, d_sign * change[d_row], len(kept))
+                loss += fairness * float(share @ (change * change))
+                g = g + 2 * fairness * np.bincount(d_col, d_sign * (share * change)[d_row], len(kept))
             return loss, g, float(r.sum())
 
         step = 8.0
@@ -173,8 +179,10 @@ def fit(
 def train(docs: DataFrame, labels: DataFrame, held_out, *, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> Classifier:
     """Fit on a hash sample of at most SAMPLE labelled documents that aren't held out.
 
-    A document labelled more than once is toxic if one label says so. Only features leave the executors;
-    the sample's ids, at most SAMPLE of them, are broadcast.
+    A document labelled more than once is toxic if one label says so; of rows that repeat a doc_id and its
+    text one is used. The counterfactual sentences of all sampled documents count: equal changes of features
+    are summed, so they take no place of a document. Only features leave the executors; the sample's ids, at
+    most SAMPLE of them, are broadcast.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")
@@ -183,33 +191,38 @@ def train(docs: DataFrame, labels: DataFrame, held_out, *, text: str = "text", d
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
 
+    swap = pa.list_(pa.struct([("gone", pa.binary()), ("come", pa.binary())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 texts = part.column(1).to_pylist()
-                swaps = [p for t, y in zip(texts, part.column(2).to_pylist()) for p in counterfactuals(t)]
-                a, b = _sets([p[0] for p in swaps]), _sets([p[1] for p in swaps])
-                own = _sets(texts)
+                swaps = [(i, *p) for i, t in enumerate(texts) for p in counterfactuals(t)]
+                changes: list[list[dict]] = [[] for _ in texts]
+                for (i, *_), a, b in zip(swaps, _sets([p[1] for p in swaps]), _sets([p[2] for p in swaps])):
+                    changes[i].append({"gone": np.setdiff1d(a, b).tobytes(), "come": np.setdiff1d(b, a).tobytes()})
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([*part.column(2).to_pylist(), *[None] * len(a)], pa.int32()),
-                        pa.array([s.tobytes() for s in [*own, *a]], pa.binary()),
-                        pa.array([*[None] * len(own), *[s.tobytes() for s in b]], pa.binary()),
+                        part.column(0), pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()), part.column(2),
+                        pa.array([s.tobytes() for s in _sets(texts)], pa.binary()), pa.array(changes, swap),
                     ],
-                    names=["label", "features", "swapped"],
+                    names=["doc_id", "copy", "label", "features", "changes"],
                 )
 
     found = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").mapInArrow(
-        run, "label int, features binary, swapped binary"
+        run, "doc_id long, copy long, label int, features binary, changes array<struct<gone: binary, come: binary>>"
     )
-    # repeated rows of the sampled documents could exceed the bound
-    got = found.limit(4 * SAMPLE).collect()
+    found = common.stage(found.dropDuplicates(["doc_id", "copy"]), "sample")
+    # an id with many texts could exceed the bound
+    got = found.orderBy(F.xxhash64("doc_id", "copy"), "doc_id", "copy").limit(SAMPLE).select("features", "label").collect()
     read = lambda raw: np.frombuffer(bytes(raw), np.int32)
-    own = sorted(((read(r.features), r.label) for r in got if r.swapped is None), key=lambda x: (len(x[0]), zlib.crc32(x[0]), x[1]))
-    pairs = [(read(r.features), read(r.swapped)) for r in got if r.swapped is not None]
+    own = sorted(((read(r.features), r.label) for r in got), key=lambda x: (len(x[0]), zlib.crc32(x[0]), x[1]))
     del got
-    return fit([x[0] for x in own], np.array([float(x[1] > 0) for x in own]), pairs)
+    moved = found.select(F.explode("changes").alias("c")).groupBy("c.gone", "c.come").agg(F.count(F.lit(1)).alias("n"))
+    moved = moved.orderBy(F.xxhash64("gone", "come"), "gone", "come").limit(CHANGES).collect()
+    pairs, times = [(read(r.gone), read(r.come)) for r in moved], np.array([r.n for r in moved], float)
+    return fit([x[0] for x in own], np.array([float(x[1] > 0) for x in own]), pairs, times=times)
 
 
 def score(

@@ -71,6 +71,24 @@ def test_swapped_identities_score_alike(spark):
     assert gap[5.0] < 0.25 * gap[0.0]
 
 
+def test_sample_keeps_all_documents_beside_their_swaps(spark, monkeypatch):
+    """Texts full of group terms take no place of other documents, and repeated rows count once."""
+    rng, rows = random.Random(2), []
+    for i in range(60):
+        rows.append((i, " ".join(f"{prose(rng, 3)} men and women." for _ in range(12)) if i < 30 else prose(rng, 20)))
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(60)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE", 60)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda sets, y, pairs, times=None: seen.append((sets, y, pairs, times)))
+    for copies, parts in ((1, 1), (1, 7), (9, 3)):
+        docs = spark.createDataFrame(rows * copies, "doc_id long, text string").repartition(parts)
+        toxicity.train(docs, labels, lambda doc_id: F.lit(False))
+    for sets, y, pairs, times in seen:
+        assert len(sets) == 60 and y.sum() == 12
+        assert sum(times) == sum(len(toxicity.counterfactuals(t)) for _, t in rows)
+    assert all([s.tobytes() for s in seen[0][0]] == [s.tobytes() for s in other[0]] for other in seen)
+
+
 def test_toxicity_of_odd_rows(spark, odd, odd_rows, none):
     labels = spark.createDataFrame([(1, 0), (7, 1), (2, 1), (11, 0)], "doc_id long, toxic int")
     got = toxicity.score(odd, toxicity.train(odd, labels, held)).collect()
