@@ -16,12 +16,12 @@ from panelspark.llm import words as W
 #: A piece ends at a word whose hash is the least within so many words on either side.
 REACH = 3
 #: Words of a run of repeated pieces, and of a near-duplicate paragraph, that make a passage.
-RUN, PARAGRAPH = 24, 24
+RUN, PARAGRAPH = 24, 20
 MAX_BANDS = 20
 SPANS = "doc_id long, start long, stop long, words long, first_doc long, component_id long, kind string"
 
 
-def tune_bands(threshold: float, recall: float = 0.995, most: int = MAX_BANDS) -> tuple[int, int]:
+def tune_bands(threshold: float, recall: float = 0.9999, most: int = MAX_BANDS) -> tuple[int, int]:
     """(bands, rows) with the most rows a band that still find a pair at the threshold with the recall.
 
     Two signatures agree in a band of r rows with probability s**r; b bands find the pair with
@@ -143,11 +143,11 @@ def repeated_passages(
     short are similar at the threshold only if equal. Stretches of consecutive pieces that just reach ``run``
     words count if one earlier document has the same words in the same order; those that overlap make a
     run. Second, every line of ``paragraph`` words that shares a piece
-    with another document is signed by MinHash, unless all its pieces are in earlier ones and the line is
-    in a run as it stands; bands tuned for recall at the
+    with another document is signed by MinHash, equal lines as one class; bands tuned for recall at the
     threshold bring lines together, their shingle sets are compared exactly, and the components decide:
-    a line goes if its cluster holds one of a smaller doc_id. A line of 24 words and five-word shingles
-    can't reach 0.8 with an inner word changed, so lines without a common piece hold no pair.
+    a line goes if its cluster holds one of a smaller doc_id, unless all its pieces are in earlier ones and
+    runs hold the threshold's share of it as it stands. Lines are expected to have a piece in common:
+    a line of 20 words and five-word shingles can't reach 0.8 with an inner word changed.
 
     Texts that are NULL, empty or shorter give no spans; repetition inside one document, and rows that
     repeat a doc_id, are left alone; rows without doc_id are skipped.
@@ -170,7 +170,8 @@ def repeated_passages(
         )
         .select("doc_id", "start", "stop", "words", "first_doc", F.col("first_doc").alias("component_id"), F.lit("run").alias("kind"))
     )
-    near = near_paragraphs(docs, found, threshold, paragraph, text, doc_id)
+    runs = common.stage(runs, "runs")
+    near = near_paragraphs(docs, found, runs, threshold, paragraph, text, doc_id)
     return runs.unionByName(near)
 
 
@@ -234,7 +235,7 @@ def stretches(shared_pieces: DataFrame, run: int) -> DataFrame:
 
 
 def near_paragraphs(
-    docs: DataFrame, shared_pieces: DataFrame, threshold: float, least: int, text: str, doc_id: str
+    docs: DataFrame, shared_pieces: DataFrame, runs: DataFrame, threshold: float, least: int, text: str, doc_id: str
 ) -> DataFrame:
     """Spans of lines whose cluster of similar lines holds one of an earlier document."""
     bands, height = tune_bands(threshold)
@@ -243,10 +244,16 @@ def near_paragraphs(
         F.count_distinct(F.when(F.col("first_doc") < F.col("doc_id"), F.col("piece"))).alias("later")
     )
     lines = held.groupBy("doc_id").agg(F.collect_list("paragraph").alias("lines"), F.collect_list("later").alias("later"))
-    shape = "node long, doc_id long, start long, stop long, words long, key long, set binary, bands array<long>"
+    cut = runs.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("runs"))
+    lines = lines.join(cut, "doc_id", "left").select(
+        "doc_id", "lines", "later", F.coalesce("runs.start", F.array().cast("array<long>")).alias("since"),
+        F.coalesce("runs.stop", F.array().cast("array<long>")).alias("until"),
+    )
+    shape = "node long, doc_id long, start long, stop long, words long, key long, in_run boolean, set binary, bands array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = shingles.MinHash(bands * height, seed=3)
+        signed: set[int] = set()
         for batch in batches:
             for lo, part in shingles.slices(batch.column(1)):
                 ids = batch.column(0).slice(lo, len(part)).to_pylist()
@@ -254,7 +261,11 @@ def near_paragraphs(
                     dict(zip(a, b))
                     for a, b in zip(*(batch.column(c).slice(lo, len(part)).to_pylist() for c in (2, 3)))
                 ]
-                rows, some = [], []
+                cuts_of = [
+                    tuple(np.array(x, np.int64) for x in ab)
+                    for ab in zip(*(batch.column(c).slice(lo, len(part)).to_pylist() for c in (4, 5)))
+                ]
+                rows, some, place = [], [], []
                 for row, start, end, h, breaks in _words(part):
                     first, cuts = _cuts(row, breaks, h)
                     inside = np.diff(np.searchsorted(cuts, np.append(first, len(h))))
@@ -263,43 +274,55 @@ def near_paragraphs(
                     number = np.arange(len(first)) - np.searchsorted(owner, owner)
                     for i in np.flatnonzero(last - first >= least).tolist():
                         o = int(owner[i])
-                        if wanted[o].get(int(number[i]), inside[i]) < inside[i]:
+                        if int(number[i]) in wanted[o]:
                             shingle = np.unique(shingles.shingle_hashes(h[first[i] : last[i]]))
-                            some.append(shingle)
-                            rows.append((ids[o], int(start[first[i]]), int(end[last[i] - 1]), int(last[i] - first[i]), int(number[i])))
+                            same = int.from_bytes(shingles.digest(shingle)[:8], "little", signed=True)
+                            # a task signs a line once, however often it occurs
+                            place.append(-1 if same in signed else len(some))
+                            if same not in signed:
+                                signed.add(same)
+                                some.append(shingle)
+                            a, b = int(start[first[i]]), int(end[last[i] - 1])
+                            since, until = cuts_of[o]
+                            both = np.maximum(np.minimum(until, b) - np.maximum(since, a), 0).sum()
+                            in_run = wanted[o][int(number[i])] >= inside[i] and both >= threshold * (b - a)
+                            rows.append((ids[o], a, b, int(last[i] - first[i]), int(number[i]), same, in_run))
                 if not rows:
                     continue
-                band = family.signatures(some).reshape(len(some), bands, height).astype(np.uint64)
-                key = np.broadcast_to(np.arange(bands, dtype=np.uint64), band.shape[:2]).copy()
-                for i in range(height):
-                    key = W.mix(key * np.uint64(0x100000001B3) + band[:, :, i])
-                doc, start_, stop_, words_, number_ = (np.array(c, np.int64) for c in zip(*rows))
+                key = np.zeros((0, bands), np.uint64)
+                if some:
+                    band = family.signatures(some).reshape(len(some), bands, height).astype(np.uint64)
+                    key = np.broadcast_to(np.arange(bands, dtype=np.uint64), band.shape[:2]).copy()
+                    for i in range(height):
+                        key = W.mix(key * np.uint64(0x100000001B3) + band[:, :, i])
+                doc, start_, stop_, words_, number_, same_, in_run_ = (np.array(c, np.int64) for c in zip(*rows))
                 node = W.mix(W.mix(doc.view(np.uint64)) + number_.view(np.uint64)).view(np.int64)
-                same = np.array([int.from_bytes(shingles.digest(s)[:8], "little", signed=True) for s in some])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(pa.array(c) for c in (node, doc, start_, stop_, words_, same)),
-                        pa.array([s.tobytes() for s in some], pa.binary()),
-                        pa.ListArray.from_arrays(
-                            np.arange(len(some) + 1, dtype=np.int32) * bands, pa.array(key.view(np.int64).ravel())
-                        ),
+                        *(pa.array(c) for c in (node, doc, start_, stop_, words_, same_, in_run_.astype(bool))),
+                        pa.array([some[j].tobytes() if j >= 0 else None for j in place], pa.binary()),
+                        pa.array([key[j].view(np.int64) if j >= 0 else None for j in place], pa.list_(pa.int64())),
                     ],
-                    names=["node", "doc_id", "start", "stop", "words", "key", "set", "bands"],
+                    names=["node", "doc_id", "start", "stop", "words", "key", "in_run", "set", "bands"],
                 )
 
     # the same join at every size: texts are exchanged once, and no list of ids has to fit a task
     texts = _rows(docs, text, doc_id).join(lines.hint("merge"), "doc_id")
-    signed = common.stage(texts.select("doc_id", "text", "lines", "later").mapInArrow(run, shape), "paragraphs")
+    signed = common.stage(texts.select("doc_id", "text", "lines", "later", "since", "until").mapInArrow(run, shape), "paragraphs")
     # equal lines are one class; a hot line costs one row per task in these exchanges
-    classes = signed.groupBy("key").agg(F.min(F.struct("doc_id", "node")).alias("first"), F.count(F.lit(1)).alias("weight"))
-    classes = common.stage(classes.select("key", "weight", "first.node", F.col("first.doc_id").alias("doc_id")), "paragraph-classes")
-    spread = signed.join(classes.select("node"), "node").select("node", F.explode("bands").alias("band"))
+    classes = signed.groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("set").isNotNull(), F.struct("doc_id", "node")))["node"].alias("node"),
+        F.count(F.lit(1)).alias("weight"),
+    )
+    classes = common.stage(classes.select("key", "weight", "node", "doc_id"), "paragraph-classes")
+    once = signed.where("set is not null").select("key", "node", "set", "bands")
+    spread = once.join(classes.select("key", "node"), ["key", "node"]).select("node", F.explode("bands").alias("band"))
     meets = spread.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
     edges = spread.join(meets.select("band", "least"), "band").where("node > least").select(
         F.col("node").alias("a"), F.col("least").alias("b")
     ).distinct()
     groups = common.components(edges).withColumnRenamed("component", "grp")
-    items = signed.join(classes.select("node", "weight"), "node").join(groups, "node").select("grp", "node", "weight", "set")
+    items = once.join(classes.select("key", "node", "weight"), ["key", "node"]).join(groups, "node").select("grp", "node", "weight", "set")
     linked = common.stage(shingles.verified(items, items.select("grp", "node"), threshold), "verified")
     member = common.components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     cluster = (
@@ -309,7 +332,7 @@ def near_paragraphs(
     first = cluster.groupBy("component").agg(F.min("doc_id").alias("first_doc"))
     keep = cluster.select("key", "component").join(first, "component").select("key", "first_doc")
     return (
-        signed.select("doc_id", "start", "stop", "words", "key").join(keep, "key").where("doc_id > first_doc")
+        signed.where("not in_run").select("doc_id", "start", "stop", "words", "key").join(keep, "key").where("doc_id > first_doc")
         .select(
             "doc_id", "start", "stop", "words", "first_doc", F.col("first_doc").alias("component_id"),
             F.lit("paragraph").alias("kind"),

@@ -133,6 +133,19 @@ def test_runs_lie_in_one_earlier_document(spark):
     assert [(r.doc_id, r.first_doc, r.words, r.kind) for r in spans] == [(52, 50, sum(len(m.split()) for m in menu), "run")]
 
 
+def test_lines_of_twenty_words(spark):
+    """Equal and nearly equal lines of 20 words are found, however many earlier lines hold their pieces."""
+    rng, rows = random.Random(33), []
+    for i in range(6):
+        base = prose(rng, 20).replace("\n", " ").split(" ")
+        rows.append((10 * i, " ".join(base)))
+        rows.append((10 * i + 1, "\n".join([prose(rng, 6), " ".join(base), prose(rng, 6)])))
+        rows.append((10 * i + 2, "\n".join([prose(rng, 6), " ".join([*base[:-1], "edited"]), prose(rng, 6)])))
+    spans = paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(10 * i + k, 20, 10 * i, "paragraph") for i in range(6) for k in (1, 2)]
+    assert sorted((r.doc_id, r.words, r.first_doc, r.kind) for r in spans) == want
+
+
 def test_passages_of_odd_rows(odd, odd_rows, none):
     spans = paragraphs.repeated_passages(odd)
     got = spans.collect()
