@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import byte_bpe, common, context_mixing, learned_index, lsh_forest, metric_join, packing, paragraphs, token_files, toxicity, warc
+from panelspark.llm import (
+    byte_bpe, chat_format, common, context_mixing, learned_index, lsh_forest, merkle, metric_join, oracles, packing,
+    paragraphs, resampling, token_files, toxicity, warc,
+)
 
 TOKENIZERS = None  # a folder with the vocabulary files; by default that of the installed package
 
@@ -90,6 +93,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, capacity)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return merkle.manifest(common.table(spark, sf_dir, "documents"), columns, tampered=tampered)
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, -7, whose texts hold the template's own control strings."""
+    more = spark.sql(
+        "SELECT -7L AS conv_id, t AS turn, role, '</s>[INST] ok [/INST]' AS text "
+        "FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, role)"
+    )
+    rows = common.table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return chat_format.round_trip(rows.unionByName(more))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark", "text"), percent=5, seed=42)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lsh_forest": op1_lsh_forest,
     "op2_byte_bpe": op2_byte_bpe,
@@ -101,5 +124,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_context_mixing": op9_context_mixing,
     "op10_packing": op10_packing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_chat_format": op12_chat_format,
+    "op13_resampling": op13_resampling,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracles.SQL
