@@ -18,6 +18,8 @@ from panelspark.llm import common
 ARITY = 3
 #: Levels built in one exchange: a group has at most ARITY ** LEVELS digests.
 LEVELS = 6
+#: Levels a descent goes down in one plan.
+TOGETHER = 3
 _WAY = "array<struct<left:string,right:string>>"
 
 
@@ -163,6 +165,8 @@ def descend(starts: DataFrame, store: DataFrame, top: int, stop: int = 0, wanted
             asked = wanted.select("tree", F.expr(f"pos div {ARITY ** (h - 1)}").alias("pos")).distinct()
             requests = requests.join(asked, ["tree", "pos"], "left_semi")
         requests = requests.unionByName(starts.where(F.col("height") == h - 1)) if h - 1 > 0 else requests
+        if (top - h) % TOGETHER == TOGETHER - 1 and h - 1 > stop:
+            requests = common.stage(requests, "requests")
     if stop == 0:
         requests = requests.unionByName(starts.where(F.col("height") == 0)) if top > 0 else starts
     return requests
@@ -218,13 +222,9 @@ def manifest(
     roots = common.stage(roots, "subroots")
     over = roots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"), "digest", F.lit(high).alias("height"))
     upper, root = build(over, [high])
-    root = root.first()["digest"]
-
     # from the root to the subroots, then on in each source's own tree
-    start = rows.sparkSession.range(1).select(
-        F.lit(0).cast("long").alias("tree"), F.lit(high).alias("height"), F.lit(0).cast("long").alias("pos"),
-        F.lit(root).alias("digest"), F.array().cast(_WAY).alias("way"),
-    )
+    start = root.select("tree", "height", F.lit(0).cast("long").alias("pos"), "digest", F.array().cast(_WAY).alias("way"))
+    root = root.first()["digest"]
     found = descend(start, upper, high)
     subroots = roots.select(F.col("tree").alias("pos"), F.col("height").alias("own"))
     starts = found.join(subroots, "pos").select(

@@ -117,7 +117,7 @@ def gains(source: DataFrame, target: DataFrame) -> list[int]:
     source = source.withColumnRenamed("n", "s")
     target = target.withColumnRenamed("n", "t")
     every = source.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket"))
-    both = every.join(source, "bucket", "left").join(target, "bucket", "left").fillna(0)
+    both = common.stage(every.join(source, "bucket", "left").join(target, "bucket", "left").fillna(0), "buckets")
     total = both.agg(F.sum("s").alias("S"), F.sum("t").alias("T")).first()
     ratio = (F.col("t") + 1.0) * float(total["S"] + BUCKETS) / ((F.col("s") + 1.0) * float(total["T"] + BUCKETS))
     rows = both.select("bucket", F.floor(1000.0 * F.log(ratio)).alias("gain")).collect()
