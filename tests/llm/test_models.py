@@ -130,6 +130,37 @@ def test_held_out_texts_cost_less_than_unigrams(spark):
     assert total[0] > total[1] + 0.2 * total[2]
 
 
+def test_models_of_two_corpora_do_not_mix(spark):
+    """Workers are reused, so a model kept from another table must never score this one."""
+    rng = random.Random(11)
+    tables = []
+    for k in range(2):
+        words = [prose(rng, 1) for _ in range(40)]
+        rows = [(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(120)]
+        tables.append(spark.createDataFrame(rows, "doc_id long, text string").cache())
+
+    def scores(k):
+        return {r["doc_id"]: r["score"] for r in context_mixing.score(tables[k], F.col("doc_id") % 7 == 2).collect()}
+
+    first = [scores(0), scores(1)]
+    for k in (0, 1, 0):
+        again = scores(k)
+        assert all(math.isclose(again[i], first[k][i], rel_tol=1e-9) for i in again)
+
+
+def test_accepted_rows_are_those_not_predicted(spark, odd):
+    rows, labels = corpus(400)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), held)
+    want = sorted(r["doc_id"] for r in toxicity.score(docs, model).where("predicted = 0").collect())
+    kept = toxicity.accepted(docs, model)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == want
+    assert 0 < len(want) < len(rows)
+    # all columns stay, whatever they are called
+    assert toxicity.accepted(odd, model).columns == odd.columns
+    assert toxicity.accepted(odd, model).count() == toxicity.score(odd, model).where("predicted = 0").count()
+
+
 def test_no_training_rows(spark, none):
     assert context_mixing.score(none, F.lit(False)).count() == 0
     docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
