@@ -186,7 +186,11 @@ def stretches(shared_pieces: DataFrame, run: int) -> DataFrame:
     names = ["doc_id", "copy", "piece", "hash", "start", "stop", "words"]
 
     def found(table: pa.Table) -> pa.RecordBatch | None:
-        doc, copy, piece, key, start, stop, size = (table.column(n).to_numpy() for n in names)
+        columns = [table.column(n).to_numpy() for n in names]
+        doc, copy, piece = columns[:3]
+        once = np.ones(len(doc), bool)  # rows that repeat lie next to each other
+        once[1:] = (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (piece[1:] != piece[:-1])
+        doc, copy, piece, key, start, stop, size = (c[once] for c in columns)
         n = len(doc)
         fresh = np.ones(n, bool)  # not the piece after the one before
         fresh[1:] = (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (piece[1:] != piece[:-1] + 1)
@@ -230,7 +234,7 @@ def stretches(shared_pieces: DataFrame, run: int) -> DataFrame:
         if kept and (out := found(pa.Table.from_batches(kept))) is not None:
             yield out
 
-    own = shared_pieces.select(*names).dropDuplicates(["doc_id", "copy", "piece"])
+    own = shared_pieces.select(*names)
     return own.repartition("doc_id").sortWithinPartitions("doc_id", "copy", "piece").mapInArrow(walk, shape)
 
 
