@@ -13,15 +13,14 @@ CAPACITY = 2048
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the classifier doesn't find toxic; it learns from the labels of these documents."""
+    """Documents the classifier doesn't find toxic; it learns from the labels of these documents.
+
+    NULL and empty texts are judged by the bias alone, repeated rows alike; without labels nothing goes.
+    """
     ship_package(spark)
     labels = common.table(spark, sf_dir, "labels", "doc_id", "toxic")
     model = classifier.train(docs, labels, queries.held_out_of_toxicity)
-    # scored under plain names, whatever the columns are called
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    text = names[docs.columns.index("text")]
-    scored = classifier.score(docs.toDF(*names), model, text=text, keep=tuple(names))
-    return scored.where("predicted = 0").select(*names).toDF(*docs.columns)
+    return classifier.accepted(docs, model)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +48,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents that are left, in sequences of at most CAPACITY ids."""
+    """Pieces of the documents that are left, in sequences of at most CAPACITY ids.
+
+    NULL and empty texts are one id, the end; repeated rows and rows without doc_id are packed each.
+    """
     ship_package(spark)
     definition = queries.vocabulary("byte_bpe_50k.json")
     pieces = common.stage(packing.document_pieces(docs, definition, 0, CAPACITY), "pieces")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -225,6 +226,27 @@ def train(docs: DataFrame, labels: DataFrame, held_out, *, text: str = "text", d
     return fit([x[0] for x in own], np.array([float(x[1] > 0) for x in own]), pairs, times=times)
 
 
+def _probabilities(model: tuple, batches: Iterator[pa.Array]) -> Iterator[np.ndarray]:
+    """Probability of every text of each batch."""
+    own = Classifier(*model)
+    dense = own.dense()
+    used = dense != 0
+    for batch in batches:
+        z = np.full(len(batch), own.bias)
+        keys = []
+        for row, f in features(batch):
+            hit = np.flatnonzero(used[f])
+            keys.append((row[hit] << BITS) | f[hit])
+        if keys:
+            keys = np.unique(np.concatenate(keys))
+            z += np.bincount(keys >> BITS, dense[keys & ((1 << BITS) - 1)], len(batch))
+        yield 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _share(docs: DataFrame, classifier: Classifier):
+    return docs.sparkSession.sparkContext.broadcast((classifier.feature, classifier.weight, classifier.bias))
+
+
 def score(
     docs: DataFrame, classifier: Classifier, *, text: str = "text", threshold: float = 0.3, keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
@@ -232,27 +254,32 @@ def score(
 
     A feature counts once per text, however long it is. NULL and empty texts get the bias alone.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((classifier.feature, classifier.weight, classifier.bias))
+    shared = _share(docs, classifier)
     rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Classifier(*shared.value)
-        dense = own.dense()
-        used = dense != 0
-        for batch in batches:
-            z = np.full(batch.num_rows, own.bias)
-            keys = []
-            for row, f in features(batch.column(batch.num_columns - 1)):
-                hit = np.flatnonzero(used[f])
-                keys.append((row[hit] << BITS) | f[hit])
-            if keys:
-                keys = np.unique(np.concatenate(keys))
-                z += np.bincount(keys >> BITS, dense[keys & ((1 << BITS) - 1)], batch.num_rows)
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        batches, again = itertools.tee(batches)
+        texts = (batch.column(batch.num_columns - 1) for batch in again)
+        for batch, p in zip(batches, _probabilities(shared.value, texts)):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                 names=[*batch.schema.names[:-1], "score", "predicted"],
             )
 
     return rows.mapInArrow(run, f"{shape}, score double, predicted int")
+
+
+def accepted(docs: DataFrame, classifier: Classifier, *, text: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, with all columns.
+
+    Only texts go to Python and only scores come back. NULL and empty texts get the bias alone; rows that
+    repeat are judged alike.
+    """
+    shared = _share(docs, classifier)
+
+    @F.arrow_udf("double")
+    def p(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from map(pa.array, _probabilities(shared.value, batches))
+
+    return docs.where(p(F.col(text).cast("string")) < threshold)

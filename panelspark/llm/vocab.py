@@ -25,11 +25,11 @@ def vocabulary_size(definition: bytes) -> int:
     return Tokenizer.from_str(definition.decode()).get_vocab_size(with_added_tokens=True)
 
 
-def encoder(definition: bytes, spaced: bool) -> "PieceEncoder":
+def encoder(definition: bytes, spaced: bool, remembered: int = REMEMBERED) -> "PieceEncoder":
     """This worker's encoder of a tokenizer file's content; ``spaced``: white space belongs to the pieces."""
     key = (hashlib.md5(definition).hexdigest(), spaced)
     if key not in _encoders:
-        _encoders[key] = PieceEncoder(definition, spaced)
+        _encoders[key] = PieceEncoder(definition, spaced, remembered)
     return _encoders[key]
 
 
@@ -40,13 +40,13 @@ class PieceEncoder:
     so a piece that occurs often is given to the library once. Special tokens' strings are ordinary text.
     """
 
-    def __init__(self, definition: bytes, spaced: bool):
+    def __init__(self, definition: bytes, spaced: bool, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition.decode())
         self.tokenizer.encode_special_tokens = True
-        self.spaced = spaced
+        self.spaced, self.remembered = spaced, remembered
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.width = np.zeros(max(names.values()) + 1, np.int64)
         self.closes = np.ones(len(self.width), bool)
@@ -115,7 +115,7 @@ class PieceEncoder:
             if not len(part.start):
                 continue
             hashes, first, inverse = np.unique(part.hashes(), return_index=True, return_inverse=True)
-            if len(self.slots) > REMEMBERED:
+            if len(self.slots) > self.remembered:
                 self._forget()
             new = [i for i, h in enumerate(hashes.tolist()) if h not in self.slots]
             if new:

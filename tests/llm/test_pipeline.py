@@ -17,7 +17,7 @@ needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables a
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14))
     assert "pipeline" in entry.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard", "substring_dedup", "best_fit_packing"]
 
