@@ -21,6 +21,7 @@ from panelspark.operators.blocks import (
     positions,
     running,
     series_blocks,
+    with_figures,
 )
 from panelspark.schema import PANEL, POS, RET, SYMBOL, TS
 from panelspark.session import stage
@@ -30,9 +31,8 @@ STRATEGY = [PANEL, "strategy"]
 
 def constant_weights(weights: DataFrame, returns: DataFrame) -> DataFrame:
     """The same weights on every date of the panel, one row per strategy, symbol and date."""
-    return returns.select(PANEL, SYMBOL, TS).join(
-        weights.select(PANEL, SYMBOL, "strategy", "weight"), [PANEL, SYMBOL]
-    )
+    cells = returns.select(PANEL, SYMBOL, TS)
+    return with_figures(cells, weights.select(PANEL, SYMBOL, "strategy", "weight"), [PANEL, SYMBOL])
 
 
 def _running_product(df: DataFrame, keys: Sequence[str], factors: dict[str, Column], block_rows: int) -> DataFrame:

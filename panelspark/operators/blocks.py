@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.schema import PANEL, POS, PRICE, SERIES, SYMBOL, TS, require
+from panelspark.session import stage
 
 BLOCK_ROWS = 16_384
 RANGE_ROWS = 500_000
@@ -284,6 +285,39 @@ def running(
     )
 
 
+def figure_block(df: DataFrame) -> Column:
+    """The stretch of time of a row: of positions if it has them, else of its stamps; one of 64 lots without both."""
+    if POS in df.columns:
+        return F.floor(F.col(POS) / BLOCK_ROWS)
+    if TS not in df.columns:
+        return F.pmod(F.xxhash64(*df.columns), F.lit(64))
+    kind = df.schema[TS].dataType
+    if isinstance(kind, T.DateType):
+        return F.floor(F.unix_date(TS) / BLOCK_ROWS)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.floor(F.unix_micros(F.col(TS).cast("timestamp")) / (BLOCK_ROWS * 60_000_000))
+    return F.floor(F.col(TS) / BLOCK_ROWS)
+
+
+def figures(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """One row of aggregates per key, with the blocks its rows lie in; pre-aggregated where the rows are."""
+    blocks = F.collect_set("_block").alias("_blocks")
+    return df.withColumn("_block", figure_block(df)).groupBy(*keys).agg(*aggregates, blocks)
+
+
+def with_figures(df: DataFrame, figures_: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Rows joined to the one row of figures of their key, by (key, block).
+
+    The figures are repeated for every block that has rows of their key, so a panel or a symbol with most
+    of all rows is dealt over as many tasks as it has blocks, whatever the engine knows about skew.
+    """
+    keys = list(keys)
+    if "_blocks" not in figures_.columns:
+        figures_ = figures_.join(figures(df, keys), keys)
+    spread_ = figures_.withColumn("_block", F.explode("_blocks")).drop("_blocks")
+    return df.withColumn("_block", figure_block(df)).join(spread_, [*keys, "_block"], how).drop("_block")
+
+
 def value_ranks(
     df: DataFrame,
     keys: Sequence[str],
@@ -296,10 +330,10 @@ def value_ranks(
     Values are counted first, so one repeated value is a single row. Groups of more than
     ``range_rows`` distinct values are split at approximate quantiles; every group is ranked
     range by range in the same plan, a small one as a single range. The ranks are exact
-    wherever the edges fall.
+    wherever the edges fall. The counts are read three times, so they are a staged table.
     """
     keys = list(keys)
-    counted = (
+    counted = stage(
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n_equal"))

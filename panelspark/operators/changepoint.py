@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.numeric import ratio
-from panelspark.operators.blocks import positions, running
+from panelspark.operators.blocks import figures, positions, running, with_figures
 from panelspark.operators.regimes import segments_to_regimes
 from panelspark.schema import PANEL, POS, TS
 from panelspark.session import release, stage
@@ -47,12 +47,12 @@ def log_marginal(n: str, s1: str, s2: str) -> Column:
     )
 
 
-def _prefixed(series: DataFrame, value: str) -> DataFrame:
+def prefixed(series: DataFrame, value: str) -> DataFrame:
     """Standardised values ``z`` with the sums before each position, ``c1`` and ``c2``."""
     placed = positions(series.select(PANEL, TS, value).where(F.col(value).isNotNull()))
-    stats = placed.groupBy(PANEL).agg(F.avg(value).alias("_m"), F.stddev_pop(value).alias("_s"))
+    stats = figures(placed, [PANEL], F.avg(value).alias("_m"), F.stddev_pop(value).alias("_s"))
     z = F.coalesce(ratio(F.col(value) - F.col("_m"), F.col("_s")), F.lit(0.0))
-    rows = placed.join(stats, PANEL).select(PANEL, TS, POS, "n_dates", z.alias("z"))
+    rows = with_figures(placed, stats, [PANEL]).select(PANEL, TS, POS, "n_dates", z.alias("z"))
     summed = running(
         rows, [PANEL], {"c1": ("sum", F.col("z")), "c2": ("sum", F.col("z") * F.col("z"))}
     )
@@ -72,23 +72,29 @@ def changepoint_posterior(series: DataFrame, value: str) -> DataFrame:
 
     A change at a date means that the date opens the second segment.
     """
-    rows = stage(_prefixed(series, value))
-    total = rows.groupBy(PANEL).agg(
+    rows = stage(prefixed(series, value))
+    total = figures(
+        rows,
+        [PANEL],
         F.count(F.lit(1)).alias("n"),
         F.sum("z").alias("t1"),
         F.sum(F.col("z") * F.col("z")).alias("t2"),
     )
     weight = log_marginal("pos", "c1", "c2") + log_marginal("(n - pos)", "t1 - c1", "t2 - c2")
-    weighed = rows.where(_within_edges() & (F.col(POS) > 0)).join(total, PANEL).select(
+    inner = rows.where(_within_edges() & (F.col(POS) > 0))
+    weighed = with_figures(inner, total, [PANEL]).select(
         PANEL, TS, POS, weight.alias("lw"), log_marginal("n", "t1", "t2").alias("one")
     )
-    top = weighed.groupBy(PANEL).agg(F.max("lw").alias("top"))
-    scaled = weighed.join(top, PANEL)
-    norm = scaled.groupBy(PANEL).agg(
-        F.sum(F.exp(F.col("lw") - F.col("top"))).alias("norm"), F.count(F.lit(1)).alias("places")
+    top = figures(weighed, [PANEL], F.max("lw").alias("top"))
+    scaled = with_figures(weighed, top, [PANEL])
+    norm = figures(
+        scaled,
+        [PANEL],
+        F.sum(F.exp(F.col("lw") - F.col("top"))).alias("norm"),
+        F.count(F.lit(1)).alias("places"),
     )
     evidence = F.col("top") + F.ln("norm") - F.ln("places") - F.col("one")
-    return scaled.join(norm, PANEL).select(
+    return with_figures(scaled, norm, [PANEL]).select(
         PANEL,
         TS,
         POS,
@@ -161,7 +167,7 @@ def changepoints(
         if min_spacing is None
         else F.lit(min_spacing).cast("bigint")
     )
-    rows = stage(_prefixed(series, value).withColumn("spacing", spacing))
+    rows = stage(prefixed(series, value).withColumn("spacing", spacing))
     starts = stage(rows.where(F.col(POS) == 0).select(PANEL, POS, F.lit(True).alias("open")))
     gain = _split_gain()
     limits = rows.where(F.col(POS) == 0).select(PANEL, limit.alias("limit"))

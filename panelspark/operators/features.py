@@ -14,6 +14,7 @@ from panelspark.operators.blocks import (
     BLOCK_ROWS,
     block_window,
     core,
+    figures,
     panel_calendar,
     positions,
     quantiles,
@@ -21,6 +22,7 @@ from panelspark.operators.blocks import (
     series_blocks,
     shift,
     spread,
+    with_figures,
     without_positions,
 )
 from panelspark.operators.indicators import all_indicators
@@ -198,12 +200,12 @@ def fill_sparse(
         rows = F.max("n_dates") - start
         return (1 - ratio(F.count(c).cast("double"), rows) > threshold).alias(f"_s_{c}")
 
-    sparse = placed.groupBy(*keys).agg(*[missing(c) for c in columns])
+    sparse = figures(placed, keys, *[missing(c) for c in columns])
     flags = sparse.agg(*[F.max(f"_s_{c}").alias(c) for c in columns]).first()
     columns = [c for c in columns if flags[c]]
     if not columns:
         return placed
-    sparse = sparse.select(*keys, *[f"_s_{c}" for c in columns])
+    sparse = sparse.select(*keys, "_blocks", *[f"_s_{c}" for c in columns])
     filled = fill_both_ways(
         placed.select("*", *[F.col(c).alias(f"_f_{c}") for c in columns]),
         [f"_f_{c}" for c in columns],
@@ -211,7 +213,7 @@ def fill_sparse(
         block_rows,
     )
     kept = [c for c in placed.columns if c not in columns]
-    return filled.join(sparse, keys).select(
+    return with_figures(filled, sparse, keys).select(
         *kept,
         *[F.when(F.col(f"_s_{c}"), F.col(f"_f_{c}")).otherwise(F.col(c)).alias(c) for c in columns],
     )
@@ -246,7 +248,7 @@ def impute_interpolate(
 
 
 def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    means = df.groupBy(*SERIES).agg(*[F.avg(c).alias(f"_m_{c}") for c in columns])
+    means = figures(df, SERIES, *[F.avg(c).alias(f"_m_{c}") for c in columns])
     return _coalesce_from(df, means, columns)
 
 
@@ -265,7 +267,7 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _coalesce_from(df: DataFrame, fills: DataFrame, columns: Sequence[str]) -> DataFrame:
     kept = [c for c in df.columns if c not in columns]
-    return df.join(fills, list(SERIES), "left").select(
+    return with_figures(df, fills, SERIES, "left").select(
         *kept, *[F.coalesce(F.col(c), F.col(f"_m_{c}")).alias(c) for c in columns]
     )
 
@@ -302,23 +304,24 @@ def drop_incomplete(
     if scope not in ("date", "row"):
         raise ValueError(f"unknown scope: {scope}")
     columns = list(columns)
-    have = df.groupBy(*SERIES).agg(*[(F.count(c) > 0).alias(f"_h_{c}") for c in columns])
+    have = figures(df, SERIES, *[(F.count(c) > 0).alias(f"_h_{c}") for c in columns])
     used = F.lit(False)
     whole = F.lit(True)
     for c in columns:
         used = used | F.col(f"_h_{c}")
         whole = whole & (F.col(c).isNotNull() | (~F.col(f"_h_{c}") if ignore_empty else F.lit(False)))
-    flagged = df.join(have, list(SERIES)).withColumn("_whole", whole)
+    flagged = with_figures(df, have, SERIES).withColumn("_whole", whole)
     kept = [c for c in df.columns if c not in (POS, "n_dates")]  # dates go, so positions change
     if scope == "row":
         return flagged.where("_whole").select(*kept)
     roster = have.where(used if ignore_empty else F.lit(True)).groupBy(PANEL).agg(
         F.count(F.lit(1)).alias("n")
     )
+    by_date = flagged.groupBy(PANEL, TS).agg(
+        F.count_if(F.col("_whole") & (used if ignore_empty else F.lit(True))).alias("k")
+    )
     good = (
-        flagged.groupBy(PANEL, TS)
-        .agg(F.count_if(F.col("_whole") & (used if ignore_empty else F.lit(True))).alias("k"))
-        .join(roster, PANEL)
+        with_figures(by_date, roster, [PANEL])
         .where(F.col("k") == F.col("n"))
         .select(PANEL, TS)
     )

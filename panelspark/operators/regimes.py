@@ -13,10 +13,12 @@ from panelspark.functions.numeric import TRADING_DAYS, ratio, sample_kurtosis, s
 from panelspark.operators.blocks import (
     BLOCK,
     BLOCK_ROWS,
+    figures,
     positions,
     quantiles,
     running,
     series_blocks,
+    with_figures,
 )
 from panelspark.operators.market import market_return, market_volatility, regime_features
 from panelspark.operators.shape import matching_columns
@@ -46,14 +48,14 @@ def volatility_regimes(
     returns: DataFrame, window: int = 21, probs: Sequence[float] = (0.25, 0.5, 0.75)
 ) -> DataFrame:
     """Market volatility binned at its own quantiles; a date without volatility is Normal."""
-    vol = market_volatility(returns, window)
+    vol = stage(market_volatility(returns, window))
     cuts = quantiles(vol, [PANEL], "volatility", {f"q{i}": p for i, p in enumerate(probs)})
     v = F.col("volatility")
     regime = (
         F.when(v > F.col("q2"), 3).when(v > F.col("q1"), 2).when(v <= F.col("q0"), 0).otherwise(1)
     )
     names = F.array(*[F.lit(n) for n in VOLATILITY_NAMES])
-    return vol.join(cuts, PANEL, "left").select(
+    return with_figures(vol, cuts, [PANEL], "left").select(
         PANEL,
         TS,
         regime.alias("regime"),
@@ -68,7 +70,9 @@ def volatility_regimes(
 
 def standardise(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (PANEL,)) -> DataFrame:
     """z-scores with the population deviation; a constant column becomes 0."""
-    stats = df.groupBy(*keys).agg(
+    stats = figures(
+        df,
+        keys,
         *[F.avg(c).alias(f"_m_{c}") for c in columns],
         *[F.stddev_pop(c).alias(f"_s_{c}") for c in columns],
     )
@@ -78,7 +82,7 @@ def standardise(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (PA
         s = F.when(F.col(f"_s_{c}") == 0, 1.0).otherwise(F.col(f"_s_{c}"))
         return ((F.col(c) - F.col(f"_m_{c}")) / s).alias(c)
 
-    return df.join(stats, list(keys)).select(*kept, *[z(c) for c in columns])
+    return with_figures(df, stats, keys).select(*kept, *[z(c) for c in columns])
 
 
 def pca_fit(df: DataFrame, k: int, vector: str = "x") -> DataFrame:
@@ -138,7 +142,7 @@ def pca_project(df: DataFrame, model: DataFrame, vector: str = "x") -> DataFrame
     )
     shifted = F.zip_with(F.col(vector), F.col("_axes")[0]["centre"], lambda x, m: x - m)
     coords = F.transform("_axes", lambda a: _dot(shifted, a["loadings"]))
-    return df.join(axes, PANEL).withColumn(vector, coords).drop("_axes")
+    return with_figures(df, axes, [PANEL]).withColumn(vector, coords).drop("_axes")
 
 
 def _distances(x: str, centres: str, k: int) -> Column:
@@ -225,7 +229,7 @@ def inverse_distance_probs(distances: Column) -> Column:
 def assign_clusters(points: DataFrame, centres: DataFrame, k: int, dims: int) -> DataFrame:
     """Nearest centre and inverse-distance probabilities."""
     return (
-        points.join(centres.select(PANEL, "centres"), PANEL)
+        with_figures(points, centres.select(PANEL, "centres"), [PANEL])
         .withColumn("d", _distances("x", "centres", k))
         .select(
             *points.columns,

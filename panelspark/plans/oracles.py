@@ -345,6 +345,16 @@ def _regimes() -> dict[str, str]:
  w as (select ts, {lm('pos', 'c1', 'c2')}+{lm('n-pos', 't1-c1', 't2-c2')} lw, {lm('n', 't1', 't2')} one from c where pos >= floor(n*0.1) and pos < floor(n*0.9)),
  x as (select *, max(lw) over () top from w), y as (select *, exp(lw-top)/sum(exp(lw-top)) over () pr, top+ln(sum(exp(lw-top)) over ())-ln(count(*) over ())-one bf from x)
  select ts, {r('pr', 5)} probability, {r('bf', 5)} log_bayes_factor from y"""
+    out["g14_fixed_changes"] = f"""with {RETS}, {MKT}, z as (select ts, row_number() over (order by ts)-1 pos, count(*) over () n, (dispersion-avg(dispersion) over ())/stddev_pop(dispersion) over () z from mk),
+ c as (select *, coalesce(sum(z) over (order by pos rows between unbounded preceding and 1 preceding),0) c1, coalesce(sum(z*z) over (order by pos rows between unbounded preceding and 1 preceding),0) c2, sum(z) over () t1, sum(z*z) over () t2, greatest(5, floor(n/50)) gap from z),
+ i as materialized (select * from c where pos >= floor(n*0.1) and pos < floor(n*0.9) and pos > 0),
+ b1 as materialized (select pos, {lm('pos', 'c1', 'c2')} v from i),
+ e as materialized (select s.pos s, t.pos t, {lm('t.pos-s.pos', 't.c1-s.c1', 't.c2-s.c2')} v from i s join i t on t.pos-s.pos >= t.gap),
+ b2 as materialized (select e.t pos, max(b1.v+e.v) v, arg_max(e.s, b1.v+e.v) f from b1 join e on e.s=b1.pos group by 1),
+ b3 as materialized (select e.t pos, max(b2.v+e.v) v, arg_max(e.s, b2.v+e.v) f from b2 join e on e.s=b2.pos group by 1),
+ w as (select b3.pos p3, b3.f p2, b3.v+{lm('n-i.pos', 't1-c1', 't2-c2')} v from b3 join i on i.pos=b3.pos),
+ best as (select max(v) v, arg_max(p3, v) p3, arg_max(p2, v) p2 from w)
+ select c.ts, c.pos in (p3, p2, b2.f) is_change, {r('best.v', 5)} log_evidence from c, best join b2 on b2.pos=best.p2"""
     out["a05_write_results"] = f"""with {VREG}, n as (select regime f, lead(regime) over (order by ts) t from vr), c as (select f, t, count(*) k from n where t is not null group by 1,2),
  l as (select regime, count(*) n_days from vr group by 1), p as (select a.regime f, b.regime t, a.n_days, coalesce(k,0) k from l a cross join l b left join c on c.f=a.regime and c.t=b.regime)
  select f from_regime, t to_regime, {r('coalesce(cast(k as double)/nullif(sum(k) over (partition by f),0),0)')} probability, n_days from p"""

@@ -22,6 +22,7 @@ from panelspark.operators import (
     portfolio,
     quality,
     regimes,
+    segmentation,
     shape,
 )
 from panelspark.operators.blocks import positions
@@ -711,6 +712,13 @@ def _(p: Panels) -> DataFrame:
     return changepoint.changepoints(series, "dispersion")
 
 
+@query("g14_fixed_changes", 5)
+def _(p: Panels) -> DataFrame:
+    """The best three changes of dispersion, and what the whole segmentation is worth."""
+    series = market.dispersion(p.complete_returns("brand_w"))
+    return segmentation.fixed_changepoints(series, "dispersion", 4)
+
+
 @query("g15_segments_to_regimes")
 def _(p: Panels) -> DataFrame:
     return regimes.unpack_probs(regimes.segments_to_regimes(_big_moves(p), 3), 3)
