@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.operators.blocks import BLOCK, BLOCK_ROWS, positions
+from panelspark.operators.blocks import BLOCK, BLOCK_ROWS, positions, with_figures
 from panelspark.operators.market import dispersion, market_return
 from panelspark.operators.regimes import hmm_regime_names, kmeans_fit, standardise
 from panelspark.schema import PANEL, POS, TS
@@ -23,6 +23,7 @@ from panelspark.session import release, stage
 
 FLOOR = 1e-3  # smallest covariance eigenvalue
 _PARAMS = f"{PANEL} string, pi array<double>, a array<double>, mu array<double>, cov array<double>, ll double"
+_FITTED = f"{_PARAMS}, rounds int, converged boolean"
 _CHAIN = f"{PANEL} string, {BLOCK} long, enter array<double>, leave array<double>"
 
 
@@ -99,6 +100,30 @@ def _smooth(logs, a, enter, leave, first):
     return gamma, xi.sum(axis=0) if len(xi) else np.zeros((k, k)), np.log(scale).sum() + peak.sum()
 
 
+def _expected(x, first, enter, leave, a, mu, cov) -> np.ndarray:
+    """What a block adds to the sums that the next parameters are made of; the log-likelihood comes last."""
+    gamma, xi, ll = _smooth(_log_emissions(x, mu, cov), a, enter, leave, first)
+    start = gamma[0] if first else np.zeros(len(a))
+    second = np.einsum("tk,ti,tj->kij", gamma, x, x)
+    return np.concatenate([start, xi.ravel(), gamma.sum(axis=0), (gamma.T @ x).ravel(), second.ravel(), [ll]])
+
+
+def _maximised(v: np.ndarray, k: int, dims: int):
+    """(pi, a, mu, cov) from those sums; states ordered by their mean in the last feature."""
+    start, xi, n, s1, s2 = np.split(v[:-1], np.cumsum([k, k * k, k, k * dims]))
+    xi, s1, s2 = xi.reshape(k, k), s1.reshape(k, dims), s2.reshape(k, dims, dims)
+    n = np.maximum(n, 1e-10)
+    mu = s1 / n[:, None]
+    cov = s2 / n[:, None, None] - mu[:, :, None] * mu[:, None, :]
+    for j in range(k):
+        w, q = np.linalg.eigh(cov[j])
+        cov[j] = (q * np.maximum(w, FLOOR)) @ q.T
+    rows = xi.sum(axis=1, keepdims=True)
+    a = np.where(rows > 0, xi / np.maximum(rows, 1e-300), 1.0 / k)
+    o = np.argsort(mu[:, -1], kind="stable")
+    return (start / start.sum())[o], a[np.ix_(o, o)], mu[o], cov[o]
+
+
 def _best_path(logs, loga, enter, leave, first):
     """Best state path of a block between the state before it and its known last state."""
     n, k = logs.shape
@@ -209,7 +234,7 @@ def _is_single(blocks: DataFrame) -> bool:
 
 def hmm_init(points: DataFrame, k: int, dims: int, seed: int = 42) -> DataFrame:
     """Cluster centres as means, the overall covariance, uniform start and transitions."""
-    centres = kmeans_fit(points, k, dims, restarts=3, max_iter=10, seed=seed)
+    centres = kmeans_fit(points, k, dims, restarts=3, seed=seed).select(PANEL, "centres")
     overall = points.groupBy(PANEL).agg(
         F.array(
             *[
@@ -241,65 +266,92 @@ def hmm_fit(
     history: list[float] | None = None,
 ) -> DataFrame:
     """Parameters per panel by expectation-maximisation; states ordered by their mean in the
-    last feature. ``history`` collects the total log-likelihood of each round."""
+    last feature. ``rounds`` says how many were used, ``converged`` whether the log-likelihood of the panel
+    moved less than ``tol`` in the last one; a panel that has settled takes no part in further rounds.
+
+    Panels of one block do their rounds inside one task each, all in one job; longer ones do a round a
+    job, over their blocks. ``history`` collects the total log-likelihood of each round, for which all panels
+    take the second way.
+    """
     blocks = _blocked(points, block_rows)
-    single = _is_single(blocks)
-    params = stage(hmm_init(blocks.select(PANEL, TS, "x"), k, dims, seed))
+    start = stage(hmm_init(blocks.select(PANEL, TS, "x"), k, dims, seed))
+    lasts = stage(blocks.groupBy(PANEL).agg(F.max(BLOCK).alias("last")))
+    if history is None:
+        alone = lasts.where("last = 0").select(PANEL)
+        short = _fit_alone(blocks.join(alone, PANEL), start.join(alone, PANEL), k, dims, max_iter, tol)
+        long = lasts.where("last > 0").select(PANEL)
+        if long.isEmpty():
+            return short
+        blocks, start = blocks.join(long, PANEL), start.join(long, PANEL)
+    return (
+        _fit_rounds(blocks, start, k, dims, max_iter, tol, history)
+        if history is not None
+        else short.unionByName(_fit_rounds(blocks, start, k, dims, max_iter, tol, None))
+    )
+
+
+def _fit_alone(blocks: DataFrame, start: DataFrame, k: int, dims: int, max_iter: int, tol: float) -> DataFrame:
+    """All rounds of each panel in a task of its own."""
+
+    def run(pdf: pd.DataFrame, par: pd.DataFrame) -> pd.DataFrame:
+        _, x, first = _rows(pdf)
+        pi, a, mu, cov = _unpack(par.iloc[0], k)
+        before, settled, n = np.inf, False, 0
+        while n < max_iter and not settled:
+            v = _expected(x, first, pi, np.ones(k), a, mu, cov)
+            pi, a, mu, cov = _maximised(v, k, dims)
+            settled, before, n = abs(v[-1] - before) < tol, v[-1], n + 1
+        return pd.DataFrame(
+            {
+                PANEL: [par[PANEL].iloc[0]], "pi": [pi], "a": [a.ravel()], "mu": [mu.ravel()], "cov": [cov.ravel()],
+                "ll": [before], "rounds": [n], "converged": [settled],
+            }
+        )
+
+    return blocks.groupBy(PANEL).cogroup(start.groupBy(PANEL)).applyInPandas(run, _FITTED)
+
+
+def _fit_rounds(
+    blocks: DataFrame, start: DataFrame, k: int, dims: int, max_iter: int, tol: float, history: list[float] | None
+) -> DataFrame:
+    """A job a round over the blocks of all panels that haven't settled."""
     size = k + k * k + k + k * dims + k * dims * dims + 1
 
     def expect(pdf, x, first, par) -> pd.DataFrame:
         _, a, mu, cov = _unpack(par, k)
-        gamma, xi, ll = _smooth(
-            _log_emissions(x, mu, cov), a, np.asarray(par["enter"]), np.asarray(par["leave"]), first
-        )
-        start = gamma[0] if first else np.zeros(k)
-        second = np.einsum("tk,ti,tj->kij", gamma, x, x)
-        stats = np.concatenate(
-            [start, xi.ravel(), gamma.sum(axis=0), (gamma.T @ x).ravel(), second.ravel(), [ll]]
-        )
+        stats = _expected(x, first, np.asarray(par["enter"]), np.asarray(par["leave"]), a, mu, cov)
         return pd.DataFrame({PANEL: [par[PANEL]], "stats": [stats]})
 
     def maximise(pdf: pd.DataFrame) -> pd.DataFrame:
         v = np.zeros(size)
         v[pdf["i"].to_numpy()] = pdf["v"].to_numpy()
-        start, xi, n, s1, s2 = np.split(v[:-1], np.cumsum([k, k * k, k, k * dims]))
-        xi, s1, s2 = xi.reshape(k, k), s1.reshape(k, dims), s2.reshape(k, dims, dims)
-        n = np.maximum(n, 1e-10)
-        mu = s1 / n[:, None]
-        cov = s2 / n[:, None, None] - mu[:, :, None] * mu[:, None, :]
-        for j in range(k):
-            w, q = np.linalg.eigh(cov[j])
-            cov[j] = (q * np.maximum(w, FLOOR)) @ q.T
-        rows = xi.sum(axis=1, keepdims=True)
-        a = np.where(rows > 0, xi / np.maximum(rows, 1e-300), 1.0 / k)
-        o = np.argsort(mu[:, -1], kind="stable")
+        pi, a, mu, cov = _maximised(v, k, dims)
         return pd.DataFrame(
-            {
-                PANEL: [pdf[PANEL].iloc[0]],
-                "pi": [(start / start.sum())[o]],
-                "a": [a[np.ix_(o, o)].ravel()],
-                "mu": [mu[o].ravel()],
-                "cov": [cov[o].ravel()],
-                "ll": [v[-1]],
-            }
+            {PANEL: [pdf[PANEL].iloc[0]], "pi": [pi], "a": [a.ravel()], "mu": [mu.ravel()], "cov": [cov.ravel()], "ll": [v[-1]]}
         )
 
-    for _ in range(max_iter):
-        stats = _inside(blocks, params, k, expect, f"{PANEL} string, stats array<double>", False, single)
+    names = [f.name for f in start.schema.fields]
+    params = stage(start.select(*names, F.lit(0).alias("rounds"), F.lit(False).alias("converged")))
+    for n in range(1, max_iter + 1):
+        open_ = params.where("not converged").select(*names)
+        stats = _inside(blocks, open_, k, expect, f"{PANEL} string, stats array<double>", False, False)
         summed = (
             stats.select(PANEL, F.posexplode("stats").alias("i", "v"))
             .groupBy(PANEL, "i")
             .agg(F.sum("v").alias("v"))
         )
-        new = stage(summed.groupBy(PANEL).applyInPandas(maximise, _PARAMS))
-        gain = new.join(params.select(PANEL, F.col("ll").alias("before")), PANEL).agg(
-            F.max(F.coalesce(F.abs(F.col("ll") - F.col("before")), F.lit(float("inf")))), F.sum("ll")
-        ).first()
+        new = summed.groupBy(PANEL).applyInPandas(maximise, _PARAMS)
+        step = F.coalesce(F.abs(F.col("ll") - F.col("before")), F.lit(float("inf")))
+        new = new.join(params.select(PANEL, F.col("ll").alias("before")), PANEL).select(
+            *names, F.lit(n).alias("rounds"), (step < tol).alias("converged")
+        )
+        after = stage(new.unionByName(params.where("converged")))
         release(params)
-        params = new
+        params = after
+        state = params.agg(F.min("converged"), F.sum("ll")).first()
         if history is not None:
-            history.append(gain[1])
-        if gain[0] < tol:
+            history.append(state[1])
+        if state[0] is None or state[0]:
             break
     return params
 
@@ -369,13 +421,15 @@ def hmm_regimes(returns: DataFrame, k: int = 4, max_iter: int = 1_000, tol: floa
     """Fit, decode, name; features are kept beside the labels."""
     features = stage(hmm_features(returns))
     points = stage(vectors(features))
-    params = hmm_fit(points, k, 2, max_iter, tol)
+    params = stage(hmm_fit(points, k, 2, max_iter, tol))
     found = (
         hmm_viterbi(points, params, k)
         .join(hmm_posteriors(points, params, k), [PANEL, TS])
         .join(features, [PANEL, TS])
     )
     labelled = stage(found)
-    return labelled.join(hmm_regime_names(labelled), [PANEL, "regime"]).select(
-        PANEL, TS, "regime", "regime_name", "probs", "market_return", "volatility"
+    settled = params.select(PANEL, "rounds", "converged")
+    named = labelled.join(hmm_regime_names(labelled), [PANEL, "regime"])
+    return with_figures(named, settled, [PANEL]).select(
+        PANEL, TS, "regime", "regime_name", "probs", "market_return", "volatility", "rounds", "converged"
     )

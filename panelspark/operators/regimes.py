@@ -167,7 +167,8 @@ def kmeans_fit(
     tol: float = 1e-9,
     seed: int = 42,
 ) -> DataFrame:
-    """Centres per panel (``centres`` array of vectors) of the best of several restarts.
+    """Centres per panel (``centres`` array of vectors) of the best of several restarts, with its ``inertia``,
+    ``converged`` (no centre of that restart moved more than ``tol``, squared, in the last round) and ``rounds``.
 
     All panels and restarts advance in the same job: assignments are narrow, centres are
     averages with partial aggregation, and only the movement of the centres is looked at.
@@ -193,7 +194,9 @@ def kmeans_fit(
     )
     distance, nearest = _distances("x", "centres", k), _nearest(F.col("d"))
     mean = F.expr(f"array({', '.join(f'avg(x[{i}])' for i in range(dims))})").alias("new")
+    rounds = 0
     for _ in range(max_iter):
+        rounds += 1
         assigned = (
             starts.join(centres.select(PANEL, "r", "centres"), [PANEL, "r"])
             .select(PANEL, "r", "x", distance.alias("d"))
@@ -213,9 +216,12 @@ def kmeans_fit(
         .agg(F.sum(F.col("d") * F.col("d")).alias("inertia"))
     )
     scored = centres.join(inertia, [PANEL, "r"])
+    best = F.struct("inertia", "r")
     return scored.groupBy(PANEL).agg(
-        F.min_by("centres", F.struct("inertia", "r")).alias("centres"),
+        F.min_by("centres", best).alias("centres"),
         F.min("inertia").alias("inertia"),
+        F.min_by(F.col("moved") <= tol, best).alias("converged"),
+        F.lit(rounds).alias("rounds"),
     )
 
 

@@ -355,6 +355,26 @@ def _regimes() -> dict[str, str]:
  w as (select b3.pos p3, b3.f p2, b3.v+{lm('n-i.pos', 't1-c1', 't2-c2')} v from b3 join i on i.pos=b3.pos),
  best as (select max(v) v, arg_max(p3, v) p3, arg_max(p2, v) p2 from w)
  select c.ts, c.pos in (p3, p2, b2.f) is_change, {r('best.v', 5)} log_evidence from c, best join b2 on b2.pos=best.p2"""
+    given = f"""{RETS}, pts as (select symbol panel_id, ts, row_number() over (partition by symbol order by ts)-1 pos,
+   (ret-avg(ret) over w)/coalesce(nullif(stddev_pop(ret) over w, 0), 1) x, (abs(ret)-avg(abs(ret)) over w)/coalesce(nullif(stddev_pop(abs(ret)) over w, 0), 1) y from cr window w as (partition by symbol)),
+ em as materialized (select *, -ln(2*pi())-0.5*ln(0.5)-0.5*((x-0.1)*(x-0.1)+(y+0.4)*(y+0.4)/0.5) l0, -ln(2*pi())-0.5*ln(1.5*1.2)-0.5*((x+0.2)*(x+0.2)/1.5+(y-0.7)*(y-0.7)/1.2) l1, max(pos) over (partition by panel_id) last from pts)"""
+    best = f"""with recursive {given},
+ d as (select panel_id, pos, ln(0.6)+l0 d0, ln(0.4)+l1 d1, 0 f0, 0 f1 from em where pos=0 union all
+   select e.panel_id, e.pos, greatest(d0+ln(0.9), d1+ln(0.2))+l0, greatest(d0+ln(0.1), d1+ln(0.8))+l1, case when d1+ln(0.2) > d0+ln(0.9) then 1 else 0 end, case when d1+ln(0.8) > d0+ln(0.1) then 1 else 0 end
+   from d join em e on e.panel_id=d.panel_id and e.pos=d.pos+1),
+ b as (select d.panel_id, d.pos, case when d1 > d0 then 1 else 0 end s from d join em e using (panel_id, pos) where d.pos=e.last union all
+   select d.panel_id, d.pos-1, case when b.s=1 then d.f1 else d.f0 end from b join d using (panel_id, pos) where d.pos > 0)
+ select panel_id, ts, cast(s as integer) regime from b join em using (panel_id, pos)"""
+    out["g09_viterbi_given"] = best
+    forward = f"""with recursive {given},
+ f as (select panel_id, pos, 0.6*exp(l0)/(0.6*exp(l0)+0.4*exp(l1)) a0, ln(0.6*exp(l0)+0.4*exp(l1)) ll from em where pos=0 union all
+   select e.panel_id, e.pos, (a0*0.9+(1-a0)*0.2)*exp(l0)/((a0*0.9+(1-a0)*0.2)*exp(l0)+(a0*0.1+(1-a0)*0.8)*exp(l1)), ll+ln((a0*0.9+(1-a0)*0.2)*exp(l0)+(a0*0.1+(1-a0)*0.8)*exp(l1))
+   from f join em e on e.panel_id=f.panel_id and e.pos=f.pos+1)"""
+    out["g10_posteriors_given"] = f"""{forward},
+ b as (select panel_id, last pos, 0.5::double b0 from em where pos=last union all
+   select e.panel_id, e.pos-1, (0.9*exp(l0)*b0+0.1*exp(l1)*(1-b0))/(0.9*exp(l0)*b0+0.1*exp(l1)*(1-b0)+0.2*exp(l0)*b0+0.8*exp(l1)*(1-b0)) from b join em e using (panel_id, pos) where pos > 0)
+ select panel_id, ts, {r('a0*b0/(a0*b0+(1-a0)*(1-b0))')} prob_regime_0, {r('(1-a0)*(1-b0)/(a0*b0+(1-a0)*(1-b0))')} prob_regime_1 from f join b using (panel_id, pos) join em using (panel_id, pos)"""
+    out["g11_log_likelihood_given"] = f"""{forward} select panel_id, {r('ll')} log_likelihood from f join em using (panel_id, pos) where pos=last"""
     out["a05_write_results"] = f"""with {VREG}, n as (select regime f, lead(regime) over (order by ts) t from vr), c as (select f, t, count(*) k from n where t is not null group by 1,2),
  l as (select regime, count(*) n_days from vr group by 1), p as (select a.regime f, b.regime t, a.n_days, coalesce(k,0) k from l a cross join l b left join c on c.f=a.regime and c.t=b.regime)
  select f from_regime, t to_regime, {r('coalesce(cast(k as double)/nullif(sum(k) over (partition by f),0),0)')} probability, n_days from p"""

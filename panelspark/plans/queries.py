@@ -587,14 +587,24 @@ def _(p: Panels) -> DataFrame:
     return model.select("component", "explained", F.array_max(F.transform("loadings", F.abs)).alias("peak"))
 
 
+def _clusters(p: Panels) -> tuple[DataFrame, DataFrame]:
+    """The embeddings on their first three components, and the centres fitted to them once."""
+
+    def project() -> DataFrame:
+        vectors = _vectors(p)
+        return regimes.pca_project(vectors, regimes.pca_fit(vectors, 3))
+
+    points = p.stored("projected", project)
+    return points, p.stored("centres", lambda: regimes.kmeans_fit(points, k=4, dims=3, restarts=5))
+
+
 @query("g04_kmeans_regimes")
 def _(p: Panels) -> DataFrame:
-    """Clusters of the embeddings on their first three components."""
-    vectors = _vectors(p)
-    points = regimes.pca_project(vectors, regimes.pca_fit(vectors, 3))
-    centres = regimes.kmeans_fit(points, k=4, dims=3, restarts=5, max_iter=15)
+    """Clusters of the embeddings on their first three components, and whether they have settled."""
+    points, centres = _clusters(p)
     found = regimes.assign_clusters(points, centres, 4, 3)
-    return found.groupBy("regime").agg(F.count(F.lit(1)).alias("n_points"))
+    sizes = found.groupBy(PANEL, "regime").agg(F.count(F.lit(1)).alias("n_points"))
+    return sizes.join(centres.select(PANEL, "converged", "rounds"), PANEL)
 
 
 @query("g03_pca_checks")
@@ -619,10 +629,8 @@ def _(p: Panels) -> DataFrame:
 
 @query("g04_kmeans_checks")
 def _(p: Panels) -> DataFrame:
-    """A settled clustering: one more step moves no centre, and every vector is in one cluster."""
-    vectors = _vectors(p)
-    points = regimes.pca_project(vectors, regimes.pca_fit(vectors, 3))
-    centres = regimes.kmeans_fit(points, k=4, dims=3, restarts=5)
+    """The centres of g04 have settled: one more step moves none, and every vector is in one cluster."""
+    points, centres = _clusters(p)
     found = regimes.assign_clusters(points, centres, 4, 3)
     means = found.groupBy(PANEL, "regime").agg(
         F.array(*[F.avg(F.col("x")[i]) for i in range(3)]).alias("mean"), F.count(F.lit(1)).alias("n")
@@ -656,38 +664,81 @@ def _(p: Panels) -> DataFrame:
 
 @query("g07_clustering_regimes")
 def _(p: Panels) -> DataFrame:
-    found = regimes.clustering_regimes(p.regime_features, restarts=4, max_iter=20)
+    found = regimes.clustering_regimes(p.regime_features)
     return regimes.unpack_probs(found, 4)
 
 
+def _states(p: Panels) -> DataFrame:
+    """A panel per symbol: its standardised return and size of move, one vector per date."""
+
+    def build() -> DataFrame:
+        each = p.complete_returns("brand_w").select(
+            F.col(SYMBOL).alias(PANEL), TS, F.col("ret").alias("market_return"), F.abs("ret").alias("volatility")
+        )
+        return hmm.vectors(each)
+
+    return p.stored("hmm_points", build)
+
+
 def _hmm(p: Panels) -> tuple[DataFrame, DataFrame]:
-    """Standardised market return and dispersion, and a model fitted to them once."""
-    points = p.stored(
-        "hmm_points", lambda: hmm.vectors(hmm.hmm_features(p.complete_returns("brand_w")))
-    )
-    return points, p.stored("hmm_params", lambda: hmm.hmm_fit(points, 3, 2, max_iter=6))
+    """Those series and a model fitted to each."""
+    points = _states(p)
+    return points, p.stored("hmm_params", lambda: hmm.hmm_fit(points, 3, 2))
 
 
-@query("g08_hmm_fit")
+@query("g08_hmm_fit", drop=())
 def _(p: Panels) -> DataFrame:
     return _hmm(p)[1]
 
 
-@query("g09_hmm_viterbi")
+@query("g09_hmm_viterbi", drop=())
 def _(p: Panels) -> DataFrame:
     return hmm.hmm_viterbi(*_hmm(p), k=3)
 
 
-@query("g10_hmm_posteriors")
+@query("g10_hmm_posteriors", drop=())
 def _(p: Panels) -> DataFrame:
     return regimes.unpack_probs(hmm.hmm_posteriors(*_hmm(p), k=3), 3)
 
 
-@query("g11_hmm_log_likelihood")
+@query("g11_hmm_log_likelihood", drop=("n_dates",))
 def _(p: Panels) -> DataFrame:
     return hmm.hmm_log_likelihood(*_hmm(p), k=3)
 
 
+#: A given model for the decoders, and the dates of a block, fewer than the series have.
+GIVEN = {"pi": [0.6, 0.4], "a": [0.9, 0.1, 0.2, 0.8], "mu": [0.1, -0.4, -0.2, 0.7], "cov": [1.0, 0.0, 0.0, 0.5, 1.5, 0.0, 0.0, 1.2]}
+GIVEN_BLOCK = 64
+
+
+def _given(p: Panels) -> tuple[DataFrame, DataFrame]:
+    """The same series and one model of two states for all of them, without fitting."""
+    points = _states(p)
+    columns = [F.array(*map(F.lit, v)).alias(k) for k, v in GIVEN.items()]
+    return points, points.select(PANEL).distinct().select(PANEL, *columns, F.lit(None).cast("double").alias("ll"))
+
+
+@query("g09_viterbi_given", drop=())
+def _(p: Panels) -> DataFrame:
+    return hmm.hmm_viterbi(*_given(p), k=2, block_rows=GIVEN_BLOCK)
+
+
+@query("g10_posteriors_given", drop=())
+def _(p: Panels) -> DataFrame:
+    return regimes.unpack_probs(hmm.hmm_posteriors(*_given(p), k=2, block_rows=GIVEN_BLOCK), 2)
+
+
+@query("g11_log_likelihood_given", drop=("n_dates",))
+def _(p: Panels) -> DataFrame:
+    return hmm.hmm_log_likelihood(*_given(p), k=2, block_rows=GIVEN_BLOCK)
+
+
+@query("g12_hmm_regimes")
+def _(p: Panels) -> DataFrame:
+    """Fit, decode and name the states of the whole market."""
+    return regimes.unpack_probs(hmm.hmm_regimes(p.complete_returns("brand_w"), 3), 3)
+
+
 @query("g12_hmm_regime_names")
 def _(p: Panels) -> DataFrame:
     labelled = p.regime_features.join(p.volatility_regimes.select(PANEL, TS, "regime"), [PANEL, TS])
