@@ -13,12 +13,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.schema import SYMBOL
+from panelspark.session import stage
 
 MAX_RETRIES = 3  # fixed values: attempts, first pause in seconds, age limit of a snapshot
 RETRY_DELAY = 2.0
 SNAPSHOT_DAYS = 1
 
 Fetch = Callable[[str], "pd.DataFrame | Iterable[pd.DataFrame]"]
+Parse = Callable[[bytes], "pd.DataFrame | Iterable[pd.DataFrame]"]
+
+
+def _attempts(
+    name: str, frames: Callable[[], "pd.DataFrame | Iterable[pd.DataFrame]"], key: str, columns: list[str], retries: int, delay: float
+) -> Iterator[pd.DataFrame]:
+    """The frames of one key, then, if it still fails in the last attempt, a row with only the error.
+
+    A later attempt goes on after the frames that were handed on, so none comes twice.
+    """
+    handed = 0
+    for attempt in range(1, retries + 1):
+        try:
+            got = frames()
+            for i, piece in enumerate([got] if isinstance(got, pd.DataFrame) else got):
+                if i >= handed:
+                    piece = piece[columns].copy()
+                    piece.insert(0, key, name)
+                    piece["error"] = None
+                    yield piece
+                    handed = i + 1
+            return
+        except Exception as exc:  # noqa: BLE001
+            error = f"{type(exc).__name__}: {exc}"
+            if attempt < retries:
+                time.sleep(delay * attempt)
+    yield pd.DataFrame({key: [name], **{c: [None] for c in columns}, "error": [error]})
+
+
+def _with_error(key: str, schema: T.StructType) -> T.StructType:
+    return T.StructType(
+        [T.StructField(key, T.StringType()), *schema.fields, T.StructField("error", T.StringType())]
+    )
 
 
 def ingest_by_key(
@@ -32,53 +66,58 @@ def ingest_by_key(
 ) -> DataFrame:
     """Rows of ``fetch(key)`` for every key, with ``key`` and ``error``.
 
-    Keys are spread over tasks. ``fetch`` returns one frame or yields frames piece by piece,
-    so that a key of any size streams through its task. A key that still fails after
-    ``retries`` attempts, each with a longer pause, gives one row that holds only the error.
+    Keys are spread over tasks. ``fetch`` returns one frame or yields frames piece by piece, the same ones
+    in every attempt, so that a key of any size streams through its task. Each attempt is followed by a
+    longer pause; a key that still fails after ``retries`` of them gives one row that holds only the
+    error, after the rows that came before it failed half-way. No failing key ends the job.
     """
     columns = [f.name for f in schema.fields]
-    out = T.StructType(
-        [T.StructField(key, T.StringType()), *schema.fields, T.StructField("error", T.StringType())]
-    )
-
-    def pieces(name: str) -> Iterator[pd.DataFrame]:
-        got = fetch(name)
-        for piece in [got] if isinstance(got, pd.DataFrame) else got:
-            piece = piece[columns].copy()
-            piece.insert(0, key, name)
-            piece["error"] = None
-            yield piece
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name in batch[key]:
-                error = None
-                for attempt in range(1, retries + 1):
-                    started = False
-                    try:
-                        for piece in pieces(name):
-                            started = True
-                            yield piece
-                        error = None
-                        break
-                    except Exception as exc:  # noqa: BLE001
-                        if started:
-                            raise
-                        error = f"{type(exc).__name__}: {exc}"
-                        if attempt < retries:
-                            time.sleep(delay * attempt)
-                if error is not None:
-                    row = {c: [None] for c in columns}
-                    yield pd.DataFrame({key: [name], **row, "error": [error]})
+                yield from _attempts(name, lambda name=name: fetch(name), key, columns, retries, delay)
 
     keys = manifest.select(F.col(key).cast("string").alias(key)).distinct()
     n = partitions or manifest.sparkSession.sparkContext.defaultParallelism
-    return keys.repartition(n, key).mapInPandas(run, out)
+    return keys.repartition(n, key).mapInPandas(run, _with_error(key, schema))
+
+
+def ingest_files(
+    manifest: DataFrame, path: str, parse: Parse, schema: T.StructType, key: str = SYMBOL, pattern: str = "*.csv"
+) -> DataFrame:
+    """The same from files below ``path``, in folders ``<key>=<value>``, in any store that Spark reads.
+
+    Every file of a wanted key is read once, by the task that parses it; ``parse(content)`` returns a frame or
+    yields frames. A file that can't be parsed gives an error row, a key without a file another one. A
+    file is a value, so it has to be below 2 GB; keys of any size come as several files.
+    """
+    columns = [f.name for f in schema.fields]
+    spark = manifest.sparkSession
+    keys = manifest.select(F.col(key).cast("string").alias(key)).distinct()
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select(
+        F.col(key).cast("string").alias(key), "content"
+    )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, content in zip(batch[key], batch["content"]):
+                yield from _attempts(name, lambda content=content: parse(content), key, columns, 1, 0.0)
+
+    known = files.select(key).distinct()
+    absent = keys.join(known, key, "left_anti").select(
+        key, *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], F.lit("FileNotFoundError: no file").alias("error")
+    )
+    # contents stay where they are read as long as the wanted keys are small enough to be sent to them
+    wanted = files.join(keys, key, "left_semi")
+    return wanted.mapInPandas(run, _with_error(key, schema)).unionByName(absent)
 
 
-def fetched(rows: DataFrame) -> DataFrame:
-    """The rows that arrived; raises if every key failed."""
-    good = rows.where(F.col("error").isNull()).drop("error")
+def fetched(rows: DataFrame, key: str = SYMBOL) -> DataFrame:
+    """The rows of keys that arrived whole; raises if none did. Rows are stored first, so nothing is fetched twice."""
+    rows = stage(rows)
+    failed = rows.where(F.col("error").isNotNull()).select(key).distinct()
+    good = rows.where(F.col("error").isNull()).join(failed, key, "left_anti").drop("error")
     if good.isEmpty():
         raise RuntimeError("no key could be fetched")
     return good

@@ -158,6 +158,28 @@ def test_hmm(switching):
         np.testing.assert_allclose(np.stack(probs["probs"].to_numpy()), gamma, atol=1e-10)
 
 
+def test_hmm_rounds_in_one_task_and_over_blocks_agree(switching):
+    short = switching.where("panel_id = 'p' or ts < '2020-04-20'")
+    alone = {r.panel_id: r for r in hmm.hmm_fit(short, 2, 2).collect()}
+    # blocks of 100 dates: a job a round for these panels
+    spread = {r.panel_id: r for r in hmm.hmm_fit(short, 2, 2, max_iter=6, block_rows=100).collect()}
+    for panel, row in spread.items():
+        assert alone[panel].converged and 1 < alone[panel].rounds < 1_000
+        assert row.rounds == 6 and not row.converged and row.ll <= alone[panel].ll + 1e-6
+    few = {r.panel_id: r for r in hmm.hmm_fit(short, 2, 2, max_iter=6).collect()}
+    for panel, row in few.items():
+        assert row.rounds == 6 and not row.converged
+        for name in ("pi", "a", "mu", "cov"):
+            np.testing.assert_allclose(getattr(row, name), getattr(spread[panel], name), rtol=1e-7, atol=1e-9)
+
+
+def test_kmeans_says_whether_it_settled(switching):
+    done = regimes.kmeans_fit(switching, 2, 2, restarts=2).collect()
+    cut = regimes.kmeans_fit(switching, 2, 2, restarts=2, max_iter=1).collect()
+    assert all(r.converged and r.rounds < 50 for r in done)
+    assert all(not r.converged and r.rounds == 1 for r in cut)
+
+
 def test_changepoints(spark):
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(0, 1, 120), rng.normal(0, 4, 120), rng.normal(5, 1, 80)])

@@ -1,6 +1,7 @@
 """Reading, writing, ingest and snapshots."""
 
 import datetime as dt
+import os
 
 import pandas as pd
 import pytest
@@ -64,6 +65,46 @@ def test_ingest(spark, folder):
         ingest.fetched(ingest.ingest_by_key(bad, fetch, schema, retries=1))
 
 
+def test_a_key_that_fails_half_way_goes_on_or_leaves_an_error(spark, folder):
+    marks = f"{folder}/marks"
+
+    def fetch(key):
+        for page in range(4):
+            if page == 2 and (key == "BROKEN" or not os.path.exists(f"{marks}-{key}")):
+                open(f"{marks}-{key}", "w").close()
+                raise TimeoutError("page 2")
+            yield pd.DataFrame({"day": [page], "price": [1.0]})
+
+    keys = spark.createDataFrame([("GOOD",), ("BROKEN",)], "symbol string")
+    schema = T.StructType([T.StructField("day", T.LongType()), T.StructField("price", T.DoubleType())])
+    rows = ingest.ingest_by_key(keys, fetch, schema, retries=2, delay=0.01).cache()
+    got = sorted((r.symbol, -1 if r.day is None else r.day, r.error) for r in rows.collect())
+    assert [g[:2] for g in got] == [("BROKEN", -1), ("BROKEN", 0), ("BROKEN", 1), *[("GOOD", i) for i in range(4)]]
+    assert got[0][2] == "TimeoutError: page 2" and all(g[2] is None for g in got[1:])
+    # a key that isn't whole doesn't count as arrived
+    assert {r.symbol for r in ingest.fetched(rows).collect()} == {"GOOD"}
+
+
+def test_files_are_read_by_spark_and_parsed_in_tasks(spark, folder):
+    path = f"{folder}/files"
+    rows = [("A/1", 1, 2.0), ("A/1", 2, 3.0), ("B", 5, None)]
+    spark.createDataFrame(rows, "symbol string, day long, price double").write.partitionBy("symbol").csv(path)
+    os.makedirs(f"{path}/symbol=C")
+    with open(f"{path}/symbol=C/x.csv", "w") as f:
+        f.write("one,two\n")
+
+    def parse(content):
+        return pd.DataFrame([(int(a), float(b or "nan")) for a, b in (x.split(",") for x in content.decode().split())], columns=["day", "price"])
+
+    keys = spark.createDataFrame([("A/1",), ("B",), ("C",), ("D",), ("D",)], "symbol string")
+    schema = T.StructType([T.StructField("day", T.LongType()), T.StructField("price", T.DoubleType())])
+    got = ingest.ingest_files(keys, path, parse, schema).toPandas()
+    assert sorted(got[got.symbol == "A/1"].day) == [1, 2] and got[got.symbol == "B"].day.tolist() == [5]
+    assert got[got.symbol == "C"].error.str.startswith("ValueError").tolist() == [True]
+    assert got[got.symbol == "D"].error.tolist() == ["FileNotFoundError: no file"]
+    assert set(ingest.ingest_files(keys.where("symbol = 'B'"), path, parse, schema).toPandas().symbol) == {"B"}
+
+
 def test_snapshots(spark, bars, folder):
     today = dt.date(2024, 5, 10)
     assert ingest.latest_snapshot(spark, f"{folder}/none", today) is None
