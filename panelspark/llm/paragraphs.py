@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import common, shingles
 from panelspark.llm import words as W
+from panelspark.session import release
 
 #: A piece ends at a word whose hash is the least within so many words on either side.
 REACH = 3
@@ -171,6 +172,7 @@ def repeated_passages(
         .select("doc_id", "start", "stop", "words", "first_doc", F.col("first_doc").alias("component_id"), F.lit("run").alias("kind"))
     )
     runs = common.stage(runs, "runs")
+    release(parts)
     near = near_paragraphs(docs, found, runs, threshold, paragraph, text, doc_id)
     return runs.unionByName(near)
 
@@ -313,6 +315,7 @@ def near_paragraphs(
     # the same join at every size: texts are exchanged once, and no list of ids has to fit a task
     texts = _rows(docs, text, doc_id).join(lines.hint("merge"), "doc_id")
     signed = common.stage(texts.select("doc_id", "text", "lines", "later", "since", "until").mapInArrow(run, shape), "paragraphs")
+    release(shared_pieces)  # nothing below reads it
     # equal lines are one class; a hot line costs one row per task in these exchanges
     classes = signed.groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("set").isNotNull(), F.struct("doc_id", "node")))["node"].alias("node"),
