@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import common, vectors
 
-#: Vectors the index is fitted on: the bound of what the driver gets.
-SAMPLE = 4096
+#: Vectors the index is fitted on, a part's share of them with more parts, and the bound of what the driver gets.
+SAMPLE, SHARE, LARGEST = 4096, 128, 16384
+#: Parts at least, and rows of a part from which on the table gets more of them, until the sample's bound is reached.
+PARTS, FULL = 16, 8192
 #: Rows of a part, and queries of a part, that one task holds.
 BLOCK = 8192
 
@@ -31,11 +33,44 @@ class Router:
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.layers
-        return np.maximum(((x - self.mean) / self.scale) @ w1 + b1, 0) @ w2 + b2
+        return np.maximum(scaled(x, self.mean, self.scale) @ w1 + b1, 0) @ w2 + b2
 
     def best(self, x: np.ndarray, n: int) -> np.ndarray:
         return np.argsort(-self.scores(x), axis=1, kind="stable")[:, :n]
 
+    def enough(self, x: np.ndarray, wanted: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every vector's parts, likeliest first, and how many of them to probe: ``probes``, and further ones
+        until they hold ``wanted`` rows together (``held``: rows of each part)."""
+        order = self.best(x, len(held))
+        short = (np.cumsum(held[order], axis=1) < wanted[:, None]).sum(1)
+        return order, np.minimum(np.maximum(self.probes, short + 1), len(held))
+
+
+def scaled(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Standardised components; what overflows ends at a bound, so that routing stays defined."""
+    with np.errstate(all="ignore"):
+        return np.clip(np.nan_to_num((x - mean) / scale), -1e6, 1e6)
+
+
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of ``x`` from ``q``; where squares overflow, of scaled differences."""
+    with np.errstate(over="ignore"):
+        d = np.sqrt(((x - q) ** 2).sum(1))
+        far = np.flatnonzero(np.isinf(d))
+        if len(far):
+            half = x[far] / 2 - q / 2
+            top = np.abs(half).max(1)
+            d[far] = 2 * top * np.sqrt(((half / top[:, None]) ** 2).sum(1))
+    return d
+
+
+def number_of_parts(rows: int) -> int:
+    """A power of two: PARTS, doubled while the parts would be fuller than FULL and the sample has its share for each."""
+    parts = PARTS
+    while parts * FULL < rows and 2 * parts * SHARE <= LARGEST:
+        parts *= 2
+    return parts
+
 
 def neighbours(x: np.ndarray, k: int) -> np.ndarray:
     """The k nearest other rows of each row, by brute force."""
@@ -119,8 +154,9 @@ def fit(x: np.ndarray, k: int, parts: int, target_recall: float = 0.97) -> Route
 
     Probes are chosen on vectors the classifier wasn't trained on, against their true neighbours.
     """
-    mean, scale = x.mean(0), x.std(0) + 1e-12
-    z = (x - mean) / scale
+    with np.errstate(all="ignore"):
+        mean, scale = x.mean(0), x.std(0) + 1e-12
+    z = scaled(x, mean, scale)
     held = np.arange(len(x)) % 5 == 4
     if len(x) <= 50 or parts == 1:
         w = [np.zeros((x.shape[1], 1)), np.zeros(1), np.zeros((1, parts)), np.zeros(parts)]
@@ -147,16 +183,20 @@ def fit(x: np.ndarray, k: int, parts: int, target_recall: float = 0.97) -> Route
 
 
 def nearest(
-    df: DataFrame, is_query, k: int, *, vec_id: str = "vec_id", embedding: str = "embedding", parts: int = 16
+    df: DataFrame, is_query, k: int, *, vec_id: str = "vec_id", embedding: str = "embedding",
+    parts: int | None = None,
 ) -> DataFrame:
     """The k nearest rows of every query row by Euclidean distance: query_id, rank, vec_id, score.
 
-    The index is fitted on a hash sample of SAMPLE vectors, but every row is put into the part the
-    classifier finds most probable, and a query is compared with all rows of its ``probes`` most probable
-    parts on the original vectors in double precision. Ties go to the smaller vec_id. Vectors that are
-    NULL, zero, of another length than the sample's most common one, or hold NULL or non-finite parts take
-    no part, nor do NULL ids; a query never finds rows of its own vec_id, and a repeated query row is
-    one query. A part larger than BLOCK rows, or with more queries, is worked off in blocks.
+    The index is fitted on a hash sample of SAMPLE vectors (SHARE a part, LARGEST at most, where
+    ``number_of_parts`` gives more parts), but every row is put into the part the classifier finds most
+    probable, and a query is compared with all rows of its ``probes`` most probable parts on the original
+    vectors in double precision; where these hold fewer than k other rows, further parts are probed until
+    they do. Ties go to the smaller vec_id. Vectors of another length than the sample's most common one
+    are compared among their own length, all with all. Vectors that are NULL, zero or hold NULL or
+    non-finite parts take no part, nor do NULL ids; a query never finds rows of its own vec_id, and a
+    vec_id in several query rows is one query, with the least of their vectors by their bytes. A part
+    larger than BLOCK rows, or with more queries, is worked off in blocks.
     """
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,28 +211,48 @@ def nearest(
     rows = common.stage(
         rows.mapInArrow(clean, "vec_id long, vec binary, query boolean").where("vec is not null"), "vectors"
     )
-    sample = rows.select("vec").orderBy(F.xxhash64("vec_id"), "vec").limit(SAMPLE).collect()
     answer = "query_id long, vec_id long, score double"
+    parts = parts or number_of_parts(rows.count())
+    wanted = max(SAMPLE, min(LARGEST, SHARE * parts))
+    sample = rows.select("vec").orderBy(F.xxhash64("vec_id"), "vec").limit(wanted).collect()
     if not sample:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     lengths = np.array([len(r.vec) for r in sample])
     width = int(np.bincount(lengths).argmax())
     x = vectors.matrix([bytes(r.vec) for r in sample if len(r.vec) == width])
     router = fit(x, k, parts if len(x) >= 20 * parts else 1)
+    parts = len(router.layers[3])
 
-    def route(probes: int):
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                frame = frame[frame["vec"].str.len() == width]
-                if len(frame):
-                    best = router.best(vectors.matrix(frame["vec"].tolist()), probes)
-                    frame = frame.loc[frame.index.repeat(best.shape[1])].assign(part=best.ravel().astype("int32"))
-                    yield frame[["vec_id", "vec", "part"]]
-        return run
+    # other lengths have parts of their own, after those of the router
+    def store(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            length = frame["vec"].str.len().to_numpy(np.int64)
+            part, usual = parts + length // 8, length == width
+            if usual.any():
+                part[usual] = router.best(vectors.matrix(frame["vec"][usual].tolist()), 1)[:, 0]
+            yield frame.assign(part=part.astype(np.int32))
 
     shape = "vec_id long, vec binary, part int"
-    data = rows.mapInPandas(route(1), shape)
-    asked = rows.where("query").dropDuplicates(["vec_id"]).mapInPandas(route(router.probes), shape)
+    data = common.stage(rows.select("vec_id", "vec").mapInPandas(store, shape), "parts")
+    held = np.zeros(parts, np.int64)
+    for r in data.where(F.col("part") < parts).groupBy("part").count().collect():
+        held[r.part] = r["count"]
+
+    def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            usual = (frame["vec"].str.len() == width).to_numpy()
+            other = frame[~usual]
+            yield other.assign(part=(parts + other["vec"].str.len() // 8).astype(np.int32))[["vec_id", "vec", "part"]]
+            frame = frame[usual]
+            if len(frame):
+                order, n = router.enough(vectors.matrix(frame["vec"].tolist()), k + frame["own"].to_numpy(), held)
+                chosen = order[np.arange(parts) < n[:, None]]
+                yield frame.loc[frame.index.repeat(n)].assign(part=chosen.astype(np.int32))[["vec_id", "vec", "part"]]
+
+    # one query an id, with the number of its rows, which it doesn't find
+    asked = rows.groupBy("vec_id").agg(
+        F.min(F.when(F.col("query"), F.col("vec"))).alias("vec"), F.count(F.lit(1)).alias("own")
+    ).where("vec is not null").mapInPandas(route, shape)
     size = lambda frame, name: frame.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
     blocks = size(data, "n_data").join(size(asked, "n_asked"), "part")
     data = (
@@ -211,11 +271,12 @@ def nearest(
         if len(queries) and len(base):
             x, ids = vectors.matrix(base["vec"].tolist()), base["vec_id"].to_numpy()
             for q, raw in zip(queries["vec_id"].tolist(), queries["vec"].tolist()):
-                d = np.sqrt(((x - np.frombuffer(raw)) ** 2).sum(1))
-                d[ids == q] = np.inf
+                d = distances(x, np.frombuffer(raw))
+                own = ids == q
+                d[own] = np.inf
                 some = np.flatnonzero(d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1])
+                some = some[~own[some]]
                 some = some[np.lexsort((ids[some], d[some]))][:k]
-                some = some[np.isfinite(d[some])]
                 found.append(pd.DataFrame({"query_id": q, "vec_id": ids[some], "score": d[some]}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 

@@ -98,6 +98,32 @@ def test_learned_index(spark):
     assert len(few) == 3
 
 
+def test_index_probes_until_enough_are_found(spark):
+    """Uneven parts: every query still gets its k rows, all of them if there are fewer; repeats of an id aside."""
+    rng = np.random.default_rng(4)
+    x = rng.lognormal(0, 2, size=(400, 4))
+    rows = [(i, x[i].tolist()) for i in range(400)]
+    rows += [(7, x[7].tolist())] * 12 + [(900 + i, [1.0, float(i)]) for i in range(5)]
+    rows += [(950, [1e200] * 4), (951, [-1e200, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for k in (10, 60):
+        got = learned_index.nearest(df, F.lit(True), k, parts=16).toPandas()
+        count = got.groupby("query_id").size()
+        for i in (*range(400), 950, 951):
+            assert count[i] == k
+        assert (got.query_id != got.vec_id).all()
+        odd = got[got.query_id >= 900]
+        assert count[902] == 4 and set(odd[odd.query_id == 902].vec_id) == {900, 901, 903, 904}
+    d = {(r.query_id, r.vec_id): r.score for r in got.itertuples()}
+    ends = learned_index.distances(np.array([[1e200] * 4, [3.0, 4.0, 0.0, 0.0]]), np.array([-1e200, 0.0, 0.0, 0.0]))
+    np.testing.assert_allclose(ends, [np.sqrt(7.0) * 1e200, 1e200])
+    assert all(np.isfinite(v) for v in d.values())
+
+
+def test_number_of_parts_grows_with_the_table():
+    assert [learned_index.number_of_parts(n) for n in (0, 131_072, 131_073, 10**6, 10**9)] == [16, 16, 32, 128, 128]
+
+
 def test_parts_are_balanced_and_follow_the_graph():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(size=(100, 8)) + 6 * np.eye(8)[i] for i in range(8)])
