@@ -410,7 +410,10 @@ def build_features(
     ``macro`` and ``sentiment`` are an indicator table with the list of its series.
     """
     require(bars, *CELL, PRICE)
-    base = out = stage(all_indicators(bars, benchmark))
+    base = stage(all_indicators(bars, benchmark))
+    if clean:  # exogenous series also have their values on the dates before a symbol's first row
+        base = complete_rows(base)
+    out = base
     if include_lags:
         out = lag_features(out, ["return_daily"], LAGS, lag_symbols)
     if include_cross_sectional:

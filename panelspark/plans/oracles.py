@@ -66,7 +66,7 @@ def carried(ema: str) -> str:
     return f"last_value({ema}.y ignore nulls) over (partition by g.symbol order by g.pos rows unbounded preceding)"
 
 
-def _indicators() -> dict[str, str]:
+def _indicators(r=r) -> dict[str, str]:
     out = {}
     out["d01_returns"] = f"""with {grid('flag')} select symbol, ts, {r(ret(1))} return_daily, {r(ret(5))} return_5d,
  {r(ret(21))} return_21d, {r(ret(63))} return_63d from g where pad is not null"""
@@ -111,6 +111,31 @@ def _indicators() -> dict[str, str]:
 
 
 BENCH = "A_F"
+LAGGED = [f"return_daily_lag_{k}" for k in (1, 5, 21)]
+BUILT = [
+    "return_daily", "return_5d", "return_21d", "return_63d", "log_return", "sma_20", "sma_50", "sma_200", "rsi_14",
+    "bb_upper", "bb_lower", "bb_width", "bb_pct", "momentum_10", "momentum_20", "momentum_50", "vol_20", "vol_60",
+    "vol_252", f"corr_{BENCH}_60", "ema_12", "ema_26", "ema_50", "macd", "macd_signal", "macd_hist", "atr_14", *LAGGED,
+    "return_daily_rank", "return_daily_zscore", "return_daily_dev_mean", "sma_20_x_ema_12", "rsi_14_x_macd",
+]
+# fixed values: name fragments of each feature family
+FAMILIES = {
+    "Returns": ["return"], "SMA": ["sma"], "EMA": ["ema"], "RSI": ["rsi"], "MACD": ["macd"], "Bollinger": ["bb"],
+    "Momentum": ["momentum"], "Volatility": ["vol"], "Correlation": ["corr"], "Lags": ["lag"],
+    "Cross-sectional": ["rank", "zscore", "dev_mean"], "Interaction": ["_x_"],
+}
+
+
+def built() -> str:
+    """CTEs up to ``ft``: every indicator, unrounded, with lags, cross-section and products."""
+    raw = _indicators(lambda expr, digits=6: f"({expr})")["d12_all_indicators"]
+    lags = ", ".join(f"lag(return_daily,{k}) over (partition by symbol order by ts) return_daily_lag_{k}" for k in (1, 5, 21))
+    day = "over (partition by ts)"
+    rank = f"""case when return_daily is not null then cast((rank() over (partition by ts, return_daily is null order by return_daily)
+  + (count(*) over (partition by ts, return_daily)-1)/2.0)/count(return_daily) {day} as double) end"""
+    return f"""fb as ({raw}), ft as (select *, {lags}, {rank} return_daily_rank, return_daily-avg(return_daily) {day} return_daily_dev_mean,
+ (return_daily-avg(return_daily) {day})/nullif(stddev_samp(return_daily) {day},0) return_daily_zscore,
+ sma_20*ema_12 sma_20_x_ema_12, rsi_14*macd rsi_14_x_macd from fb)"""
 
 
 
@@ -153,12 +178,11 @@ def _shape() -> dict[str, str]:
     out["b08_top_k"] = f"""with {FLAG}, x as (select *, row_number() over (partition by symbol order by price desc, ts) rk from flag)
  select symbol, ts, {r('price')} price, rk \"rank\" from x where rk <= 5"""
     out["b08_top_k_overall"] = f"with {FLAG} select symbol, ts, {r('price')} price from (select * from flag order by price desc, ts limit 10)"
-    counts = "+".join(f"count({full('avg', 'price', n)})" for n in (20, 50, 200))
-    sma = ", ".join(f"{full('avg', 'price', n)} s{n}" for n in (20, 50, 200))
-    mom = ", ".join(f"{ret(n, 'price')} m{n}" for n in (10, 20, 50))
-    out["b09_feature_family_counts"] = f"""with {grid('flag')}, x as (select *, {sma}, {mom} from g)
- select 'SMA' family, 3 n_features, count(s20)+count(s50)+count(s200) n_values from x where price is not null
- union all select 'Momentum', 3, count(m10)+count(m20)+count(m50) from x where price is not null"""
+    family = lambda f, marks: [c for c in BUILT if any(m in c for m in marks)]
+    out["b09_feature_family_counts"] = f"with {built()} " + " union all ".join(
+        f"select '{f}' family, {len(family(f, marks))} n_features, {'+'.join(f'count({c})' for c in family(f, marks))} n_values from ft"
+        for f, marks in FAMILIES.items()
+    )
     out["b10_complete_cases"] = f"""with {grid('flag')}, x as (select symbol, ts, {ret(1)} rd from g),
  ok as (select ts from x group by ts having count(rd)=count(*)) select symbol, ts, {r('rd')} ret from x where ts in (select ts from ok)"""
     return out
@@ -251,16 +275,28 @@ def _features() -> dict[str, str]:
     union = f"{FLAG}, {MACRO}, mw as (select ts, {wide} from macro group by ts), u as (select coalesce(d.ts, mw.ts) ts, m0, m1, m2, m3, m4 from (select distinct ts from flag) d full join mw on mw.ts=d.ts)"
     out["e16_join_exogenous"] = f"with {union}, f as (select ts, {last} from u) select flag.symbol, flag.ts, {pick} from flag join f on f.ts=flag.ts"
     out["e16_join_exogenous_reference"] = f"with {union}, u2 as (select * from u where isodow(ts)<6 and not {HOLIDAY}), f as (select ts, {both} from u2) select flag.symbol, flag.ts, {pick} from flag join f on f.ts=flag.ts"
-    cols = ["rd", "sma", "vol", "l5", "z", "k", "macro", "sentiment"]
-    out["e17_build_features"] = f"""with {grid('flag')}, {MACRO}, {SENT}, {rd.replace('pad, ', 'pad, price, ')},
- y as (select *, avg(rd) over (partition by ts) m, stddev_samp(rd) over (partition by ts) s, lag(rd,5) over ({WS}) l5, {full('avg', 'price', 20)} sma, {full('stddev_samp', 'rd', 60)}*sqrt(252) vol,
-  case when rd is not null then (rank() over (partition by ts, rd is null order by rd) + (count(*) over (partition by ts, rd)-1)/2.0)/count(rd) over (partition by ts) end k0 from x),
- mv as (select ts, max(val) mval from macro where series_id='1-URGENT' group by ts), sv as (select ts, max(val) sval from sent where series_id='F' group by ts),
- days as (select coalesce(d.ts, mv.ts) ts, mval from (select distinct ts from flag) d full join mv on mv.ts=d.ts),
- mf as (select ts, {fill('mval', 'order by ts', 'order by ts desc')} macro from days where isodow(ts)<6 and not {HOLIDAY}),
- w as (select y.symbol, y.ts, rd, sma, vol, l5, (rd-m)/nullif(s,0) z, cast(k0 as double) k, mf.macro, sv.sval sentiment from y left join mf on mf.ts=y.ts left join sv on sv.ts=y.ts where isodow(y.ts)<6 and not {HOLIDAY.replace('(ts', '(y.ts').replace('else ts', 'else y.ts')}),
- {interp('w', 'i', cols)}
- select symbol, ts, {r('rd_i')} return_daily, {r('sma_i', 4)} sma_20, {r('vol_i')} vol_60, {r('l5_i')} return_daily_lag_5, {r('z_i')} return_daily_zscore, {r('k_i')} return_daily_rank, {r('macro_i', 4)} macro, {r('sentiment_i', 4)} sentiment from i"""
+    statuses = ["F", "O", "P"]
+    daily = ", ".join(f"max(case when series_id='{n}' then val end) s{i}" for i, n in enumerate(statuses))
+    named = {**{c: c for c in BUILT}, **{f"f{i}": n for i, n in enumerate(names)}, **{f"s{i}": n for i, n in enumerate(statuses)}}
+    series = "over (partition by symbol)"
+    share = lambda c: f"1-count({c}) {series}/cast(n-min(case when {c} is not null then k end) {series} as double) > 0.8"
+    flags = ", ".join(f"{share(c)} {c}_s" for c in named)
+    dense = ", ".join(f"case when {c}_s then {fill(c)} else {c} end {c}" for c in named)
+    digits = {
+        **dict.fromkeys("sma_20 sma_50 sma_200 ema_12 ema_26 ema_50 rsi_14 macd macd_signal macd_hist bb_upper bb_lower atr_14".split(), 4),
+        **dict.fromkeys([c for c in named if c not in BUILT], 4), "sma_20_x_ema_12": 2, "rsi_14_x_macd": 3,
+    }
+    shown = lambda end: ", ".join(f"{r(c + end, digits.get(c, 6))} \"{n}\"" for c, n in named.items())
+    grown = f"""with {built()}, {union}, u2 as (select * from u where isodow(ts)<6 and not {HOLIDAY}), mf as (select ts, {both} from u2),
+ sv as (select ts, {daily} from sent group by ts), kd as (select distinct ts from ft where isodow(ts)<6 and not {HOLIDAY}),
+ w as (select y.symbol, kd.ts, row_number() over (partition by y.symbol order by kd.ts)-1 k, count(*) over (partition by y.symbol) n,
+  ft.* exclude (symbol, ts), f0, f1, f2, f3, f4, s0, s1, s2 from kd cross join (select distinct symbol from ft) y
+  left join ft on ft.symbol=y.symbol and ft.ts=kd.ts left join mf on mf.ts=kd.ts left join sv on sv.ts=kd.ts),
+ wf as (select *, {flags} from w), wd as (select symbol, ts, price, {dense} from wf)""".replace(FLAG + ", ", FLAG + ", " + SENT + ", ", 1)
+    out["e17_build_features"] = f"{grown}, {interp('wd', 'i', list(named))} select symbol, ts, {r('price')} price, {shown('_i')} from i"
+    whole = " and ".join(f"({c} is not null or count({c}) {series} = 0)" for c in named)
+    out["e17_build_features_raw"] = f"""{grown}, wh as (select *, {whole} ok from wd), gd as (select ts from wh group by ts having bool_and(ok))
+ select symbol, ts, {r('price')} price, {shown('')} from wh where ts in (select ts from gd)"""
     vols = ", ".join(f"{full('stddev_samp', 'rd', n)}*sqrt(252) v{n}" for n in (20, 60))
     smas = ", ".join(f"{full('avg', 'price', n)} s{n}" for n in (20, 50))
     out["entry_features"] = f"""with {grid('flag')}, x as (select symbol, ts, pos, price, pad, {ret(1)} rd, {ret(5)} r5 from g),

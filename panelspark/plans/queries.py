@@ -319,8 +319,8 @@ def _(p: Panels) -> DataFrame:
 
 @query("b09_feature_family_counts")
 def _(p: Panels) -> DataFrame:
-    wide = shape.align_outer(ind.sma(p.flag_d), ind.momentum(p.flag_d), [PANEL, SYMBOL, TS])
-    return shape.feature_family_counts(wide.drop("n_dates"))
+    wide = feat.build_features(p.flag_d, benchmark=BENCH, clean=False)
+    return shape.feature_family_counts(wide.drop("n_dates", "price"))
 
 
 @query("b10_complete_cases")
@@ -471,20 +471,24 @@ def _(p: Panels) -> DataFrame:
     return feat.join_exogenous(dates, p.macro_m, _series(p.macro_m), "reference")
 
 
-@query("e17_build_features", sma_20=4, sma_200=4, macro=4, sentiment=4)
+_PRODUCTS = {"sma_20_x_ema_12": 2, "rsi_14_x_macd": 3}
+_EXOGENOUS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "F", "O", "P")
+_BUILT = {**dict.fromkeys((*_COARSE, *_EXOGENOUS), 4), **_PRODUCTS}
+
+
+def _built(p: Panels, impute: str | None) -> DataFrame:
+    macro, sentiment = (p.macro_m, _series(p.macro_m)), (p.sentiment_d, _series(p.sentiment_d))
+    return feat.build_features(p.flag_d, macro, sentiment, benchmark=BENCH, impute=impute)
+
+
+@query("e17_build_features", **_BUILT)
 def _(p: Panels) -> DataFrame:
-    built = feat.build_features(
-        p.flag_d,
-        (p.macro_m, _series(p.macro_m)),
-        (p.sentiment_d, _series(p.sentiment_d)),
-        benchmark=BENCH,
-        impute="interpolate",
-    )
-    return built.select(
-        SYMBOL, TS, "return_daily", "sma_20", "vol_60", "return_daily_lag_5",
-        "return_daily_zscore", "return_daily_rank",
-        F.col("`1-URGENT`").alias("macro"), F.col("F").alias("sentiment"),
-    )
+    return _built(p, "interpolate")
+
+
+@query("e17_build_features_raw", **_BUILT)
+def _(p: Panels) -> DataFrame:
+    return _built(p, None)
 
 
 # --- market series and moments --------------------------------------------------------

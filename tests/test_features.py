@@ -134,3 +134,18 @@ def test_build_features(bars):
     assert {"return_daily_lag_21", "return_daily_rank", "sma_20_x_ema_12", "rsi_14_x_macd"} <= names
     assert all(r.ts.weekday() < 5 for r in got.select("ts").distinct().collect())
     assert got.where("return_daily is null").count() == 0 and got.count() > 0
+
+
+def test_exogenous_before_a_first_row(bars):
+    """A symbol that starts late has the exogenous values of its early dates, not the first later one."""
+    late = bars.where("panel_id = 'p'")
+    start = late.select("ts").distinct().orderBy("ts").collect()[30].ts
+    last = sorted(r.symbol for r in late.select("symbol").distinct().collect())[-1]
+    late = late.where((F.col("symbol") != last) | (F.col("ts") >= start))
+    daily = late.select("ts").distinct().select(
+        F.lit("M").alias("series_id"), "ts", F.unix_date("ts").cast("double").alias("value")
+    )
+    built = features.build_features(late, (daily, ["M"]), benchmark="A0", impute="interpolate")
+    assert built.where((F.col("symbol") == last) & (F.col("ts") < start)).count() > 0
+    assert built.where(F.col("M") != F.unix_date("ts")).count() == 0
+    assert built.where("M is null").count() == 0
