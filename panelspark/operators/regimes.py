@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +66,9 @@ def volatility_regimes(
     )
 
 
+#: Squared movement of a centre that only rounding explains.
+STILL = 1e-24
+
 # --- clustering -----------------------------------------------------------------------
 
 
@@ -170,8 +174,9 @@ def kmeans_fit(
     """Centres per panel (``centres`` array of vectors) of the best of several restarts, with its ``inertia``,
     ``converged`` (no centre of that restart moved more than ``tol``, squared, in the last round) and ``rounds``.
 
-    All panels and restarts advance in the same job: assignments are narrow, centres are
-    averages with partial aggregation, and only the movement of the centres is looked at.
+    All panels and restarts advance in the same job: assignments are narrow, a task sends the sums of its
+    points per centre, and only the movement of the centres is looked at. Points are kept as stretches of
+    coordinates, so that a round is array arithmetic; a restart whose centres stand still waits for the others.
     """
     points = stage(points.select(PANEL, TS, "x"))
     starts = points.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))))
@@ -188,33 +193,27 @@ def kmeans_fit(
             F.transform(ordered, lambda s: s["c"]).alias("centres"), *more
         )
 
-    centres = stage(pack(first))
+    centres = stage(pack(first, F.lit(None).cast("double").alias("moved")))
     moved = F.aggregate(
         F.zip_with("old", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
     )
-    distance, nearest = _distances("x", "centres", k), _nearest(F.col("d"))
-    mean = F.expr(f"array({', '.join(f'avg(x[{i}])' for i in range(dims))})").alias("new")
+    still = F.coalesce(F.col("moved") <= STILL, F.lit(False))
+    stretches = stage(_stretches(points, dims))
+    mean = F.array(*[F.sum(F.col("total")[i]) / F.sum("n") for i in range(dims)]).alias("new")
     rounds = 0
     for _ in range(max_iter):
         rounds += 1
-        assigned = (
-            starts.join(centres.select(PANEL, "r", "centres"), [PANEL, "r"])
-            .select(PANEL, "r", "x", distance.alias("d"))
-            .select(PANEL, "r", "x", nearest.alias("j"))
+        means = _nearest_sums(stretches, centres.where(~still), k, dims).groupBy(PANEL, "r", "j").agg(mean)
+        old = centres.select(
+            PANEL, "r", F.when(still, F.col("moved")).alias("before"), F.posexplode("centres").alias("j", "old")
         )
-        means = assigned.groupBy(PANEL, "r", "j").agg(mean)
-        old = centres.select(PANEL, "r", F.posexplode("centres").alias("j", "old"))
+        # what stands still has no new means and stays as it is
         step = old.join(means, [PANEL, "r", "j"], "left").withColumn("c", F.coalesce("new", "old"))
-        last, centres = centres, stage(pack(step, F.max(moved).alias("moved")))
+        last, centres = centres, stage(pack(step, F.coalesce(F.max("before"), F.max(moved)).alias("moved")))
         release(last)
         if centres.agg(F.max("moved")).first()[0] <= tol:
             break
-    inertia = (
-        starts.join(centres, [PANEL, "r"])
-        .withColumn("d", F.array_min(_distances("x", "centres", k)))
-        .groupBy(PANEL, "r")
-        .agg(F.sum(F.col("d") * F.col("d")).alias("inertia"))
-    )
+    inertia = _nearest_sums(stretches, centres, k, dims).groupBy(PANEL, "r").agg(F.sum("inertia").alias("inertia"))
     scored = centres.join(inertia, [PANEL, "r"])
     best = F.struct("inertia", "r")
     return scored.groupBy(PANEL).agg(
@@ -225,6 +224,62 @@ def kmeans_fit(
     )
 
 
+def _stretches(points: DataFrame, dims: int) -> DataFrame:
+    """(panel, xs): the coordinates of the points of a panel that lie together, one after the other.
+
+    Points with an absent coordinate are near no centre and left out.
+    """
+    xs = [F.get("x", F.lit(i)) for i in range(dims)]
+    whole = points.where(F.col(PANEL).isNotNull()).select(PANEL, *[c.alias(f"x{i}") for i, c in enumerate(xs)]).dropna()
+
+    def run(batches):
+        for batch in batches:
+            for panel, rows in batch.groupby(PANEL):
+                yield pd.DataFrame({PANEL: [panel], "xs": [rows[[f"x{i}" for i in range(dims)]].to_numpy().ravel()]})
+
+    return whole.mapInPandas(run, f"{PANEL} string, xs array<double>")
+
+
+def _nearest_sums(stretches: DataFrame, centres: DataFrame, k: int, dims: int) -> DataFrame:
+    """Per stretch, restart and centre ``j``: number, coordinate sums and inertia of the points nearest to it.
+
+    Nearness is that of ``_distances``; absent centres are nearest to none, ties go to the first.
+    """
+    value = lambda j, i: F.coalesce(F.get(F.get("centres", F.lit(j)), F.lit(i)), F.lit(float("nan")))
+    flat = F.array(*[value(j, i) for j in range(k) for i in range(dims)])
+    packed = centres.groupBy(PANEL).agg(F.sort_array(F.collect_list(F.struct("r", flat.alias("c")))).alias("cs"))
+    joined = stretches.join(packed.select(PANEL, F.col("cs.r").alias("rs"), F.flatten("cs.c").alias("cs")), PANEL)
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for panel, xs, rs, cs in zip(*(batch.column(c) for c in (PANEL, "xs", "rs", "cs"))):
+                x = xs.values.to_numpy(zero_copy_only=False).reshape(-1, dims)
+                c = cs.values.to_numpy(zero_copy_only=False).reshape(-1, k, dims)
+                for r, own in zip(rs.as_py(), c):
+                    d = np.zeros((k, len(x)))
+                    for i in range(dims):
+                        gap = x[:, i] - own[:, i, None]
+                        d += gap * gap
+                    d = np.sqrt(d)
+                    d[np.isnan(d)] = np.inf
+                    j = d.argmin(axis=0)
+                    n = np.bincount(j, minlength=k)
+                    total = np.stack([np.bincount(j, x[:, i], k) for i in range(dims)], axis=1)
+                    least = d[j, np.arange(len(x))]
+                    inertia = np.bincount(j, least * least, k)
+                    out += [(panel.as_py(), r, a, int(n[a]), total[a], inertia[a]) for a in np.flatnonzero(n).tolist()]
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.float64())
+            columns = zip(*out) if out else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(columns, kinds)], names=[PANEL, "r", "j", "n", "total", "inertia"]
+            )
+
+    return joined.select(PANEL, "xs", "rs", "cs").mapInArrow(
+        run, f"{PANEL} string, r int, j int, n long, total array<double>, inertia double"
+    )
+
+
 def inverse_distance_probs(distances: Column) -> Column:
     """1 / (distance + 1e-10), normalised to 1."""
     inverse = F.transform(distances, lambda d: 1.0 / (d + 1e-10))

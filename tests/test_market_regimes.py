@@ -180,6 +180,33 @@ def test_kmeans_says_whether_it_settled(switching):
     assert all(not r.converged and r.rounds == 1 for r in cut)
 
 
+def test_kmeans_rounds_send_sums_per_stretch(spark):
+    """A round of one panel is a few rows a stretch, not a row per point and restart, and they are the plain sums."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 2))
+    rows = [("p", i, [float(a), float(b)]) for i, (a, b) in enumerate(x)]
+    rows += [("p", 900, [None, 1.0]), ("p", 901, None), ("q", 0, [1.0, 2.0]), ("q", 1, [1.0, 2.0]), (None, 2, [0.0, 0.0])]
+    points = spark.createDataFrame(rows, "panel_id string, ts int, x array<double>").repartition(4)
+    starts = [[x[0].tolist(), x[1].tolist(), x[2].tolist()], [x[3].tolist(), x[4].tolist(), None]]
+    centres = spark.createDataFrame([("p", r, c) for r, c in enumerate(starts)], "panel_id string, r int, centres array<array<double>>")
+    sent = regimes._nearest_sums(regimes._stretches(points, 2), centres, 3, 2).toPandas()
+    assert len(sent) <= 4 * 5
+    for r, some in enumerate(starts):
+        c = np.array([v for v in some if v])
+        d = np.sqrt(((x[:, None] - c) ** 2).sum(2))
+        near = d.argmin(1)
+        own = sent[sent["r"] == r]
+        assert np.isclose(own["inertia"].sum(), (d.min(1) ** 2).sum())
+        for j, part in own.groupby("j"):
+            assert part["n"].sum() == (near == j).sum()
+            np.testing.assert_allclose(np.sum(part["total"].tolist(), axis=0), x[near == j].sum(0))
+    fitted = {r.panel_id: r for r in regimes.kmeans_fit(points, 3, 2, restarts=3).collect()}
+    assert set(fitted) == {"p", "q"} and all(r.converged for r in fitted.values())
+    c = np.array(fitted["p"].centres)
+    near = ((x[:, None] - c) ** 2).sum(2).argmin(1)
+    np.testing.assert_allclose(c, [x[near == j].mean(0) for j in range(3)], atol=1e-4)
+
+
 def test_changepoints(spark):
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(0, 1, 120), rng.normal(0, 4, 120), rng.normal(5, 1, 80)])
