@@ -117,7 +117,7 @@ def crossover(a: Bins, b: Bins, sizes: list[int], capacity: int, rng: random.Ran
 def evolve(
     sizes: list[int], capacity: int, seed: int, population: list[Bins], size: int, generations: int
 ) -> list[Bins]:
-    """``generations`` steps of one island; ends early at a solution no other can beat."""
+    """One island, until ``generations`` steps in a row find no better solution or none can be better."""
     rng = random.Random(seed)
     least = -(-sum(sizes) // capacity)
     falling = sorted(range(len(sizes)), key=lambda x: -sizes[x])
@@ -127,11 +127,13 @@ def evolve(
         noise = {x: sizes[x] * (1 + 0.15 * rng.random()) for x in falling}
         population.append(best_fit(sorted(falling, key=lambda x: -noise[x]), sizes, capacity))
     population.sort(key=lambda s: s.worth(capacity), reverse=True)
-    for _ in range(generations):
-        if len(population[0].bins) <= least:
-            break
+    idle = 0
+    while idle < generations and len(population[0].bins) > least:
+        idle += 1
         one, two = rng.sample(population, 2)
         child = crossover(one, two, sizes, capacity, rng, share=0.5)
+        if child.worth(capacity) > population[0].worth(capacity):
+            idle = 0
         if child.worth(capacity) > population[-1].worth(capacity):
             population[-1] = child
             population.sort(key=lambda s: s.worth(capacity), reverse=True)
@@ -143,14 +145,14 @@ def _problem_key(n: int):
 
 
 def pack(
-    pieces: DataFrame, capacity: int, *, islands: int = 2, epochs: int = 2, generations: int = 6, size: int = 4
+    pieces: DataFrame, capacity: int, *, islands: int = 2, epochs: int = 2, generations: int = 30, size: int = 4
 ) -> DataFrame:
     """Give each piece a sequence and its place there.
 
     ``pieces`` is a staged table as ``document_pieces`` makes it. Full pieces fill a sequence each.
     The rest is dealt by the hash of its number into problems of about PROBLEM pieces, so no source,
-    length or document decides where work lands. Each problem evolves on several islands; after an
-    epoch each island's best solution migrates to the next island of its problem. The winners' bins
+    length or document decides where work lands. Each problem evolves on several islands until they find
+    nothing better; after an epoch each island's best solution migrates to the next island of its problem. The winners' bins
     that are not full enough to matter are dealt anew, at a fifth of the number of problems, and
     evolve once more together, which closes the few slack bins every problem is left with.
     """

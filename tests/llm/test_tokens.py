@@ -115,3 +115,21 @@ def test_the_genetic_algorithm_beats_best_fit():
     assert sorted(x for b in best.bins for x in b) == list(range(len(sizes)))
     assert max(best.fill) <= 1000
     assert len(best.bins) <= len(plain.bins) and best.worth(1000) > plain.worth(1000)
+
+
+def test_islands_go_on_while_they_improve():
+    """Triples that fill a bin exactly: an island stops after steps in a row without a better solution, not after so many."""
+    rng = np.random.default_rng(3)
+    sizes = []
+    for _ in range(60):
+        a, b = sorted(rng.integers(260, 480, 2).tolist())
+        sizes += [a, b, 1000 - a - b]
+    steps = []
+    real = packing.crossover
+    try:
+        packing.crossover = lambda *a, **k: steps.append(1) or real(*a, **k)
+        best = packing.evolve(sizes, 1000, 1, [], 8, 20)[0]
+    finally:
+        packing.crossover = real
+    assert len(steps) > 20
+    assert sorted(x for b in best.bins for x in b) == list(range(len(sizes))) and max(best.fill) <= 1000
