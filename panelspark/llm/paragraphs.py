@@ -19,6 +19,8 @@ REACH = 3
 #: Words of a run of repeated pieces, and of a near-duplicate paragraph, that make a passage.
 RUN, PARAGRAPH = 24, 20
 MAX_BANDS = 20
+#: Text worked on at a time: words take many times their bytes, and a pipeline's earlier stages hold memory too.
+SLICE = 1 << 19
 SPANS = "doc_id long, start long, stop long, words long, first_doc long, component_id long, kind string"
 
 
@@ -77,7 +79,7 @@ def pieces(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, part in shingles.slices(batch.column(1)):
+            for lo, part in shingles.slices(batch.column(1), SLICE):
                 ids = np.asarray(batch.column(0).slice(lo, len(part)))
                 for row, start, end, h, breaks in _words(part):
                     lines, first = _cuts(row, breaks, h)
@@ -111,7 +113,7 @@ _powers_of: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> np.ndarray:
     if len(_powers_of.get("up", ())) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 17)
         for name, base in (("up", _STEP), ("down", pow(_STEP, -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -261,7 +263,7 @@ def near_paragraphs(
         family = shingles.MinHash(bands * height, seed=3)
         signed: set[int] = set()
         for batch in batches:
-            for lo, part in shingles.slices(batch.column(1)):
+            for lo, part in shingles.slices(batch.column(1), SLICE):
                 ids = batch.column(0).slice(lo, len(part)).to_pylist()
                 wanted = [
                     dict(zip(a, b))
