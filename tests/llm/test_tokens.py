@@ -34,6 +34,30 @@ def test_pieces_give_the_same_ids(odd_rows, name, spaced, segment, monkeypatch):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+@pytest.mark.parametrize("name, spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_recurring_pieces_are_encoded_once(name, spaced, monkeypatch):
+    """A full memory lets go of pieces that came up once, not of the common ones, and takes little room."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(W, "SEGMENT", 1 << 14)
+    common_ones = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
+    texts = [" " + " ".join([*common_ones, *(f"x{i}y{j}" for j in range(800))]) for i in range(12)]
+    encoder = vocab.PieceEncoder(queries.vocabulary(name), spaced, remembered=2_000)
+    learned, real = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda *a: learned.extend(a[-1]) or real(*a))
+    got = [encoder.encode(pa.array([t], pa.string()))[0].tolist() for t in texts]
+    assert got == [r[:-1] for r in reference(name, texts, 0)]
+    assert len(learned) == len(set(learned))
+    many = vocab.PieceEncoder(queries.vocabulary(name), spaced)
+    tracemalloc.start()
+    many.encode(pa.array([" ".join(f"q{i}" for i in range(100_000))], pa.string()))
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 10e6
+
+
 def test_byte_bpe(odd, odd_rows, none):
     ranks = queries.vocabulary("byte_bpe_50k.tiktoken")
     own, _ = byte_bpe.encoding(ranks, public_tokenizers.PATTERN)
