@@ -130,6 +130,27 @@ def test_held_out_texts_cost_less_than_unigrams(spark):
     assert total[0] > total[1] + 0.2 * total[2]
 
 
+def test_kinds_are_fitted_on_all_training_texts(spark):
+    """Every training text's own word is counted in a kind, however many texts there are and wherever they lie."""
+    rng = random.Random(9)
+    vocabularies = [[f"{k}{j}" for j in range(60)] for k in "ab"]
+    texts = [f"own{i} " + " ".join(rng.choice(vocabularies[i % 2]) for _ in range(30)) for i in range(6000)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    fits = []
+    for own in (docs, docs.repartition(5)):
+        fits.append(context_mixing._topics(context_mixing._documents(own, "text", "doc_id", F.col("doc_id") % 7 == 2)))
+    assert np.array_equal(fits[0].logp, fits[1].logp) and len(fits[0].logp) == context_mixing.CLASSES
+    parts = [*context_mixing.W.words(*context_mixing.W.column_bytes(context_mixing.pa.array(texts)))]
+    hashes = [p.hashes() for p in parts]
+    kind = fits[0].of(parts, hashes, len(texts))
+    assert not set(kind[::2]) & set(kind[1::2])
+    row, h = np.concatenate([p.row for p in parts]), np.concatenate(hashes)
+    bucket = (h[np.flatnonzero(np.diff(row, prepend=-1))] >> np.uint64(64 - context_mixing.BUCKETS)).astype(int)
+    words = 31 * np.bincount(kind[np.arange(6000) % 7 != 2], minlength=context_mixing.CLASSES)
+    counted = np.exp(fits[0].logp[kind, bucket]) * (words[kind] + 50)
+    assert (counted[np.arange(6000) % 7 != 2] > 0.9).all()
+
+
 def test_models_of_two_corpora_do_not_mix(spark):
     """Workers are reused, so a model kept from another table must never score this one."""
     rng = random.Random(11)
