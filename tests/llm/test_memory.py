@@ -6,7 +6,8 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from panelspark.llm import paragraphs, shingles
+from panelspark.llm import paragraphs, shingles, toxicity
+from panelspark.llm import words as W
 
 from corpora import prose
 
@@ -27,3 +28,18 @@ def test_words_of_a_batch_take_bounded_memory():
     tracemalloc.stop()
     assert rows == len(column)
     assert peak < 60e6
+
+
+def test_scoring_a_batch_takes_bounded_memory():
+    """Words and stems of a batch are worked on a little text at a time, so a worker stays small beside the executor."""
+    text = prose(random.Random(1), 2_000)
+    column = pa.array([text] * (8_000_000 // len(text)))
+    model = np.arange(100), np.ones(100), -1.0
+    W._powers.clear()
+    tracemalloc.start()
+    got = next(toxicity._probabilities(model, iter([column])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    W._powers.clear()
+    assert len(got) == len(column) and len(np.unique(got)) == 1
+    assert peak < 80e6
