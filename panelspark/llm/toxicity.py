@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +21,10 @@ from panelspark.llm import words as W
 SAMPLE, CHANGES = 8_000, 32_000
 #: log2 of the number of hashed features; the weights take 16 MB whatever the corpus.
 BITS = 22
+#: What a feature has to show in the sample: texts that hold it, and toxic ones beyond chance (see ``fit``).
+LEAST, EVIDENCE = 3, 1.6
+#: Entries of the sample that a sum of the fit takes at a time.
+ENTRIES = 1 << 17
 #: Beginnings of words, in bytes, that are features beside the words: stems of inflected forms.
 STEMS = (4, 5, 6)
 #: Groups whose mention alone must not move a score; terms of one tuple can stand for each other.
@@ -79,6 +83,20 @@ def counterfactuals(text: str) -> list[tuple[str, str]]:
     return out
 
 
+def _sparsity(n: int, evidence: float) -> float:
+    """The L1 term for n texts; a feature whose pull is below half of it from the start is left out of the fit."""
+    return float(0.9 * (1 + evidence * np.log10(n)) / n)
+
+
+def _sums(at: np.ndarray, value: Callable[[slice], np.ndarray], size: int) -> np.ndarray:
+    """``np.bincount(at, value, size)``, added in the same order, without arrays as long as ``at``."""
+    out = np.zeros(size)
+    for lo in range(0, len(at), ENTRIES):
+        part = slice(lo, lo + ENTRIES)
+        np.add.at(out, at[part], value(part))
+    return out
+
+
 @dataclass
 class Classifier:
     """Non-zero weights by feature, and the bias."""
@@ -95,7 +113,7 @@ class Classifier:
 
 def fit(
     sets: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]] = (), *,
-    times: np.ndarray | None = None, evidence: float = 1.6, fairness: float = 5.0, least: int = 3, rounds: int = 120,
+    times: np.ndarray | None = None, evidence: float = EVIDENCE, fairness: float = 5.0, least: int = LEAST, rounds: int = 120,
 ) -> Classifier:
     """Logistic loss + L1 + ``fairness`` * mean squared change of the log-odds under a swap.
 
@@ -108,13 +126,16 @@ def fit(
     n = len(sets)
     if not n:
         return Classifier(np.zeros(0, np.int64), np.zeros(0), -2.0)
-    sparsity = 0.9 * (1 + evidence * np.log10(n)) / n
-    # a feature that pulls with less than half the L1 term from the start is left out of the fit
+    sparsity = _sparsity(n, evidence)
     size = 1 << BITS
-    total = np.bincount(np.concatenate(sets), minlength=size)
-    toxic = np.bincount(np.concatenate([*(s for s, y in zip(sets, labels) if y), np.zeros(0, np.int32)]), minlength=size)
-    pull = np.abs(toxic - labels.mean() * total) / n
-    columns = np.flatnonzero((total >= least) & (pull >= 0.5 * sparsity)).astype(np.int32)
+    total, toxic = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    for s, y in zip(sets, labels):
+        np.add.at(total, s, 1)
+        if y:
+            np.add.at(toxic, s, 1)
+    columns = np.flatnonzero(total >= least)
+    pull = np.abs(toxic[columns] - labels.mean() * total[columns]) / n
+    columns = columns[pull >= 0.5 * sparsity].astype(np.int32)
     del total, toxic, pull
     if not len(columns):
         columns = np.zeros(1, np.int32)
@@ -123,8 +144,7 @@ def fit(
         """(text, column) of the kept features, in narrow integers: the sample has millions of entries."""
         place = np.full(size, -1, np.int32)
         place[kept] = np.arange(len(kept), dtype=np.int32)
-        at = [place[s] for s in some]
-        hits = [a[a >= 0] for a in at]
+        hits = [a[a >= 0] for a in (place[s] for s in some)]
         row = np.repeat(np.arange(len(some), dtype=np.int32), [len(h) for h in hits])
         return row, np.concatenate([*hits, np.zeros(0, np.int32)])
 
@@ -141,14 +161,15 @@ def fit(
         w, v, bias, t = np.zeros(len(kept)), np.zeros(len(kept)), float(np.log((labels.mean() + 0.01) / (1.01 - labels.mean()))), 1.0
 
         def gradient(v: np.ndarray, bias: float) -> tuple[float, np.ndarray, float]:
-            z = np.bincount(row, v[col], n) + bias
+            z = _sums(row, lambda part: v[col[part]], n) + bias
             r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / n
             loss = float(np.mean(np.logaddexp(0, z) - labels * z)) + 0.5 * l2 * float(v @ v)
-            g = np.bincount(col, r[row], len(kept)) + l2 * v
+            g = _sums(col, lambda part: r[row[part]], len(kept)) + l2 * v
             if d_row is not None:
-                change = np.bincount(d_row, d_sign * v[d_col], len(pairs))
+                change = _sums(d_row, lambda part: d_sign[part] * v[d_col[part]], len(pairs))
                 loss += fairness * float(share @ (change * change))
-                g = g + 2 * fairness * np.bincount(d_col, d_sign * (share * change)[d_row], len(kept))
+                push = share * change
+                g = g + 2 * fairness * _sums(d_col, lambda part: d_sign[part] * push[d_row[part]], len(kept))
             return loss, g, float(r.sum())
 
         step = 8.0
@@ -177,13 +198,54 @@ def fit(
     return Classifier(kept.astype(np.int64), w, bias)
 
 
+def _useful_sets(sample: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+    """The features of each text of the sample without those that ``fit`` leaves out anyway, and its labels (0 or 1).
+
+    In an order of the texts' own, so that sums do not depend on where the rows lay.
+    """
+    bad = (F.col("label") > 0).cast("long")
+    n, toxic = sample.agg(F.count(F.lit(1)), F.sum(bad)).first()
+    if not n:
+        return [], np.zeros(0)
+    counts = sample.select(bad.alias("toxic"), F.explode("features").alias("feature")).groupBy("feature")
+    counts = counts.agg(F.count(F.lit(1)).alias("total"), F.sum("toxic").alias("toxic")).where(F.col("total") >= LEAST)
+    pull = F.abs(F.col("toxic") - F.lit(toxic / n) * F.col("total")) / F.lit(float(n))
+    columns = counts.where(pull >= 0.5 * _sparsity(n, EVIDENCE)).select("feature").toArrow().column(0).to_numpy()
+    # without any, fit takes feature 0
+    shared = sample.sparkSession.sparkContext.broadcast(columns if len(columns) else np.zeros(1, np.int32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        useful = np.zeros(1 << BITS, bool)
+        useful[shared.value] = True
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            feature, size = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+            hit = useful[feature]
+            kept = np.concatenate([np.zeros(1, np.int64), np.cumsum(hit)])[np.cumsum([0, *size])]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(size, pa.int32()), pa.ListArray.from_arrays(kept.astype(np.int32), feature[hit])],
+                names=["doc_id", "copy", "label", "crc", "size", "features"],
+            )
+
+    got = sample.select("doc_id", "copy", "label", "crc", "features").mapInArrow(
+        run, "doc_id long, copy long, label int, crc long, size int, features array<int>"
+    ).toArrow()
+    keys = [got[k].to_numpy() for k in ("copy", "doc_id", "label", "crc", "size")]
+    lists = got["features"].combine_chunks()
+    del got
+    feature, ends = lists.flatten().to_numpy(), np.cumsum([0, *lists.value_lengths().to_numpy()])
+    order = np.lexsort(keys)
+    return [feature[ends[i] : ends[i + 1]] for i in order], (keys[2][order] > 0).astype(float)
+
+
 def train(docs: DataFrame, labels: DataFrame, held_out, *, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> Classifier:
     """Fit on a hash sample of at most SAMPLE labelled documents that aren't held out.
 
     A document labelled more than once is toxic if one label says so; of rows that repeat a doc_id and its
     text one is used. The counterfactual sentences of all sampled documents count: equal changes of features
-    are summed, so they take no place of a document. Only features leave the executors; the sample's ids, at
-    most SAMPLE of them, are broadcast.
+    are summed, so they take no place of a document. Features are counted where they lie, and only those that
+    ``fit`` would use leave the executors, as Arrow; the sample's ids, at most SAMPLE of them, and the features
+    to keep are broadcast.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")
@@ -203,27 +265,31 @@ def train(docs: DataFrame, labels: DataFrame, held_out, *, text: str = "text", d
                 changes: list[list[dict]] = [[] for _ in texts]
                 for (i, *_), a, b in zip(swaps, _sets([p[1] for p in swaps]), _sets([p[2] for p in swaps])):
                     changes[i].append({"gone": np.setdiff1d(a, b).tobytes(), "come": np.setdiff1d(b, a).tobytes()})
+                sets = _sets(texts)
+                ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()), part.column(2),
-                        pa.array([s.tobytes() for s in _sets(texts)], pa.binary()), pa.array(changes, swap),
+                        pa.array([zlib.crc32(s) for s in sets], pa.int64()),
+                        pa.ListArray.from_arrays(ends, np.concatenate([*sets, np.zeros(0, np.int32)])), pa.array(changes, swap),
                     ],
-                    names=["doc_id", "copy", "label", "features", "changes"],
+                    names=["doc_id", "copy", "label", "crc", "features", "changes"],
                 )
 
     found = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").mapInArrow(
-        run, "doc_id long, copy long, label int, features binary, changes array<struct<gone: binary, come: binary>>"
+        run, "doc_id long, copy long, label int, crc long, features array<int>, changes array<struct<gone: binary, come: binary>>"
     )
     found = common.stage(found.dropDuplicates(["doc_id", "copy"]), "sample")
-    # an id with many texts could exceed the bound
-    got = found.orderBy(F.xxhash64("doc_id", "copy"), "doc_id", "copy").limit(SAMPLE).select("features", "label").collect()
+    sample = found
+    if found.count() > SAMPLE:  # an id has many texts
+        first = found.select("doc_id", "copy").orderBy(F.xxhash64("doc_id", "copy"), "doc_id", "copy").limit(SAMPLE)
+        sample = common.stage(found.join(F.broadcast(first), ["doc_id", "copy"]), "sample")
+    sets, marks = _useful_sets(sample)
     read = lambda raw: np.frombuffer(bytes(raw), np.int32)
-    own = sorted(((read(r.features), r.label) for r in got), key=lambda x: (len(x[0]), zlib.crc32(x[0]), x[1]))
-    del got
     moved = found.select(F.explode("changes").alias("c")).groupBy("c.gone", "c.come").agg(F.count(F.lit(1)).alias("n"))
     moved = moved.orderBy(F.xxhash64("gone", "come"), "gone", "come").limit(CHANGES).collect()
     pairs, times = [(read(r.gone), read(r.come)) for r in moved], np.array([r.n for r in moved], float)
-    return fit([x[0] for x in own], np.array([float(x[1] > 0) for x in own]), pairs, times=times)
+    return fit(sets, marks, pairs, times=times)
 
 
 def _probabilities(model: tuple, batches: Iterator[pa.Array]) -> Iterator[np.ndarray]:

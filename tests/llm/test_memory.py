@@ -43,3 +43,16 @@ def test_scoring_a_batch_takes_bounded_memory():
     W._powers.clear()
     assert len(got) == len(column) and len(np.unique(got)) == 1
     assert peak < 80e6
+
+
+def test_fit_takes_bounded_memory():
+    """The driver holds the sample's entries as narrow integers; sums over them are taken a little at a time."""
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 2_000, 1_000).astype(np.int32)) for _ in range(4_000)]
+    y = (rng.random(len(sets)) < 0.1).astype(float)
+    entries = sum(map(len, sets))
+    tracemalloc.start()
+    toxicity.fit(sets, y, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6 + 16 * entries

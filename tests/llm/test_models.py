@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -89,6 +90,37 @@ def test_sample_keeps_all_documents_beside_their_swaps(spark, monkeypatch):
     assert all([s.tobytes() for s in seen[0][0]] == [s.tobytes() for s in other[0]] for other in seen)
 
 
+def test_driver_gets_only_features_that_fit_uses(spark, monkeypatch):
+    """Features are counted on the executors; the model is that of the whole texts, to the last bit."""
+    rows, labels = corpus(400)
+    docs = spark.createDataFrame([*rows, (7, ""), (9, None)], "doc_id long, text string").repartition(5)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    real, seen = toxicity.fit, []
+    monkeypatch.setattr(toxicity, "fit", lambda sets, y, pairs, times=None: seen.append((sets, y)))
+    toxicity.train(docs, marks, lambda doc_id: F.lit(False))
+    (sets, y), truth = seen[0], dict(labels)
+    texts = [(t, truth[i]) for i, t in [*rows, (7, "")]]
+    whole = sorted(zip(toxicity._sets([t for t, _ in texts]), [b for _, b in texts]), key=lambda x: (len(x[0]), zlib.crc32(x[0]), x[1]))
+    assert len(sets) == len(whole) == 401 and y.tolist() == [b for _, b in whole]
+    assert 0 < sum(map(len, sets)) < 0.7 * sum(len(s) for s, _ in whole)
+    a, b = real(sets, y), real([s for s, _ in whole], y)
+    assert len(a.feature) and (a.feature == b.feature).all() and (a.weight == b.weight).all() and a.bias == b.bias
+
+
+def test_sample_is_bounded_if_ids_have_many_texts(spark, monkeypatch):
+    rows, labels = corpus(30)
+    docs = spark.createDataFrame([(i, f"{t} {k}") for i, t in rows for k in range(3)], "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE", 40)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda sets, y, pairs, times=None: seen.append((sets, y)))
+    for parts in (1, 6):
+        toxicity.train(docs.repartition(parts), marks, lambda doc_id: F.lit(False))
+    (a, y), (b, z) = seen
+    assert len(a) == len(y) == 40 and (y == z).all()
+    assert [s.tobytes() for s in a] == [s.tobytes() for s in b]
+
+
 def test_toxicity_of_odd_rows(spark, odd, odd_rows, none):
     labels = spark.createDataFrame([(1, 0), (7, 1), (2, 1), (11, 0)], "doc_id long, toxic int")
     got = toxicity.score(odd, toxicity.train(odd, labels, held)).collect()
