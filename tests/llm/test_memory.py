@@ -6,7 +6,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from panelspark.llm import paragraphs, shingles, toxicity
+from panelspark.llm import context_mixing, paragraphs, shingles, toxicity
 from panelspark.llm import words as W
 
 from corpora import prose
@@ -56,3 +56,20 @@ def test_fit_takes_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 50e6 + 16 * entries
+
+
+def test_counting_distinct_words_takes_bounded_memory():
+    """Words that are held until they are added up take their bytes, not an object each, and few are held."""
+    column = pa.array([" ".join(f"word{i}" for i in range(lo, lo + 1_000)) for lo in range(0, 1_000_000, 1_000)])
+    kinds = context_mixing.Topics(np.full((1, 1 << context_mixing.BUCKETS), -9.0))
+    W._powers.clear()
+    old, pool = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    pa.set_memory_pool(pool)
+    tracemalloc.start()
+    rows = sum(len(batch) for batch in context_mixing._tallied(iter([column]), kinds))
+    peak = tracemalloc.get_traced_memory()[1] + pool.max_memory()
+    tracemalloc.stop()
+    pa.set_memory_pool(old)
+    W._powers.clear()
+    assert rows == 1_000_001  # and the ends
+    assert peak < 70e6

@@ -7,9 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from panelspark.llm import context_mixing, toxicity
+from panelspark.llm import words as W
 
 from corpora import none, odd, odd_rows, prose  # noqa: F401, I001
 
@@ -183,6 +185,47 @@ def test_kinds_are_fitted_on_all_training_texts(spark):
     assert (counted[np.arange(6000) % 7 != 2] > 0.9).all()
 
 
+def test_words_are_counted_by_kind_in_parts(monkeypatch):
+    """However little is held before it goes out, the parts add up to the counts of each word in each kind."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["a", "B", "\u00e9t\u00e9", "x" * 900, f"n{i % 50}"]) for _ in range(rng.randrange(60))) for i in range(400)]
+    columns = [pa.array(texts[:150]), pa.array([], pa.string()), pa.array([None, "", " \t"]), pa.array(texts[150:])]
+    kinds = context_mixing.Topics(np.log(np.random.default_rng(1).dirichlet(np.ones(1 << context_mixing.BUCKETS), 3)))
+    parts = [*W.words(*W.column_bytes(pa.array(texts)))]
+    kind = kinds.of(parts, [p.hashes() for p in parts], len(texts))
+    nothing = int(kinds.of([], [], 1)[0])
+    want = collections.Counter()
+    for own, text in zip([*kind.tolist(), *[nothing] * 3], [*texts, None, "", " \t"]):
+        want.update((own, t or b"") for t in tokens(text))
+    assert len({k for k, _ in want}) == 3
+    sent = []
+    for held, size, together in ((150_000, 1 << 23, 1 << 20), (40, 1 << 23, 1 << 12), (150_000, 3_000, 1 << 12)):
+        monkeypatch.setattr(context_mixing, "HELD", held)
+        monkeypatch.setattr(context_mixing, "HELD_BYTES", size)
+        monkeypatch.setattr(context_mixing, "TOGETHER", together)
+        got, hashes = collections.Counter(), collections.defaultdict(set)
+        rows = [r for b in context_mixing._tallied(iter(columns), kinds) for r in b.to_pylist()]
+        for r in rows:
+            got[(r["class"], r["word"])] += r["n"]
+            hashes[r["hash"]].add(r["word"])
+        assert +got == want and all(len(v) == 1 for v in hashes.values())
+        assert r["hash"] == context_mixing.END
+        sent.append(len(rows))
+    assert sent[0] < min(sent[1:])
+
+
+def test_spelling_together_changes_nothing():
+    """Probabilities of many words worked out a little at a time are those of each word alone."""
+    rng = np.random.default_rng(6)
+    code = context_mixing.Code.of(rng.integers(0, 1000, 256))
+    model = context_mixing.Model(rng.integers(0, 50, (int(context_mixing.BASES[-1]), 2)).astype(np.float32), code)
+    words = [rng.integers(33, 127, n).astype(np.uint8).tobytes() for n in [0, 9_000, *rng.integers(1, 12, 6_000)]]
+    got = context_mixing.log10_probabilities(model, words)
+    assert len(got) == len(words) and len(context_mixing.log10_probabilities(model, [])) == 0
+    for i in (0, 1, 2, 4094, 4095, 4096, 4097, 6001):
+        assert math.isclose(got[i], context_mixing.log10_probabilities(model, [words[i]])[0], rel_tol=1e-9)
+
+
 def test_models_of_two_corpora_do_not_mix(spark):
     """Workers are reused, so a model kept from another table must never score this one."""
     rng = random.Random(11)
